@@ -61,3 +61,10 @@ def settle(df: DataFrame) -> DataFrame:
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(shared_dir(spark))
     return df.checkpoint(eager=True)
+
+
+def settle_table(df: DataFrame, name: str) -> DataFrame:
+    """Like `settle`, as Parquet: later steps read back only the columns they need."""
+    target = scratch_path(df.sparkSession, name)
+    df.write.parquet(target)
+    return df.sparkSession.read.schema(df.schema).parquet(target)
