@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from functools import wraps
 
-from stockweave.plans import sales
+from stockweave.plans import cleaning, imports, sales
 from stockweave.session import tune
 
-MODULES = (sales,)
+MODULES = (sales, cleaning, imports)
 
 
 def _tuned(query):
