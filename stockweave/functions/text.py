@@ -6,7 +6,11 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # The whitespace and control classes of the catalog rules.
-SPACE = r"(?U)[\s\x1c-\x1f]"
+SPACES = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
+    + "".join(chr(c) for c in range(0x2000, 0x200B))
+    + "\u2028\u2029\u202f\u205f\u3000"
+)
 CONTROL = r"[\x00-\x08\x0b\x0c\x0e-\x1f\x7f]"
 CONTROL_IN_LABEL = r"[\x00-\x1f]"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -32,14 +36,27 @@ def blank_if_null(c) -> Column:
     return F.coalesce(col(c), F.lit(""))
 
 
+def let(value: Column, body) -> Column:
+    """`body` of a value that is computed once, however often the body names it."""
+    return F.transform(F.array(value), body)[0]
+
+
+def present(*texts: Column) -> Column:
+    """Array of the texts that are not NULL, each once, in order.
+
+    Unlike a lambda over the array, this keeps the texts inside generated code.
+    """
+    return F.array_except(F.array(*texts), F.array(F.lit(None).cast("string")))
+
+
 def strip(c) -> Column:
     """Whitespace off both ends, inner runs untouched."""
-    return F.regexp_replace(col(c), r"(?U)\A[\s\x1c-\x1f]+|[\s\x1c-\x1f]+\z", "")
+    return F.btrim(col(c), F.lit(SPACES))
 
 
 def squash(c) -> Column:
     """Runs of whitespace become one space; none at either end."""
-    return F.trim(F.regexp_replace(col(c), SPACE + "+", " "))
+    return F.trim(F.regexp_replace(col(c), f"[{SPACES}]+", " "))
 
 
 def ascii_lower(c) -> Column:
@@ -63,29 +80,35 @@ def contains_literal(c, needle: str) -> Column:
 
 
 def meaningful_description(description, title) -> Column:
+    def judge(x: Column) -> Column:
+        generic = F.lit(False)
+        for phrase in GENERIC_PHRASES:
+            generic = generic | (x["key"] == phrase) | x["key"].startswith(phrase + " ")
+        return (F.length(x["text"]) >= MIN_DESCRIPTION) & (x["key"] != "") & (x["key"] != x["title"]) & ~generic
+
     text = squash(blank_if_null(description))
-    key = text_key(text)
-    generic = F.lit(False)
-    for phrase in GENERIC_PHRASES:
-        generic = generic | (key == phrase) | key.startswith(phrase + " ")
-    return (F.length(text) >= MIN_DESCRIPTION) & (key != "") & (key != text_key(title)) & ~generic
+    return let(F.struct(text.alias("text"), text_key(text).alias("key"), text_key(title).alias("title")), judge)
+
+
+def _distinct_labels(parts: Column) -> Column:
+    folded = F.transform(parts, fold)
+    return let(folded, lambda f: F.filter(parts, lambda x, i: F.array_position(f, fold(x)) == i + 1))
 
 
 def labels(c) -> Column:
     """Pipe-separated labels: trimmed, empties dropped, first of each case kept."""
     parts = F.filter(F.transform(F.split(blank_if_null(c), r"\|"), squash), lambda x: x != "")
-    folded = F.transform(parts, fold)
-    return F.filter(parts, lambda x, i: F.array_position(folded, fold(x)) == i + 1)
+    return let(parts, _distinct_labels)
 
 
-def labels_problem(c, field: str, max_length: int = 40, max_items: int = 20) -> Column:
-    """Message for an invalid label list, NULL when it is fine."""
-    bad = F.exists(
-        F.split(blank_if_null(c), r"\|"),
-        lambda x: (F.length(squash(x)) > max_length) | ((squash(x) != "") & strip(x).rlike(CONTROL_IN_LABEL)),
-    )
-    return F.when(bad, F.lit(f"{field} contains an invalid option")).when(
-        F.size(labels(c)) > max_items, F.lit(f"{field} must contain at most {max_items} options")
+def labels_problem(c, parsed, field: str, max_length: int = 40, max_items: int = 20) -> Column:
+    """Message for an invalid label list, NULL when it is fine; `parsed` are its labels."""
+
+    def bad(part: Column) -> Column:
+        return let(squash(part), lambda x: (F.length(x) > max_length) | (x.rlike(CONTROL_IN_LABEL) & (x != "")))
+
+    return F.when(F.exists(F.split(blank_if_null(c), r"\|"), bad), F.lit(f"{field} contains an invalid option")).when(
+        F.size(col(parsed)) > max_items, F.lit(f"{field} must contain at most {max_items} options")
     )
 
 

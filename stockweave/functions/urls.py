@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from stockweave.functions.text import blank_if_null, strip
+from stockweave.functions.text import blank_if_null, let, strip
 
 # Query keys that never identify a product, and allowed image hosts.
 TRACKING_KEYS = ("gclid", "fbclid", "mc_cid", "mc_eid", "ref", "tag", "linkcode", "srsltid")
@@ -29,36 +29,43 @@ IMAGE_HOSTS = (
     "www.montecarlo.in",
 )
 
-# The generic URI pattern of RFC 3986, appendix B: 1 scheme, 2 authority mark,
-# 3 authority, 4 path, 5 query.
-URI = r"^(?:([A-Za-z][A-Za-z0-9+.\-]*):)?(//([^/?#]*))?([^?#]*)(?:\?([^#]*))?"
+# The generic URI pattern of RFC 3986, appendix B: 1 scheme, 2 authority, 3 path, 4 query.
+URI = r"(?s)^(?:([A-Za-z][A-Za-z0-9+.\-]*):)?(?://([^/?#]*))?([^?#]*)(?:\?([^#]*))?(?:#.*)?$"
+_MARK = "\u0001"
+SCHEME, AUTHORITY, PATH, QUERY = range(4)
 
 
-def _clean(c) -> Column:
-    return F.regexp_replace(strip(blank_if_null(c)), r"[\t\r\n]", "")
+def _split(c) -> Column:
+    """Scheme, authority, path and query in one pass over the URL."""
+    plain = F.translate(strip(blank_if_null(c)), "\t\r\n" + _MARK, "")
+    return F.split(F.regexp_replace(plain, URI, _MARK.join(("$1", "$2", "$3", "$4"))), _MARK)
 
 
-def _part(c, group: int) -> Column:
-    return F.regexp_extract(_clean(c), URI, group)
+def _host(authority: Column) -> Column:
+    return F.lower(F.regexp_replace(F.substring_index(authority, "@", -1), r":[^:\]]*$", ""))
 
 
 def scheme(c) -> Column:
-    return F.lower(_part(c, 1))
+    return F.lower(_split(c)[SCHEME])
 
 
 def host(c) -> Column:
     """Lower-case host without user info and port; empty when there is none."""
-    authority = F.regexp_replace(_part(c, 3), r"^.*@", "")
-    return F.lower(F.regexp_replace(authority, r":[^:\]]*$", ""))
+    return _host(_split(c)[AUTHORITY])
 
 
 def path(c) -> Column:
-    return _part(c, 4)
+    return _split(c)[PATH]
 
 
 def is_https(c) -> Column:
     """TRUE for an absolute https URL with a host."""
-    return (scheme(c) == "https") & (host(c) != "")
+    return let(_split(c), lambda u: (F.lower(u[SCHEME]) == "https") & (_host(u[AUTHORITY]) != ""))
+
+
+def is_https_on(c, hosts: tuple[str, ...]) -> Column:
+    """TRUE for an https URL on one of the hosts."""
+    return let(_split(c), lambda u: (F.lower(u[SCHEME]) == "https") & _host(u[AUTHORITY]).isin(*hosts))
 
 
 def _decode(text: Column) -> Column:
@@ -86,22 +93,39 @@ def _query_pair(text: Column) -> Column:
     )
 
 
+def _query(text: Column) -> Column:
+    pairs = F.transform(F.filter(F.split(text, "&"), lambda x: x != ""), _query_pair)
+    kept = F.array_sort(F.filter(pairs, lambda p: ~_is_tracking(p["key"])))
+    pair = lambda p: F.concat(_encode(p["key"]), F.lit("="), _encode(p["value"]))
+    joined = F.array_join(F.transform(kept, pair), "&")
+    return F.when(text == "", F.lit("")).otherwise(
+        let(joined, lambda q: F.when(q != "", F.concat(F.lit("?"), q)).otherwise(""))
+    )
+
+
+def _join(scheme: Column, host: Column, path: Column, query: Column) -> Column:
+    name = F.when(host.startswith("www."), F.substr(host, F.lit(5))).otherwise(host)
+    mark = F.when((host != "") | scheme.isin("http", "https"), F.lit("//")).otherwise("")
+    return F.concat(
+        F.when(scheme != "", F.concat(scheme, F.lit(":"))).otherwise(""),
+        mark,
+        name,
+        F.when(path == "", F.lit("/")).otherwise(path),
+        query,
+    )
+
+
+def _key(u: Column) -> Column:
+    # `;parameters` of the last path segment and trailing slashes do not count
+    bare = F.when(F.contains(u[PATH], F.lit(";")), F.regexp_replace(u[PATH], r";[^/]*$", "")).otherwise(u[PATH])
+    parts = F.array(F.lower(u[SCHEME]), _host(u[AUTHORITY]), F.rtrim(bare, F.lit("/")), _query(u[QUERY]))
+    return let(parts, lambda p: _join(p[0], p[1], p[2], p[3]))
+
+
 def url_key(c) -> Column:
     """Same product page, same key.
 
     Scheme and host in lower case, no `www.`, port, fragment, trailing slash or
     tracking parameter; what is left of the query is sorted and re-encoded.
     """
-    pairs = F.transform(F.filter(F.split(_part(c, 5), "&"), lambda x: x != ""), _query_pair)
-    kept = F.array_sort(F.filter(pairs, lambda p: ~_is_tracking(p["key"])))
-    query = F.array_join(F.transform(kept, lambda p: F.concat(_encode(p["key"]), F.lit("="), _encode(p["value"]))), "&")
-    name = F.regexp_replace(host(c), r"^www\.", "")
-    # `;parameters` of the last path segment and trailing slashes do not count
-    bare = F.regexp_replace(F.regexp_replace(path(c), r";[^/]*$", ""), r"/+$", "")
-    bare = F.when(bare == "", F.lit("/")).otherwise(bare)
-    return F.concat(
-        F.when(scheme(c) != "", F.concat(scheme(c), F.lit(":"))).otherwise(""),
-        F.when((name != "") | scheme(c).isin("http", "https"), F.concat(F.lit("//"), name)).otherwise(""),
-        bare,
-        F.when(query != "", F.concat(F.lit("?"), query)).otherwise(""),
-    )
+    return let(_split(c), _key)

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stockweave.functions import urls
+from stockweave.functions.text import present
 
 # Patterns of the audit and the demo mail domains.
 EMAIL = r"(?i)[A-Z0-9._%+-]+@[A-Z0-9.-]+\.[A-Z]{2,}"
@@ -34,12 +35,12 @@ def contact_audit(docs: DataFrame, key: str, content: str = "text", public: Colu
     mails = F.regexp_extract_all(content, F.lit(EMAIL), F.lit(0))
     foreign = F.exists(mails, lambda m: ~(m.endswith(DEMO_MAIL[0]) | m.endswith(DEMO_MAIL[1])))
     shown = F.lit(True) if public is None else public
-    issues = F.array(
+    issues = present(
         F.when(foreign, F.lit(EMAIL_ISSUE)),
         F.when(shown & F.col(content).rlike(PHONE), F.lit(PHONE_ISSUE)),
         F.when(F.col(content).rlike(SECRET), F.lit(SECRET_ISSUE)),
     )
-    return docs.select(key, F.explode(F.filter(issues, lambda x: x.isNotNull())).alias("issue"))
+    return docs.select(key, F.explode(issues).alias("issue"))
 
 
 def _unescape(c: Column) -> Column:

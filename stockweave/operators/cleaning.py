@@ -136,11 +136,11 @@ def _problems(repeated: Column, has_file: Column, ragged: Column) -> Column:
         F.when(~product["image"].rlike(IMAGE_PATH), F.lit(IMAGE_PATH_PROBLEM)).when(
             ~has_file, F.lit(IMAGE_FILE_PROBLEM)
         ),
-        text.labels_problem(clean["sizes"], "sizes"),
-        text.labels_problem(clean["colors"], "colors"),
+        text.labels_problem(clean["sizes"], product["sizes"], "sizes"),
+        text.labels_problem(clean["colors"], product["colors"], "colors"),
         F.when(product["featured"].isNull(), F.lit(FLAG_PROBLEM)),
     ]
-    return F.filter(F.array(*checks), lambda x: x.isNotNull())
+    return text.present(*checks)
 
 
 def clean_catalog(raw: DataFrame, image_files: DataFrame) -> CleanCatalog:

@@ -43,39 +43,46 @@ def _product_key(name: Column, brand: Column, category: Column, variants: Column
 
 
 def _keys(**by_rule: Column) -> Column:
-    """Array of (rule, key) without the rules that have no key."""
+    """Array of (rule, key); a rule that does not apply has a NULL key."""
     rules = {"url": URL, "identity": IDENTITY, "product": PRODUCT, "own_id": OWN_ID}
     entries = [F.struct(F.lit(rules[n]).alias("rule"), k.alias("key")) for n, k in by_rule.items()]
-    return F.filter(F.array(*entries), lambda e: e["key"].isNotNull())
+    return F.array(*entries)
 
 
-def _url(c: Column) -> Column:
-    """Key of a URL; a blank one is no key."""
-    key = urls.url_key(c)
-    return F.when(key != "/", key)
+def _blank_key(key: Column) -> Column:
+    """The key of a missing URL is no key."""
+    return F.nullif(key, F.lit("/"))
 
 
 def with_keys(validated: DataFrame) -> DataFrame:
     """Keys a row asks for and keys it registers once it is known to be live."""
     item = Item()
-    category = text.blank_if_null("category")
     color = F.when(
         item.truthy("color"), F.array(text.text_key(item.text("color")))
     ).otherwise(F.array().cast("array<string>"))
-    variants = F.concat(_variant_keys(item.strings("sizes")), color)
-    name, brand = text.text_key(item.text_or_blank("title")), text.text_key(item.text_or_blank("brand"))
-    image = urls.url_key(F.element_at(F.concat(item.strings("image_urls"), F.array(F.lit(""))), 1))
-    product = _product_key(name, brand, category, variants, image)
+    image = F.element_at(F.concat(item.strings("image_urls"), F.array(F.lit(""))), 1)
+    # each part is computed once; the keys below name them several times
+    parts = {
+        "_name": text.text_key(item.text_or_blank("title")),
+        "_brand": text.text_key(item.text_or_blank("brand")),
+        "_group": text.blank_if_null("category"),
+        "_variants": F.concat(_variant_keys(item.strings("sizes")), color),
+        "_image": urls.url_key(image),
+        "_canonical": F.when(item.truthy("canonical_url"), _blank_key(urls.url_key(item.text("canonical_url")))),
+    }
+    validated = validated.withColumns(parts)
+    product = _product_key(*[F.col(n) for n in ("_name", "_brand", "_group", "_variants", "_image")])
+    validated = validated.withColumn("_product", product)
     asked = _keys(
-        url=F.when(item.truthy("canonical_url"), _url(item.text("canonical_url"))),
+        url=F.col("_canonical"),
         identity=_pair(item.text_or_blank("source_store"), item.text_or_blank("source_product_id")),
-        product=product,
+        product=F.col("_product"),
         own_id=F.col("product_id"),
     )
     registered = _keys(
-        url=_url(F.col("source_url")),
+        url=_blank_key(F.col("source_key")),
         identity=_pair(F.col("store"), F.col("source_id")),
-        product=F.when((category != "") & (F.col("image_url") != ""), product),
+        product=F.when((F.col("_group") != "") & (F.col("image_url") != ""), F.col("_product")),
     )
     usable = F.col("is_object") & F.col("product_id").isNotNull()
     none = F.array().cast("array<struct<rule:int,key:string>>")
@@ -105,12 +112,13 @@ def base_keys(base: DataFrame) -> DataFrame:
         urls.url_key(column("image")),
     )
     keys = _keys(
-        url=_url(column("canonical_url")),
+        url=_blank_key(urls.url_key(column("canonical_url"))),
         identity=_pair(column("source_store"), column("source_product_id")),
         product=product,
         own_id=F.col("id"),
     )
     rows = base.filter(F.col("id").isNotNull()).select("origin", "id", F.explode(keys).alias("k"))
+    rows = rows.filter(F.col("k.key").isNotNull())
     return rows.groupBy("k.rule", "k.key").agg(F.min(F.struct("origin", "id")).alias("first"))
 
 
@@ -188,10 +196,8 @@ def dedupe_feed(rows: DataFrame, base: DataFrame) -> DataFrame:
     minimum per key instead of a window over the copies of a key, so a key that a
     third of the feed shares is combined map-side.
     """
-    asked = rows.select("pos", F.explode("asked").alias("k")).select("pos", "k.rule", "k.key")
-    registered = rows.select("pos", "product_id", F.explode("registered").alias("k")).select(
-        "pos", "product_id", "k.rule", "k.key"
-    )
+    asked = rows.select("pos", F.inline("asked")).filter(F.col("key").isNotNull())
+    registered = rows.select("pos", "product_id", F.inline("registered")).filter(F.col("key").isNotNull())
     existing = settle(match_existing(asked, base_keys(base)))
     matched = existing.filter(F.col("match").isNotNull()).select("pos", F.lit(True).alias("_known"))
     seeds = rows.select("pos", (F.size("reasons") == 0).alias("_valid")).join(matched, "pos", "left")

@@ -46,11 +46,29 @@ MAX_SIZE_LABEL = 40
 MAX_COLOR = 100
 
 
+# All fields read more than once; their JSON text tells type and emptiness.
+FIELDS = (
+    "id", "title", "category", "currency", "price_inr", "mrp_inr", "discount_percent", "description", "color",
+    "sizes", "brand", "subcategory", "material", "fit", "rating", "source_product_id", "source_store",
+    "canonical_url", "provided_url", "image_urls", "style", "features", "product_type", "specifications", "variants",
+)
+_EMPTY = ("null", '""', "[]")
+_FALSY = (*_EMPTY, "{}", "0", "0.0", "false")
+
+
 class Item:
-    """Typed access to the VARIANT column of a feed row."""
+    """Typed access to the VARIANT column of a feed row.
 
-    def __init__(self, name: str = "item"):
+    Reading a VARIANT path costs more than a string test, so each field is written
+    as JSON text once (`unpack`) and asked there.
+    """
+
+    def __init__(self, name: str = "item", unpacked: str = "_json"):
         self.name = name
+        self.unpacked = unpacked
+
+    def unpack(self, rows: DataFrame, fields: tuple[str, ...] = FIELDS) -> DataFrame:
+        return rows.withColumn(self.unpacked, F.struct(*[F.to_json(self.raw(f)).alias(f) for f in fields]))
 
     def raw(self, field: str) -> Column:
         return F.try_variant_get(self.name, f"$.{field}", "variant")
@@ -58,22 +76,35 @@ class Item:
     def text(self, field: str) -> Column:
         return F.try_variant_get(self.name, f"$.{field}", "string")
 
-    def kind(self, field: str) -> Column:
-        """BIGINT, STRING, ARRAY<..>, OBJECT<..>, VOID; NULL for an absent field."""
-        return F.schema_of_variant(self.raw(field))
+    def json(self, field: str) -> Column:
+        return text.blank_if_null(F.col(self.unpacked)[field])
+
+    def present(self, field: str) -> Column:
+        return ~self.json(field).isin("", "null")
 
     def given(self, field: str) -> Column:
         """Present and not null, "" or []."""
-        value = F.to_json(self.raw(field))
-        return F.coalesce(~value.isin("null", '""', "[]"), F.lit(False))
+        return ~self.json(field).isin("", *_EMPTY)
 
     def truthy(self, field: str) -> Column:
-        value = F.to_json(self.raw(field))
-        return F.coalesce(~value.isin("null", '""', "[]", "{}", "0", "0.0", "false"), F.lit(False))
+        return ~self.json(field).isin("", *_FALSY)
+
+    def is_string(self, field: str) -> Column:
+        return self.json(field).startswith('"')
+
+    def is_list(self, field: str) -> Column:
+        return self.json(field).startswith("[")
+
+    def is_object(self, field: str) -> Column:
+        return self.json(field).startswith("{")
+
+    def is_integer(self, field: str) -> Column:
+        """A JSON integer: 2.0 is none, so the VARIANT type has to say."""
+        return _no_null(F.schema_of_variant(self.raw(field)) == "BIGINT")
 
     def string(self, field: str) -> Column:
         """Text of a JSON string; NULL for any other type."""
-        return F.when(self.kind(field) == "STRING", self.text(field))
+        return F.when(self.is_string(field), self.text(field))
 
     def text_or_blank(self, field: str) -> Column:
         return F.when(self.truthy(field), text.blank_if_null(self.text(field))).otherwise(F.lit(""))
@@ -85,23 +116,31 @@ class Item:
         return F.coalesce(texts, F.array().cast("array<string>"))
 
 
+def _no_null(condition: Column) -> Column:
+    return F.coalesce(condition, F.lit(False))
+
+
 def key_feed(feed: DataFrame) -> DataFrame:
     """Code, stable id, source URL and title of each row."""
-    item = Item()
+    item = Item(unpacked="_key_json")
     canonical = item.truthy("canonical_url")
     url = F.when(canonical, item.text("canonical_url")).when(
         item.truthy("provided_url"), item.text("provided_url")
     )
-    kind = F.when(canonical, item.kind("canonical_url")).otherwise(item.kind("provided_url"))
-    return (
-        feed.withColumn("is_object", F.coalesce(F.schema_of_variant("item").startswith("OBJECT"), F.lit(False)))
-        .withColumn("code", text.strip(item.text_or_blank("id")))
-        .withColumn("product_id", identity.stable_id("code"))
-        .withColumn("source_url", url)
-        .withColumn("_url_is_text", F.coalesce(kind == "STRING", F.lit(False)))
-        .withColumn("title", text.squash(item.text_or_blank("title")))
-        .withColumn("source_key", urls.url_key("source_url"))
+    is_text = F.when(canonical, item.is_string("canonical_url")).otherwise(item.is_string("provided_url"))
+    rows = item.unpack(feed, ("id", "title", "canonical_url", "provided_url")).withColumns(
+        {
+            "is_object": _no_null(F.schema_of_variant("item").startswith("OBJECT")),
+            "code": text.strip(item.text_or_blank("id")),
+            "source_url": url,
+            "_url_is_text": is_text,
+            "title": text.squash(item.text_or_blank("title")),
+        }
     )
+    keyed = rows.withColumns(
+        {"product_id": identity.stable_id("code"), "source_key": urls.url_key("source_url")}
+    )
+    return keyed.drop("_key_json")
 
 
 def join_evidence(keyed: DataFrame, pages: DataFrame, images: DataFrame) -> DataFrame:
@@ -118,10 +157,6 @@ def join_evidence(keyed: DataFrame, pages: DataFrame, images: DataFrame) -> Data
     )
 
 
-def _no_null(condition: Column) -> Column:
-    return F.coalesce(condition, F.lit(False))
-
-
 def verified_details(item: Item, verified: Column) -> Column:
     """Detail fields the page backs, with an actual value, in report order."""
     found = []
@@ -130,7 +165,7 @@ def verified_details(item: Item, verified: Column) -> Column:
         if field == "description":
             backed = backed & text.meaningful_description(item.text(field), item.text_or_blank("title"))
         found.append(F.when(backed, F.lit(field)))
-    return F.filter(F.array(*found), lambda x: x.isNotNull())
+    return text.present(*found)
 
 
 def source_failure(page: Column) -> Column:
@@ -151,20 +186,20 @@ def is_image_type(content_type: Column) -> Column:
 
 def _amount(item: Item, field: str) -> Column:
     """Struct of paise and validity; a missing amount is valid and NULL."""
-    kind = item.kind(field)
-    absent = ~_no_null(kind != "VOID") | _no_null((kind == "STRING") & (item.text(field) == ""))
-    number = _no_null((kind == "STRING") | (kind == "BIGINT") | (kind == "DOUBLE") | kind.startswith("DECIMAL"))
-    paise = F.when(number, money.amount_to_paise(item.text(field)))
-    return F.struct(paise.alias("paise"), (absent | paise.isNotNull()).alias("valid"))
+    absent = item.json(field).isin("", "null", '""')
+    number = item.is_string(field) | item.json(field).rlike("^[-0-9]")
+    return text.let(
+        F.when(number, money.amount_to_paise(item.text(field))),
+        lambda paise: F.struct(paise.alias("paise"), (absent | paise.isNotNull()).alias("valid")),
+    )
 
 
 def validate_feed(keyed: DataFrame, pages: DataFrame, images: DataFrame) -> DataFrame:
     """All base reasons of each row, in rule order, with the values a product needs."""
     item = Item()
-    rows = join_evidence(keyed, pages, images)
+    rows = item.unpack(join_evidence(keyed, pages, images))
     page, image = F.col("page"), F.col("image")
     category = F.lower(text.strip(item.text_or_blank("category")))
-    sizes_kind = item.kind("sizes")
     size_values = F.try_variant_get("item", "$.sizes", "array<variant>")
     bad_size = F.exists(
         size_values,
@@ -180,10 +215,10 @@ def validate_feed(keyed: DataFrame, pages: DataFrame, images: DataFrame) -> Data
             "category": F.when(category.isin(*CATEGORIES), category),
             "_price": _amount(item, "price_inr"),
             "_mrp": _amount(item, "mrp_inr"),
-            "_discount_ok": _no_null((item.kind("discount_percent") == "BIGINT"))
+            "_discount_ok": item.is_integer("discount_percent")
             & _no_null(item.text("discount_percent").try_cast("bigint").between(0, 100)),
-            "_sizes_ok": ~item.truthy("sizes") | (_no_null(sizes_kind.startswith("ARRAY")) & ~_no_null(bad_size)),
-            "_has_images": _no_null(item.kind("image_urls").startswith("ARRAY")) & item.truthy("image_urls"),
+            "_sizes_ok": ~item.truthy("sizes") | (item.is_list("sizes") & ~_no_null(bad_size)),
+            "_has_images": item.is_list("image_urls") & item.truthy("image_urls"),
             "store": text.squash(item.text_or_blank("source_store")),
             "source_id": text.strip(item.text_or_blank("source_product_id")),
         }
@@ -218,9 +253,8 @@ def validate_feed(keyed: DataFrame, pages: DataFrame, images: DataFrame) -> Data
     )
     no_details = F.size("details") == 0
     has_description = item.truthy("description")
-    host_ok = (urls.scheme("image_url") == "https") & urls.host("image_url").isin(*urls.IMAGE_HOSTS)
+    host_ok = urls.is_https_on("image_url", urls.IMAGE_HOSTS)
     page_url = urls.url_key(page["source_url"])
-    present = lambda f: _no_null(item.kind(f) != "VOID")
 
     def fails(condition: Column, reason) -> Column:
         return F.when(condition, F.lit(reason) if isinstance(reason, str) else reason)
@@ -236,12 +270,12 @@ def validate_feed(keyed: DataFrame, pages: DataFrame, images: DataFrame) -> Data
         fails(F.col("price_minor").isNull(), "PRICE_MISSING"),
         fails(~F.col("price_verified"), "PRICE_UNVERIFIED"),
         fails(~F.col("_mrp.valid"), "PRICE_INVALID"),
-        fails(present("discount_percent") & ~F.col("_discount_ok"), "VALIDATION_FAILED"),
+        fails(item.present("discount_percent") & ~F.col("_discount_ok"), "VALIDATION_FAILED"),
         fails(~F.col("_sizes_ok"), "VALIDATION_FAILED"),
         fails(
-            present("color") & ~_no_null(F.length(item.string("color")) <= MAX_COLOR), "VALIDATION_FAILED"
+            item.present("color") & ~_no_null(F.length(item.string("color")) <= MAX_COLOR), "VALIDATION_FAILED"
         ),
-        fails(present("rating") & ~_no_null(item.kind("rating").startswith("OBJECT")), "VALIDATION_FAILED"),
+        fails(item.present("rating") & ~item.is_object("rating"), "VALIDATION_FAILED"),
         fails(no_details & ~has_description, "DESCRIPTION_MISSING"),
         fails(no_details & has_description, "DETAILS_INSUFFICIENT"),
         fails(~F.col("_has_images"), "IMAGE_MISSING"),
@@ -251,8 +285,7 @@ def validate_feed(keyed: DataFrame, pages: DataFrame, images: DataFrame) -> Data
         # a row without a usable id cannot be stored
         fails(F.col("product_id").isNull(), "VALIDATION_FAILED"),
     ]
-    distinct = F.array_distinct(F.filter(F.array(*reasons), lambda x: x.isNotNull()))
-    rows = rows.withColumn("reasons", F.when(F.col("is_object"), distinct).otherwise(F.array(F.lit("VALIDATION_FAILED"))))
+    rows = rows.withColumn("reasons", F.when(F.col("is_object"), text.present(*reasons)).otherwise(F.array(F.lit("VALIDATION_FAILED"))))
     return rows.withColumn(
         "validation",
         F.struct(
@@ -307,7 +340,7 @@ def product_columns() -> dict[str, Column]:
         "source_product_id": F.when(F.col("source_id") != "", F.col("source_id")),
         "canonical_url": F.col("source_url"),
         "verification_status": F.lit("verified"),
-        "missing_fields": F.filter(F.array(*missing), lambda x: x.isNotNull()),
+        "missing_fields": text.present(*missing),
         "source_code": F.col("code"),
         "image_urls": item.strings("image_urls"),
     }

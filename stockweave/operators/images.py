@@ -45,7 +45,7 @@ def select_image_evidence(
     candidates = rows.filter("identity_match").select(
         "product_id", F.posexplode("image_urls").alias("candidate_no", "image_url")
     )
-    allowed = F.col("image_url").startswith("https://") & urls.host("image_url").isin(*hosts)
+    allowed = F.col("image_url").startswith("https://") & urls.is_https_on("image_url", hosts)
     tried = candidates.filter(allowed).withColumn("candidate_no", F.col("candidate_no").cast("bigint"))
     loaded = tried.join(responses, ["product_id", "candidate_no", "image_url"], "left")
     rendered = _no_null(F.col("loaded")) & _no_null(F.col("width") > 0)

@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from stockweave.functions.text import present
 from stockweave.schemas import CATEGORIES, MAX_QUANTITY, ORDER_SOURCES
 
 MAX_PRICE_MINOR = 100_000_000
@@ -14,9 +15,7 @@ MAX_PRICE_MINOR = 100_000_000
 
 def check_constraints(rows: DataFrame, key: list[str], rules: dict[str, Column]) -> DataFrame:
     """One row per broken rule. Like a CHECK, a rule that is NULL is not broken."""
-    broken = F.filter(
-        F.array(*[F.when(~rule, F.lit(name)) for name, rule in rules.items()]), lambda x: x.isNotNull()
-    )
+    broken = present(*[F.when(~rule, F.lit(name)) for name, rule in rules.items()])
     return rows.select(*key, F.explode(broken).alias("rule"))
 
 
