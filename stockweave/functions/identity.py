@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from stockweave.functions.text import blank_if_null, col, squash
+from stockweave.functions.text import blank_if_null, col, let, squash
 
 # Id patterns and the source prefix.
 CATALOG_ID = r"\A[a-z0-9]+(?:-[a-z0-9]+)*\z"
@@ -41,9 +41,14 @@ def uuid_form(hex32: Column) -> Column:
 
 def canonical_uuid(c) -> Column:
     """Lower-case hyphenated UUID of a 36-character key; NULL when it is none."""
-    bare = F.regexp_replace(F.regexp_replace(col(c), "urn:|uuid:", ""), r"\A[{}]+|[{}]+\z", "")
-    digits = F.lower(F.replace(bare, F.lit("-"), F.lit("")))
-    return F.when((F.length(col(c)) == 36) & digits.rlike(r"\A[0-9a-f]{32}\z"), uuid_form(digits))
+    bare = F.replace(F.replace(col(c), F.lit("urn:"), F.lit("")), F.lit("uuid:"), F.lit(""))
+    digits = F.lower(F.translate(F.btrim(bare, F.lit("{}")), "-", ""))
+    hex32 = (F.length(digits) == 32) & (F.translate(digits, "0123456789abcdef", "") == "")
+    return let(F.when((F.length(col(c)) == 36) & hex32, digits), _hyphenate)
+
+
+def _hyphenate(digits: Column) -> Column:
+    return F.when(digits.isNotNull(), uuid_form(digits))
 
 
 def _escape(char: Column) -> Column:

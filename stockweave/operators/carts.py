@@ -34,45 +34,66 @@ def _no_null(condition: Column) -> Column:
     return F.coalesce(condition, F.lit(False))
 
 
-def _kind(item: Column, field: str) -> Column:
-    return F.schema_of_variant(F.try_variant_get(item, f"$.{field}", "variant"))
+LINE_SHAPE = "struct<" + ",".join(f"{f}:variant" for f in ITEM_FIELDS) + ">"
 
 
-def _string(item: Column, field: str) -> Column:
-    value = F.try_variant_get(item, f"$.{field}", "string")
-    return F.when(_kind(item, field) == "STRING", value)
+def _kind(value: Column) -> Column:
+    return F.schema_of_variant(value)
 
 
-def _variant_text(item: Column, field: str) -> Column:
+def _string(value: Column) -> Column:
+    return F.when(_kind(value) == "STRING", F.try_variant_get(value, "$", "string"))
+
+
+def _variant_text(value: Column) -> Column:
     """The text of size or color: absent is empty, anything but a string NULL."""
-    return F.when(_kind(item, field).isNull(), F.lit("")).otherwise(_string(item, field))
+    return F.when(value.isNull(), F.lit("")).otherwise(_string(value))
 
 
-def _parse_line(item: Column) -> Column:
-    """Typed line with its own first problem."""
-    keys = F.json_object_keys(F.to_json(item))
+def _typed_line(line: Column) -> Column:
+    """Typed values of a line; a value of the wrong type is NULL."""
+    keys = F.json_object_keys(F.to_json(line["item"]))
     known = F.size(F.array_except(keys, F.array(*[F.lit(f) for f in ITEM_FIELDS]))) == 0
-    product_id = _string(item, "product_id")
-    quantity = F.when(_kind(item, "quantity") == "BIGINT", F.try_variant_get(item, "$.quantity", "bigint"))
+    quantity = line["fields"]["quantity"]
+    return F.struct(
+        (_no_null(_kind(line["item"]).startswith("OBJECT")) & _no_null(known)).alias("known"),
+        _string(line["fields"]["product_id"]).alias("product_id"),
+        F.when(_kind(quantity) == "BIGINT", F.try_variant_get(quantity, "$", "bigint")).alias("quantity"),
+        _variant_text(line["fields"]["size"]).alias("size"),
+        _variant_text(line["fields"]["color"]).alias("color"),
+    )
+
+
+def _checked_line(line: Column) -> Column:
+    """A typed line with its own first problem."""
     problem = (
-        F.when(~_no_null(F.schema_of_variant(item).startswith("OBJECT") & known), F.lit(LINE_KEYS))
-        .when(~_no_null(product_id.rlike(identity.CART_PRODUCT_ID)), F.lit(PRODUCT_ID))
-        .when(~_no_null(quantity.between(1, MAX_QUANTITY)), F.lit(QUANTITY))
+        F.when(~line["known"], F.lit(LINE_KEYS))
+        .when(~_no_null(line["product_id"].rlike(identity.CART_PRODUCT_ID)), F.lit(PRODUCT_ID))
+        .when(~_no_null(line["quantity"].between(1, MAX_QUANTITY)), F.lit(QUANTITY))
     )
     for field in ("size", "color"):
-        fits = F.length(_variant_text(item, field)) <= MAX_VARIANT_TEXT
-        problem = problem.when(~_no_null(fits), F.lit(VARIANT_TEXT.format(field)))
+        problem = problem.when(
+            ~_no_null(F.length(line[field]) <= MAX_VARIANT_TEXT), F.lit(VARIANT_TEXT.format(field))
+        )
     return F.struct(
         F.struct(
-            product_id.alias("product_id"),
-            text.strip(_variant_text(item, "size")).alias("size"),
-            text.strip(_variant_text(item, "color")).alias("color"),
+            line["product_id"].alias("product_id"),
+            text.strip(line["size"]).alias("size"),
+            text.strip(line["color"]).alias("color"),
         ).alias("variant"),
-        quantity.alias("quantity"),
+        line["quantity"].alias("quantity"),
         problem.alias("problem"),
     )
 
 
+def _parse_lines(items: Column) -> Column:
+    """All fields of a line leave the VARIANT in one cast: following an absent path is slow."""
+    with_fields = F.transform(
+        items, lambda i: F.struct(i.alias("item"), F.try_variant_get(i, "$", LINE_SHAPE).alias("fields"))
+    )
+    return F.transform(F.transform(with_fields, _typed_line), _checked_line)
+
+
 def _units(lines: Column) -> Column:
     return F.aggregate(lines, F.lit(0).cast("bigint"), lambda total, x: total + F.coalesce(x["quantity"], F.lit(0)))
 
@@ -90,19 +111,17 @@ def validate_carts(submissions: DataFrame) -> DataFrame:
     rows = rows.withColumn("key", identity.canonical_uuid("idempotency_key"))
     rows = rows.withColumn("_items", F.try_variant_get("_doc", "$.items", "array<variant>"))
     countable = _no_null(F.size("_items").between(1, MAX_LINES))
-    rows = rows.withColumn("_parsed", F.when(countable, F.transform("_items", _parse_line)))
+    rows = rows.withColumn("_parsed", F.when(countable, _parse_lines(F.col("_items"))))
     parsed = F.col("_parsed")
-    # the running sum per variant is checked line by line, after the line itself
-    problems = F.transform(
+    # the running sum per variant is checked line by line, after the line itself; each
+    # line alone is within the limit, so only carts that repeat a variant need it
+    repeats = F.size(F.array_distinct(F.transform(parsed, lambda x: x["variant"]))) < F.size(parsed)
+    running = lambda line, i: _units(_same_variant(F.slice(parsed, F.lit(1), i + 1), line["variant"]))
+    checked = F.transform(
         parsed,
-        lambda line, i: F.coalesce(
-            line["problem"],
-            F.when(
-                _units(_same_variant(F.slice(parsed, F.lit(1), i + 1), line["variant"])) > MAX_QUANTITY,
-                F.lit(PER_VARIANT),
-            ),
-        ),
+        lambda line, i: F.coalesce(line["problem"], F.when(running(line, i) > MAX_QUANTITY, F.lit(PER_VARIANT))),
     )
+    problems = F.when(repeats, checked).otherwise(F.transform(parsed, lambda line: line["problem"]))
     body_keys = F.json_object_keys(F.to_json("_doc"))
     key_text = text.blank_if_null("idempotency_key")
     too_large = F.octet_length("body") > MAX_BODY_BYTES

@@ -59,25 +59,35 @@ _FALSY = (*_EMPTY, "{}", "0", "0.0", "false")
 class Item:
     """Typed access to the VARIANT column of a feed row.
 
-    Reading a VARIANT path costs more than a string test, so each field is written
-    as JSON text once (`unpack`) and asked there.
+    All fields are taken out in one cast (`unpack`): a path that leads nowhere is
+    slow to follow, and most items lack most fields. Their JSON text then answers
+    for type and emptiness.
     """
 
-    def __init__(self, name: str = "item", unpacked: str = "_json"):
+    def __init__(self, name: str = "item", unpacked: str = "_fields"):
         self.name = name
         self.unpacked = unpacked
+        self.texts = unpacked + "_json"
 
     def unpack(self, rows: DataFrame, fields: tuple[str, ...] = FIELDS) -> DataFrame:
-        return rows.withColumn(self.unpacked, F.struct(*[F.to_json(self.raw(f)).alias(f) for f in fields]))
+        shape = "struct<" + ",".join(f"{f}:variant" for f in fields) + ">"
+        rows = rows.withColumn(self.unpacked, F.try_variant_get(self.name, "$", shape))
+        return rows.withColumn(self.texts, F.struct(*[F.to_json(self.raw(f)).alias(f) for f in fields]))
+
+    def drop(self, rows: DataFrame) -> DataFrame:
+        return rows.drop(self.unpacked, self.texts)
 
     def raw(self, field: str) -> Column:
-        return F.try_variant_get(self.name, f"$.{field}", "variant")
+        return F.col(self.unpacked)[field]
 
     def text(self, field: str) -> Column:
-        return F.try_variant_get(self.name, f"$.{field}", "string")
+        return F.try_variant_get(self.raw(field), "$", "string")
+
+    def list(self, field: str) -> Column:
+        return F.try_variant_get(self.raw(field), "$", "array<variant>")
 
     def json(self, field: str) -> Column:
-        return text.blank_if_null(F.col(self.unpacked)[field])
+        return text.blank_if_null(F.col(self.texts)[field])
 
     def present(self, field: str) -> Column:
         return ~self.json(field).isin("", "null")
@@ -111,8 +121,7 @@ class Item:
 
     def strings(self, field: str) -> Column:
         """Elements of a JSON list as text; empty for anything else."""
-        values = F.try_variant_get(self.name, f"$.{field}", "array<variant>")
-        texts = F.transform(values, lambda v: text.blank_if_null(F.try_variant_get(v, "$", "string")))
+        texts = F.transform(self.list(field), lambda v: text.blank_if_null(F.try_variant_get(v, "$", "string")))
         return F.coalesce(texts, F.array().cast("array<string>"))
 
 
@@ -122,7 +131,7 @@ def _no_null(condition: Column) -> Column:
 
 def key_feed(feed: DataFrame) -> DataFrame:
     """Code, stable id, source URL and title of each row."""
-    item = Item(unpacked="_key_json")
+    item = Item(unpacked="_key")
     canonical = item.truthy("canonical_url")
     url = F.when(canonical, item.text("canonical_url")).when(
         item.truthy("provided_url"), item.text("provided_url")
@@ -140,7 +149,7 @@ def key_feed(feed: DataFrame) -> DataFrame:
     keyed = rows.withColumns(
         {"product_id": identity.stable_id("code"), "source_key": urls.url_key("source_url")}
     )
-    return keyed.drop("_key_json")
+    return item.drop(keyed)
 
 
 def join_evidence(keyed: DataFrame, pages: DataFrame, images: DataFrame) -> DataFrame:
@@ -200,14 +209,13 @@ def validate_feed(keyed: DataFrame, pages: DataFrame, images: DataFrame) -> Data
     rows = item.unpack(join_evidence(keyed, pages, images))
     page, image = F.col("page"), F.col("image")
     category = F.lower(text.strip(item.text_or_blank("category")))
-    size_values = F.try_variant_get("item", "$.sizes", "array<variant>")
     bad_size = F.exists(
-        size_values,
+        item.list("sizes"),
         lambda v: (F.schema_of_variant(v) != "STRING")
         | (text.strip(F.try_variant_get(v, "$", "string")) == "")
         | (F.length(F.try_variant_get(v, "$", "string")) > MAX_SIZE_LABEL),
     )
-    first_image = F.try_variant_get("item", "$.image_urls[0]", "variant")
+    first_image = F.try_element_at(item.list("image_urls"), F.lit(1))
     rows = rows.withColumns(
         {
             "verified": F.coalesce(page["verified_fields"], F.array().cast("array<string>")),
@@ -229,7 +237,7 @@ def validate_feed(keyed: DataFrame, pages: DataFrame, images: DataFrame) -> Data
             "url_valid": F.col("_url_is_text") & _no_null(urls.is_https("source_url")),
             "image_url": F.when(
                 F.col("_has_images") & _no_null(F.schema_of_variant(first_image) == "STRING"),
-                F.try_variant_get("item", "$.image_urls[0]", "string"),
+                F.try_variant_get(first_image, "$", "string"),
             ).otherwise(F.lit("")),
             "price_minor": F.col("_price.paise"),
             "mrp_minor": F.col("_mrp.paise"),
@@ -309,7 +317,7 @@ def product_columns() -> dict[str, Column]:
     when_backed = lambda f: F.when(backed(f), item.text(f))
     color = text.strip(F.when(backed("color"), item.string("color")))
     rating = lambda f, kind: F.when(
-        backed("rating"), F.try_variant_get("item", f"$.rating.{f}", kind)
+        backed("rating") & item.is_object("rating"), F.try_variant_get(item.raw("rating"), f"$.{f}", kind)
     )
     missing = [F.when(~backed(e) | ~item.given(f), F.lit(f)) for f, e in OPTIONAL_FIELDS]
     missing.append(F.when(F.col("source_id") == "", F.lit("source_product_id")))

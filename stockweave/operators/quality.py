@@ -73,7 +73,8 @@ def order_item_rules() -> dict[str, Column]:
         **_required("order_id", "line_no", "product_id", "product_name", "category", "unit_price_minor", "quantity"),
         "line_no_range": F.col("line_no") >= 1,
         "category_known": F.col("category").isin(*CATEGORIES),
-        "unit_price_range": (F.col("unit_price_minor") > 0) & _whole("unit_price_minor"),
+        "unit_price_range": F.col("unit_price_minor") > 0,
+        "unit_price_whole": _whole("unit_price_minor"),
         "quantity_range": F.col("quantity").between(1, MAX_QUANTITY),
         "quantity_whole": _whole("quantity"),
     }
