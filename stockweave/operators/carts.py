@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stockweave.functions import identity, text
+from stockweave.operators.shape import fixed, spread
 from stockweave.schemas import MAX_BODY_BYTES, MAX_LINES, MAX_QUANTITY, MAX_UNITS, MAX_VARIANT_TEXT
 
 # Messages of the checks.
@@ -107,7 +108,7 @@ def validate_carts(submissions: DataFrame) -> DataFrame:
 
     `lines` is sorted by product, size and color, numbered from 1, each variant once.
     """
-    rows = submissions.withColumn("_doc", F.try_parse_json("body"))
+    rows = spread(submissions).withColumn("_doc", F.try_parse_json("body"))
     rows = rows.withColumn("key", identity.canonical_uuid("idempotency_key"))
     rows = rows.withColumn("_items", F.try_variant_get("_doc", "$.items", "array<variant>"))
     countable = _no_null(F.size("_items").between(1, MAX_LINES))
@@ -159,14 +160,18 @@ def validate_carts(submissions: DataFrame) -> DataFrame:
         .when(F.col("_doc").isNull(), F.lit("invalid_json"))
         .otherwise(F.lit("invalid_request"))
     )
-    return rows.select(
-        *submissions.columns,
-        F.when(valid, F.col("key")).alias("key"),
-        code.alias("error_code"),
-        "error_message",
-        "lines",
-        F.when(valid, F.aggregate("lines", F.lit(0).cast("bigint"), lambda t, x: t + x["quantity"])).alias("units"),
-        F.when(valid, identity.cart_fingerprint("lines")).alias("fingerprint"),
+    rows = rows.withColumn("error_code", code)
+    return fixed(
+        rows,
+        list(submissions.columns),
+        {
+            "key": F.when(valid, F.col("key")),
+            "error_code": F.col("error_code"),
+            "error_message": F.col("error_message"),
+            "lines": F.col("lines"),
+            "units": F.when(valid, F.aggregate("lines", F.lit(0).cast("bigint"), lambda t, x: t + x["quantity"])),
+            "fingerprint": F.when(valid, identity.cart_fingerprint("lines")),
+        },
     )
 
 

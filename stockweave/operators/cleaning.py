@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stockweave.functions import identity, money, text
+from stockweave.operators.shape import fixed, spread
 from stockweave.schemas import CATEGORIES, CLEAN_PRODUCT, RAW_COLUMNS
 
 # Category aliases, the image path pattern and text limits.
@@ -150,7 +151,7 @@ def clean_catalog(raw: DataFrame, image_files: DataFrame) -> CleanCatalog:
     after a map-side partial count; only repeated ids meet the rows again.
     """
     ragged = F.col("ragged") if "ragged" in raw.columns else F.lit(False)
-    rows = raw.select(
+    rows = spread(raw).select(
         "row",
         F.struct(*RAW_COLUMNS).alias("raw"),
         F.struct(*[text.squash(text.blank_if_null(f)).alias(f) for f in RAW_COLUMNS]).alias("text"),
@@ -182,7 +183,7 @@ def clean_catalog(raw: DataFrame, image_files: DataFrame) -> CleanCatalog:
         files, F.substring_index("product.image", "/", -1) == F.col("_file"), "left"
     )
     problems = _problems(F.col("_repeated_id").isNotNull(), F.col("_file").isNotNull(), F.col("_ragged"))
-    return CleanCatalog(joined.select("row", "raw", "product", problems.alias("problems")))
+    return CleanCatalog(fixed(joined, ["row", "raw", "product"], {"problems": problems}))
 
 
 def issue_log(clean: CleanCatalog) -> DataFrame:

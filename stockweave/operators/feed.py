@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from stockweave.functions import text, urls
 from stockweave.operators.feed_rules import Item, key_feed, product_columns, validate_feed
+from stockweave.operators.shape import spread
 from stockweave.schemas import LEDGER
 from stockweave.session import settle, settle_table
 
@@ -219,7 +220,7 @@ def classify_feed(feed: DataFrame, pages: DataFrame, images: DataFrame, base: Da
     The validated rows are written once: the key rounds then read three columns
     of them, and the last join the rest.
     """
-    validated = with_keys(validate_feed(key_feed(feed), pages, images))
+    validated = with_keys(validate_feed(key_feed(spread(feed)), pages, images))
     product = F.struct(*[c.cast(LEDGER[f].dataType).alias(f) for f, c in product_columns().items()])
     rows = settle_table(
         validated.select(

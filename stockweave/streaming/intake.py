@@ -49,6 +49,8 @@ def stream_orders(submissions: DataFrame, products: DataFrame, root: str, checkp
 
     def commit(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
+        # a batch is as large as its trigger allows; its files may be few
+        batch = batch.repartition(spark.sparkContext.defaultParallelism)
         now = datetime.now(timezone.utc).replace(microsecond=0, tzinfo=None)
         done = commit_orders(batch, stored_orders(spark, root, before=batch_id), products, now)
         _append(done.items, root, "items", batch_id)
