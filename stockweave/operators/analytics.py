@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from stockweave.operators.errors import RequestError
 from stockweave.schemas import ORDER_SOURCES
+from stockweave.session import settle
 
 
 def source_filter(orders: DataFrame, source: str = "all") -> DataFrame:
@@ -104,7 +105,10 @@ def with_active_flag(rows: DataFrame, catalog: DataFrame, limit: int) -> DataFra
 def popular_products(
     orders: DataFrame, items: DataFrame, catalog: DataFrame, source: str = "all", k: int = 5
 ) -> DataFrame:
-    """Top `k` by units, revenue, id. The catalog is only asked about those k ids."""
+    """Top `k` by units, revenue, id. The catalog is only asked about those k ids.
+
+    The k rows are written once: they are both the answer and the question to the catalog.
+    """
     order = [F.desc("units"), F.desc("revenue_minor"), F.col("product_id")]
     best = (
         _sold(orders, items, source, "product_id", "product_name", "category", "unit_price_minor", "quantity")
@@ -118,7 +122,7 @@ def popular_products(
         .orderBy(*order)
         .limit(k)
     )
-    return with_active_flag(best, catalog, k).orderBy(*order)
+    return with_active_flag(settle(best), catalog, k).orderBy(*order)
 
 
 def bar_scale(rows: DataFrame, value: str, size: float, floor: float = 0.0, name: str = "bar") -> DataFrame:

@@ -9,6 +9,7 @@ from stockweave.operators import catalog as C
 from stockweave.operators import quality as Q
 from stockweave.plans import views as V
 from stockweave.plans.views import with_views
+from stockweave.sources.tables import load_table
 
 
 def _catalog(spark, d):
@@ -104,18 +105,17 @@ def catalog_top_featured(spark, d):
     return C.top_k(listed, C.sort_order("featured"), 4)
 
 
+# a point lookup takes an id; this one is in every size of the test tables
+PRODUCT_ID = 42
+
+
 def product_detail(spark, d):
-    catalog = _catalog(spark, d)
-    newest = catalog.select(F.max("id")).scalar()
-    return _listing(catalog.filter(F.col("id") == newest))
+    return _listing(C.get_product(_catalog(spark, d), PRODUCT_ID))
 
 
-def related_to_newest(spark, d):
-    catalog = _catalog(spark, d)
-    newest = catalog.select(F.max("id")).scalar()
-    own = catalog.filter(F.col("id") == newest).select(F.max("category")).scalar()
-    others = catalog.filter((F.col("category") == own) & (F.col("id") != newest))
-    return C.top_k(others.select("id", "name", "featured"), C.sort_order("featured"), 4)
+def related_to_product(spark, d):
+    catalog = _catalog(spark, d).select("id", "name", "category", "featured")
+    return C.related_to(catalog, PRODUCT_ID)
 
 
 def related_products(spark, d):
@@ -152,8 +152,6 @@ def uniqueness(spark, d):
 
 
 def duplicate_lines(spark, d):
-    from stockweave.sources.tables import load_table
-
     lines = load_table(spark, d, "lineitem").select("l_orderkey", "l_linenumber")
     return Q.unique_where_not_null(lines, ["l_orderkey", "l_linenumber"])
 
@@ -207,7 +205,7 @@ QUERIES = {
     "catalog_sorted_name": _ranked("name"),
     "catalog_top_featured": catalog_top_featured,
     "product_detail": product_detail,
-    "related_to_newest": related_to_newest,
+    "related_to_product": related_to_product,
     "related_products": related_products,
     "category_counts": category_counts,
     "provenance_split": provenance_split,
@@ -298,11 +296,10 @@ ORACLE = {
     "catalog_sorted_name": _ranked_sql("lower(name), id"),
     "catalog_top_featured": with_views("c", body="""
         SELECT id, name, featured FROM c ORDER BY featured DESC, lower(name), id LIMIT 4"""),
-    "product_detail": with_views("c", body=_LISTING_SQL + " WHERE id = (SELECT max(id) FROM c)"),
-    "related_to_newest": with_views("c", body="""
-        SELECT id, name, featured FROM c
-        WHERE category = (SELECT category FROM c WHERE id = (SELECT max(id) FROM c))
-            AND id <> (SELECT max(id) FROM c)
+    "product_detail": with_views("c", body=_LISTING_SQL + f" WHERE id = {PRODUCT_ID}"),
+    "related_to_product": with_views("c", body=f"""
+        SELECT id, name, category, featured FROM c
+        WHERE category = (SELECT category FROM c WHERE id = {PRODUCT_ID}) AND id <> {PRODUCT_ID}
         ORDER BY featured DESC, lower(name), id LIMIT 4"""),
     "related_products": with_views("c", body="""
         , k AS (SELECT id, name, category,

@@ -56,9 +56,16 @@ def read_evidence(spark: SparkSession, path: str, key: str, schema: StructType)
     return latest_per_key(checks, key, "pos").drop("pos")
 
 
-def read_ledger(spark: SparkSession, path: str) -> DataFrame:
-    """Active imports; a ledger that was never written is an empty one."""
+def write_ledger(ledger: DataFrame, path: str) -> None:
+    """One product per line, sorted by id."""
+    ledger.orderBy("id").write.mode("errorifexists").json(path)
+
+
+def read_ledger(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
+    """Active imports, from one document or from lines; a ledger that was never written is empty."""
     try:
+        if lines:
+            return spark.read.schema(LEDGER).json(path)
         document = spark.read.schema(StructType([StructField("products", ArrayType(LEDGER))])).json(
             path, multiLine=True
         )

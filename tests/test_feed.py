@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from stockweave.operators import feed as M
 from stockweave.schemas import IMAGE_EVIDENCE, LEDGER, PAGE_EVIDENCE
-from stockweave.sources.feeds import read_evidence, read_feed, read_feed_lines, read_ledger
+from stockweave.sources.feeds import read_evidence, read_feed, read_feed_lines, read_ledger, write_ledger
 
 ITEM = {
     "id": "MEN-2",
@@ -230,3 +230,10 @@ def test_readers(spark, tmp_path):
     checks.write_text(json.dumps({"checks": [PAGE, {**PAGE, "status": "blocked"}]}))
     assert [r.status for r in read_evidence(spark, str(checks), "id", PAGE_EVIDENCE).collect()] == ["blocked"]
     assert read_ledger(spark, str(tmp_path / "none.json")).count() == 0
+    assert read_ledger(spark, str(tmp_path / "none"), lines=True).count() == 0
+    ledger = run(spark, [ITEM], [PAGE], [IMAGE]).accepted.drop("pos")
+    write_ledger(ledger, str(tmp_path / "ledger"))
+    assert read_ledger(spark, str(tmp_path / "ledger"), lines=True).collect() == ledger.collect()
+    ledger_doc = tmp_path / "ledger.json"
+    ledger_doc.write_text(json.dumps({"schema_version": 1, "products": [{"id": "a", "sizes": ["S"]}]}))
+    assert [(r.id, r.sizes) for r in read_ledger(spark, str(ledger_doc)).collect()] == [("a", ["S"])]
