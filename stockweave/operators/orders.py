@@ -140,9 +140,10 @@ def read_order(orders: DataFrame, items: DataFrame, order_id) -> DataFrame:
     return read_orders(orders.filter(F.col("id") == wanted), items.filter(F.col("order_id") == wanted))
 
 
-def number_lines(items: DataFrame, order: list[Column] | None = None) -> DataFrame:
+def number_lines(items: DataFrame, order: list[Column] | None = None, **limits) -> DataFrame:
     """Line numbers per order, by product, size and color unless another order is given."""
-    return number_within(items, ["order_id"], order or [F.col(c) for c in ("product_id", "size", "color")])
+    order = order or [F.col(c) for c in ("product_id", "size", "color")]
+    return number_within(items, ["order_id"], order, **limits)
 
 
 # orders of one month are generated in runs of this many, spread over the tasks

@@ -1,6 +1,7 @@
 """Row numbers that never gather one group, or the whole table, in one task.
 
-A plain `row_number()` window puts a group into a single task. Here rows are
+A plain `row_number()` window puts a group into a single task. It is only used
+after a count has shown that every group is small. Otherwise rows are
 range-partitioned on the full sort order, so a group of any size spreads over as
 many slices as it needs; only per-slice totals are combined afterwards.
 """
@@ -14,6 +15,8 @@ from pyspark.sql import functions as F
 
 from stockweave.session import settle
 
+# largest group one task may sort
+WINDOW_ROWS = 1_000_000
 # monotonically_increasing_id: partition number above, record number in the low 33 bits
 _RECORD_BITS = 33
 
@@ -40,8 +43,22 @@ def _same_key(left: DataFrame, right: DataFrame, key: list[str]) -> Column:
     return reduce(lambda a, b: a & b, [left[k].eqNullSafe(right["_" + k]) for k in key])
 
 
-def number_within(rows: DataFrame, key: list[str], order: list[Column], name: str = "line_no") -> DataFrame:
-    """Number 1..n inside each key, in `order`; equal rows are numbered in any order."""
+def number_within(
+    rows: DataFrame, key: list[str], order: list[Column], name: str = "line_no", window_rows: int = WINDOW_ROWS
+) -> DataFrame:
+    """Number 1..n inside each key, in `order`; equal rows are numbered in any order.
+
+    The group sizes are counted first, on the key columns alone.
+    """
+    sizes = rows.groupBy(*key).agg(F.count("*").alias("_n"))
+    largest = sizes.agg(F.coalesce(F.max("_n"), F.lit(0))).first()[0]
+    if largest <= window_rows:
+        within = Window.partitionBy(*key).orderBy(*order)
+        return rows.withColumn(name, F.row_number().over(within).cast("bigint"))
+    return _number_over_slices(rows, key, order, name)
+
+
+def _number_over_slices(rows: DataFrame, key: list[str], order: list[Column], name: str) -> DataFrame:
     by_key = [F.col(k) for k in key]
     tied = rows.withColumn("_tie", F.monotonically_increasing_id())
     ranged = tied.repartitionByRange(*by_key, *order, F.col("_tie"))

@@ -120,7 +120,7 @@ def test_equal_rows_of_one_group_are_numbered_once(spark):
     from stockweave.operators.ranking import number_within, rank_rows
 
     rows = spark.range(5000).select(F.lit(1).alias("order_id"), F.lit("p").alias("product_id"))
-    numbered = number_within(rows, ["order_id"], [F.col("product_id")])
+    numbered = number_within(rows, ["order_id"], [F.col("product_id")], window_rows=100)
     assert sorted(r.line_no for r in numbered.collect()) == list(range(1, 5001))
     ranked = rank_rows(spark.range(5000).repartition(7), [F.col("id").desc()])
     assert all(r.position == 5000 - r.id for r in ranked.collect())
