@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from stockweave.functions import urls
 from stockweave.functions.text import present
+from stockweave.operators.shape import spread
 
 # Patterns of the audit and the demo mail domains.
 EMAIL = r"(?i)[A-Z0-9._%+-]+@[A-Z0-9.-]+\.[A-Z]{2,}"
@@ -30,17 +31,21 @@ INDEX = "index.html"
 def contact_audit(docs: DataFrame, key: str, content: str = "text", public: Column | None = None) -> DataFrame:
     """One row per document and kind of finding, over whole texts.
 
+    The mail pattern only runs where there is an @ at all.
+
     Phone numbers only count in public-facing documents (`public`, default all).
     """
     mails = F.regexp_extract_all(content, F.lit(EMAIL), F.lit(0))
-    foreign = F.exists(mails, lambda m: ~(m.endswith(DEMO_MAIL[0]) | m.endswith(DEMO_MAIL[1])))
+    foreign = F.contains(F.col(content), F.lit("@")) & F.exists(
+        mails, lambda m: ~(m.endswith(DEMO_MAIL[0]) | m.endswith(DEMO_MAIL[1]))
+    )
     shown = F.lit(True) if public is None else public
     issues = present(
         F.when(foreign, F.lit(EMAIL_ISSUE)),
         F.when(shown & F.col(content).rlike(PHONE), F.lit(PHONE_ISSUE)),
         F.when(F.col(content).rlike(SECRET), F.lit(SECRET_ISSUE)),
     )
-    return docs.select(key, F.explode(issues).alias("issue"))
+    return spread(docs).select(key, F.explode(issues).alias("issue"))
 
 
 def _unescape(c: Column) -> Column:
@@ -83,7 +88,7 @@ def page_references(pages: DataFrame, key: str, path: str, html: str = "html", s
     """Local references of each page: (page, reference, target path without leading slash)."""
     keys = [key, *([site] if site else [])]
     refs = F.flatten(F.transform(tags(html), lambda t: F.array(attribute(t, "src"), attribute(t, "href"))))
-    found = pages.select(*keys, F.col(path).alias("_page"), F.explode(refs).alias("reference"))
+    found = spread(pages).select(*keys, F.col(path).alias("_page"), F.explode(refs).alias("reference"))
     found = found.filter(F.col("reference") != "")
     local = (urls.scheme("reference") == "") & (urls.host("reference") == "") & (urls.path("reference") != "")
     found = found.filter(local)

@@ -155,15 +155,16 @@ def key_feed(feed: DataFrame) -> DataFrame:
 def join_evidence(keyed: DataFrame, pages: DataFrame, images: DataFrame) -> DataFrame:
     """Page and image evidence of each row's code; both sides hold one row per code.
 
-    Neither side is forced into a broadcast: evidence grows with the feed.
+    The two are put together first, so the feed meets them in one join whose left
+    side may be split when a code is hot. Neither is forced into a broadcast:
+    evidence grows with the feed.
     """
     page = pages.select(F.col("id").alias("_page_code"), F.struct(*pages.columns).alias("page"))
     image = images.select(F.col("product_id").alias("_image_code"), F.struct(*images.columns).alias("image"))
-    return (
-        keyed.join(page, F.col("code") == F.col("_page_code"), "left")
-        .join(image, F.col("code") == F.col("_image_code"), "left")
-        .drop("_page_code", "_image_code")
+    evidence = page.join(image, F.col("_page_code") == F.col("_image_code"), "full").select(
+        F.coalesce("_page_code", "_image_code").alias("code"), "page", "image"
     )
+    return keyed.join(evidence, "code", "left")
 
 
 def verified_details(item: Item, verified: Column) -> Column:
