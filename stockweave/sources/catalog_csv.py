@@ -79,6 +79,12 @@ def _number_records(rows: DataFrame, files: int) -> DataFrame:
     return numbered.drop("_at", "_first")
 
 
+def count_records(spark: SparkSession, path: str) -> DataFrame:
+    """Records below the header, whatever the columns are."""
+    rows = spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(path)
+    return rows.agg(F.count("*").alias("input_rows"))
+
+
 def image_listing(spark: SparkSession, directory: str) -> DataFrame:
     """File names directly inside an image folder, without reading the files."""
     listed = spark.read.format("binaryFile").load(directory).select("path")
