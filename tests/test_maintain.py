@@ -1,5 +1,3 @@
-from pyspark.sql import functions as F
-
 from stockweave.operators import maintain as U
 from stockweave.operators import quality as Q
 from stockweave.operators.audits import contact_audit, images_without_alt, reference_audit
