@@ -7,7 +7,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stockweave.llm import mixing, url_filter
+from stockweave.llm import mixing, simhash, toxicity, url_filter
 from stockweave.llm.common import numbered, text_of
 from stockweave.session import tune
 from stockweave.sources.tables import load_table
@@ -28,6 +28,18 @@ def blocked_hosts(pages: DataFrame) -> DataFrame:
     return hosts.filter(F.arrays_overlap(F.split("host", r"\."), F.array(*[F.lit(x) for x in BLOCKED_LABELS])))
 
 
+def toxic_lexicon(spark: SparkSession, sf_dir: str) -> toxicity.Lexicon:
+    """Learned from the labelled documents that are not held out."""
+    docs, labels = load_table(spark, sf_dir, "documents"), load_table(spark, sf_dir, "labels")
+    return toxicity.learn(toxicity.training_rows(docs, labels.filter(~toxicity.held_out())))
+
+
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load_table(spark, sf_dir, "documents")
+    scored = toxicity.score_toxicity(docs, toxic_lexicon(spark, sf_dir))
+    return scored.select("doc_id", toxicity.held_out().alias("held_out"), "score", "predicted", "n_hits")
+
+
 def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = load_table(spark, sf_dir, "pages")
     return url_filter.filter_urls(pages, URL_RULES, blocked_hosts(pages))
@@ -41,6 +53,12 @@ def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", taken, "copies")
 
 
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(load_table(spark, sf_dir, "documents"))
+    digits = F.lower(F.lpad(F.hex("fp"), 16, "0"))
+    return found.select("doc_id", digits.alias("fingerprint"), F.col("component").alias("component_id"))
+
+
 def _tuned(query):
     @wraps(query)
     def run(spark, sf_dir):
@@ -49,7 +67,7 @@ def _tuned(query):
     return run
 
 
-QUERIES = {q.__name__: _tuned(q) for q in (op3_url_filter, op5_mix_sources)}
+QUERIES = {q.__name__: _tuned(q) for q in (op2_toxicity, op3_url_filter, op5_mix_sources, op6_simhash)}
 
 ORACLE = {
     "op3_url_filter": r"""
