@@ -7,7 +7,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stockweave.llm import mixing, simhash, toxicity, url_filter
+from stockweave.llm import mixing, secrets, simhash, toxicity, url_filter
 from stockweave.llm.common import numbered, text_of
 from stockweave.session import tune
 from stockweave.sources.tables import load_table
@@ -45,6 +45,23 @@ def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.filter_urls(pages, URL_RULES, blocked_hosts(pages))
 
 
+def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.scan_secrets(load_table(spark, sf_dir, "documents"))
+    base = F.filter("spans", lambda s: s["kind"] < len(secrets.BASE))
+
+    def count(kind: int):
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
+
+    return found.select(
+        "doc_id",
+        count(0).alias("n_assign"),
+        count(1).alias("n_access"),
+        count(2).alias("n_hex"),
+        F.sha2(secrets.span_digest(base), 256).alias("base_sha256"),
+        secrets.span_digest(F.col("spans")).alias("spans"),
+    )
+
+
 def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = load_table(spark, sf_dir, "documents")
     sized = docs.select("doc_id", "source", mixing.word_count(text_of()).alias("size"))
@@ -67,7 +84,7 @@ def _tuned(query):
     return run
 
 
-QUERIES = {q.__name__: _tuned(q) for q in (op2_toxicity, op3_url_filter, op5_mix_sources, op6_simhash)}
+QUERIES = {q.__name__: _tuned(q) for q in (op2_toxicity, op3_url_filter, op4_secret_scan, op5_mix_sources, op6_simhash)}
 
 ORACLE = {
     "op3_url_filter": r"""
