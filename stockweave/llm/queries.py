@@ -7,7 +7,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stockweave.llm import mixing, secrets, simhash, toxicity, url_filter
+from stockweave.llm import mixing, quality, secrets, simhash, toxicity, url_filter
 from stockweave.llm.common import numbered, text_of
 from stockweave.session import tune
 from stockweave.sources.tables import load_table
@@ -76,6 +76,12 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", digits.alias("fingerprint"), F.col("component").alias("component_id"))
 
 
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = quality.judge_quality(load_table(spark, sf_dir, "documents"))
+    counts = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+    return judged.select("doc_id", *counts, "base_failed", "kept", "distance")
+
+
 def _tuned(query):
     @wraps(query)
     def run(spark, sf_dir):
@@ -84,7 +90,7 @@ def _tuned(query):
     return run
 
 
-QUERIES = {q.__name__: _tuned(q) for q in (op2_toxicity, op3_url_filter, op4_secret_scan, op5_mix_sources, op6_simhash)}
+QUERIES = {q.__name__: _tuned(q) for q in (op2_toxicity, op3_url_filter, op4_secret_scan, op5_mix_sources, op6_simhash, op7_quality)}
 
 ORACLE = {
     "op3_url_filter": r"""
