@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
+import os
 from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stockweave.llm import mixing, quality, secrets, simhash, toxicity, url_filter
+from stockweave.llm import mixing, pieces, quality, secrets, simhash, topk, toxicity, url_filter, warc
 from stockweave.llm.common import numbered, text_of
-from stockweave.session import tune
+from stockweave.session import settle_table, tune
 from stockweave.sources.tables import load_table
 
 URL_RULES = (
@@ -82,6 +83,39 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *counts, "base_failed", "kept", "distance")
 
 
+def op8_warc_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Audit of a replica that lacks some records and has a changed byte in some others."""
+    pages = load_table(spark, sf_dir, "pages")
+    html = F.coalesce("html", F.lit(""))
+    damaged = F.when(F.col("page_id") % 97 == 13, F.concat(F.lit("?"), F.substr(html, F.lit(2)))).otherwise(html)
+    lost = F.coalesce(F.col("page_id") % 193 == 7, F.lit(False))
+    sound = warc.record(F.col("url"), html)
+    records = pages.select(
+        "page_id",
+        F.octet_length(sound).cast("long").alias("length"),
+        F.sha2(sound, 256).alias("digest"),
+        F.sha2(warc.record(F.col("url"), damaged), 256).alias("replica_digest"),
+        lost.alias("lost"),
+    )
+    placed = settle_table(warc.lay_out(records, ["page_id", "digest"]), "warc-index")
+    replica = placed.filter(~F.col("lost")).select("file", "offset", "length", F.col("replica_digest").alias("digest"))
+    found = warc.audit(placed.select("file", "offset", "length", "digest"), replica)
+    named = placed.select("file", "offset", "page_id")
+    return found.join(named, ["file", "offset"]).select("page_id", "file", "offset", "length", "fault")
+
+
+def op9_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(load_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+# the vocabulary file: a parameter, never part of the repository
+PIECES_MODEL = os.environ.get("PIECES_MODEL", "/opt/tokenizers/piece_bpe_32k.model")
+
+
+def op10_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.encode(load_table(spark, sf_dir, "documents"), pieces.load_model(PIECES_MODEL))
+
+
 def _tuned(query):
     @wraps(query)
     def run(spark, sf_dir):
@@ -90,7 +124,7 @@ def _tuned(query):
     return run
 
 
-QUERIES = {q.__name__: _tuned(q) for q in (op2_toxicity, op3_url_filter, op4_secret_scan, op5_mix_sources, op6_simhash, op7_quality)}
+QUERIES = {q.__name__: _tuned(q) for q in (op2_toxicity, op3_url_filter, op4_secret_scan, op5_mix_sources, op6_simhash, op7_quality, op8_warc_fixity, op9_top_k, op10_pieces)}
 
 ORACLE = {
     "op3_url_filter": r"""
@@ -114,6 +148,38 @@ ORACLE = {
                                                                 'free-bets', 'spam-farm']) THEN 'block'
                     ELSE 'allow' END AS verdict
         FROM ruled""",
+    "op8_warc_fixity": r"""
+        WITH records AS (
+            SELECT page_id, html,
+                   octet_length(encode('WARC/1.1' || chr(13) || chr(10) || 'WARC-Type: response' || chr(13) || chr(10)
+                       || 'WARC-Target-URI: ' || coalesce(url, '') || chr(13) || chr(10)
+                       || 'Content-Type: text/html' || chr(13) || chr(10)
+                       || 'Content-Length: ' || octet_length(encode(coalesce(html, ''))) || chr(13) || chr(10)
+                       || chr(13) || chr(10) || coalesce(html, '') || chr(13) || chr(10) || chr(13) || chr(10))) AS length
+            FROM pages),
+        placed AS (SELECT *, (row_number() OVER (ORDER BY page_id) - 1) // 1000 AS file FROM records),
+        offsets AS (
+            SELECT *, CAST(coalesce(sum(length) OVER (PARTITION BY file ORDER BY page_id
+                           ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS "offset"
+            FROM placed)
+        SELECT page_id, file, "offset", length,
+               CASE WHEN page_id % 193 = 7 THEN 'missing' ELSE 'changed' END AS fault
+        FROM offsets
+        WHERE page_id % 193 = 7
+           OR (page_id % 97 = 13 AND coalesce(html, '') <> '?' || substring(coalesce(html, ''), 2))""",
+    "op9_top_k": r"""
+        WITH v AS (
+            SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(CAST(x AS DOUBLE) * 64) AS BIGINT)) AS v
+            FROM embeddings),
+        scored AS (
+            SELECT q.vec_id AS query_id, c.vec_id,
+                   CAST(list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2])) AS BIGINT) AS score
+            FROM v q JOIN v c ON q.vec_id <> c.vec_id
+            WHERE q.vec_id % 20 = 0),
+        ranked AS (
+            SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank
+            FROM scored)
+        SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20""",
 }
 
 
