@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stockweave.llm import mixing, pieces, quality, secrets, simhash, topk, toxicity, url_filter, warc
+from stockweave.llm import mixing, pieces, quality, secret_scan, simhash, substrings, topk, toxicity, url_filter, warc
 from stockweave.llm.common import numbered, text_of
 from stockweave.session import settle_table, tune
 from stockweave.sources.tables import load_table
@@ -29,6 +29,11 @@ def blocked_hosts(pages: DataFrame) -> DataFrame:
     return hosts.filter(F.arrays_overlap(F.split("host", r"\."), F.array(*[F.lit(x) for x in BLOCKED_LABELS])))
 
 
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substrings.remove_repeats(load_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 def toxic_lexicon(spark: SparkSession, sf_dir: str) -> toxicity.Lexicon:
     """Learned from the labelled documents that are not held out."""
     docs, labels = load_table(spark, sf_dir, "documents"), load_table(spark, sf_dir, "labels")
@@ -47,8 +52,8 @@ def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = secrets.scan_secrets(load_table(spark, sf_dir, "documents"))
-    base = F.filter("spans", lambda s: s["kind"] < len(secrets.BASE))
+    found = secret_scan.scan_secrets(load_table(spark, sf_dir, "documents"))
+    base = F.filter("spans", lambda s: s["kind"] < len(secret_scan.BASE))
 
     def count(kind: int):
         return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
@@ -58,8 +63,8 @@ def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         count(0).alias("n_assign"),
         count(1).alias("n_access"),
         count(2).alias("n_hex"),
-        F.sha2(secrets.span_digest(base), 256).alias("base_sha256"),
-        secrets.span_digest(F.col("spans")).alias("spans"),
+        F.sha2(secret_scan.span_digest(base), 256).alias("base_sha256"),
+        secret_scan.span_digest(F.col("spans")).alias("spans"),
     )
 
 
@@ -124,7 +129,7 @@ def _tuned(query):
     return run
 
 
-QUERIES = {q.__name__: _tuned(q) for q in (op2_toxicity, op3_url_filter, op4_secret_scan, op5_mix_sources, op6_simhash, op7_quality, op8_warc_fixity, op9_top_k, op10_pieces)}
+QUERIES = {q.__name__: _tuned(q) for q in (op1_substring_dedup, op2_toxicity, op3_url_filter, op4_secret_scan, op5_mix_sources, op6_simhash, op7_quality, op8_warc_fixity, op9_top_k, op10_pieces)}
 
 ORACLE = {
     "op3_url_filter": r"""
