@@ -34,7 +34,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stockweave.llm.common import WORD, text_of
+from stockweave.llm.common import WORD, fresh, numbered, text_of
 from stockweave.operators.ranking import rank_rows
 from stockweave.session import settle_table
 
@@ -157,5 +157,12 @@ def mix(
     return round_copies(units, seed).drop("n_docs")
 
 
-def sized_documents(docs: DataFrame, row_id: str) -> DataFrame:
-    return docs.select(F.col(row_id).alias("row_id"), "source", word_count(text_of()).alias("size"))
+def mixed_documents(docs: DataFrame, weights: tuple[float, ...] = (3.0, 1.0, 2.0), share: float = 1.5, most: float = 2.0) -> DataFrame:
+    """`docs` (text, source, more) with every row as often as the mix takes it."""
+    row, times = fresh(docs, "row_id"), fresh(docs, "copies")
+    rows = numbered(docs, row, "mix-documents")
+    mixed = mix(rows.select(F.col(row).alias("row_id"), "source", word_count(text_of()).alias("size")), weights, share, most)
+    taken = mixed.filter("copies > 0").select(F.col("row_id").alias(row), F.col("copies").cast("int").alias(times))
+    # two numbers per row are the side to hash; texts are neither sorted nor kept
+    joined = rows.join(taken.hint("shuffle_hash"), row)
+    return joined.select(*docs.columns, F.explode(F.array_repeat(F.lit(0), F.col(times))).alias(times)).select(*docs.columns)

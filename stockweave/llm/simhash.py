@@ -32,16 +32,17 @@ empty table gives no rows; columns other than the key and text are not read.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from itertools import accumulate
 
 import numpy as np
 import pandas as pd
-import re
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from stockweave.llm.common import fresh, numbered
 from stockweave.session import settle_table
 
 SHINGLE = 4
@@ -295,4 +296,17 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id") -> DataFrame:
     component = linked.groupBy("root").agg(F.min("first").alias("least"))
     linked = linked.join(component, "root").select("fp", "least")
     classes = distinct.join(linked, "fp", "left").select("fp", F.coalesce("least", "first").alias("component"))
+    # written first: the last join then starts from plain tables, and a hot fingerprint can be split
+    classes = settle_table(classes, "simhash-classes")
     return marked.join(classes, "fp", "left").select(key, "fp", "component")
+
+
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """`docs` (doc_id, text, more) without all but one row of each component: the smallest doc_id, null last."""
+    row = fresh(docs, "row_id")
+    rows = numbered(docs, row, "simhash-rows")
+    found = near_duplicates(rows, row).join(rows.select(row, "doc_id"), row)
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", row)
+    kept = found.groupBy("component").agg(F.min(order)[row].alias(row)).select(row)
+    # kept rows are a number each, the side to hash; texts are neither sorted nor kept
+    return rows.join(kept.hint("shuffle_hash"), row, "left_semi").select(*docs.columns)

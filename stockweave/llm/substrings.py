@@ -56,7 +56,6 @@ FILTER_BITS = 1 << 27
 # most contexts of an anchor that one task compares
 PART = 2_048
 CHUNK_BYTES = 2 << 20
-CHUNK_ROWS = 200_000
 LAST = (1 << 63) - 1
 
 _BASE = 0x9E3779B97F4A7C15
@@ -298,7 +297,8 @@ def _equal_bytes(data: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def _compare_contexts(rows: pd.DataFrame) -> pd.DataFrame:
-    """Per string start of every context: whether an equal string starts earlier; contexts of whole (gram, part) groups."""
+    """For the contexts of whole (gram, part) groups: spans of strings that start earlier (lost), and what
+    is left of the strings of anchors in several parts, one by one."""
     rows = rows.sort_values(["doc", "tie", "start"], kind="stable").reset_index(drop=True)
     data = np.frombuffer(b"".join(rows["bytes"]), np.uint8)
     size = rows["bytes"].str.len().to_numpy(np.int64)
@@ -328,24 +328,27 @@ def _compare_contexts(rows: pd.DataFrame) -> pd.DataFrame:
     lost[later[same]] = True
     back = np.zeros(len(where), bool)
     back[by_bucket] = lost
-    found = rows[["doc", "tie"]].iloc[context].reset_index(drop=True)
-    found["start"] = (rows["start"].to_numpy()[context] + step).astype(np.int32)
-    found["lost"] = back
-    hashes = prefixes.of(at[context] + step, at[context] + step + LENGTH)
-    found["string"] = _mix(hashes).view(np.int64)
-    found["gram"] = rows["gram"].to_numpy()[context]
-    found["parts"] = rows["parts"].to_numpy()[context]
-    return found
+    begin = rows["start"].to_numpy()[context] + step
+
+    def picked(first: np.ndarray, last: np.ndarray, gone: bool) -> pd.DataFrame:
+        of = context[first]
+        string = _mix(prefixes.of(at[of] + step[first], at[of] + step[first] + LENGTH)).view(np.int64)
+        columns = {c: rows[c].to_numpy()[of] for c in ("doc", "tie", "gram")}
+        return pd.DataFrame({**columns, "start": begin[first], "end": begin[last] + LENGTH, "lost": gone, "string": string})
+
+    gone = np.flatnonzero(back)
+    new = np.ones(len(gone), bool)
+    new[1:] = (gone[1:] != gone[:-1] + 1) | (context[gone[1:]] != context[gone[:-1]])
+    first = np.flatnonzero(new)
+    spans = picked(gone[first], gone[np.append(first[1:], len(gone)) - 1] if len(gone) else gone, True)
+    open_ = np.flatnonzero(~back & (rows["parts"].to_numpy()[context] > 1))
+    return pd.concat([spans, picked(open_, open_, False)])
 
 
 def _sort_parts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Spans that go, and the first strings of the anchors in several parts; input sorted by gram and part."""
     held: list[pd.DataFrame] = []
 
-    def out(rows: pd.DataFrame) -> pd.DataFrame:
-        found = _compare_contexts(rows)
-        return found[found["lost"] | (found["parts"] > 1)].drop(columns="parts")
-
     for rows in batches:
         if not len(rows):
             continue
@@ -357,9 +360,9 @@ def _sort_parts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         open_ = (key == key[-1]).all(axis=1)
         held = [rows[open_]]
         if not open_.all():
-            yield out(rows[~open_])
+            yield _compare_contexts(rows[~open_])
     if held:
-        yield out(pd.concat(held, ignore_index=True))
+        yield _compare_contexts(pd.concat(held, ignore_index=True))
 
 
 def _spans(start: Column, end: Column) -> Column:
@@ -397,14 +400,14 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     contexts = docs.mapInPandas(_members(_gram_filter(several), True), _MEMBER).drop("lost", "context")
     dealt = contexts.join(several, "gram").withColumn("part", F.pmod(F.xxhash64("doc", "tie"), F.col("parts")).cast("int"))
     strings = dealt.repartition("gram", "part").sortWithinPartitions("gram", "part").mapInPandas(
-        _sort_parts, "doc long, tie long, start int, lost boolean, string long, gram long"
+        _sort_parts, "doc long, tie long, gram long, start int, end int, lost boolean, string long"
     )
     strings = settle_table(strings, "substring-strings")
     # firsts of the parts of one anchor meet per string
-    firsts = strings.filter("not lost").select("doc", "tie", "start", "string", "gram")
+    firsts = strings.filter("not lost")
     least = firsts.groupBy("gram", "string").agg(F.min(F.struct("doc", "tie", "start")).alias("first"))
     crossing = firsts.join(least, ["gram", "string"]).filter(F.struct("doc", "tie", "start") != F.col("first"))
-    one = _spans(F.col("start"), F.col("start") + LENGTH).alias("span")
+    one = _spans(F.col("start"), F.col("end")).alias("span")
     return (
         later.select("doc", "tie", whole.alias("span"))
         .unionByName(strings.filter("lost").select("doc", "tie", one))

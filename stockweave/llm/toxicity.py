@@ -270,6 +270,16 @@ def score_toxicity(docs: DataFrame, lexicon: Lexicon, key: str = "doc_id") -> Da
     )
 
 
+def drop_toxic(docs: DataFrame, lexicon: Lexicon) -> DataFrame:
+    """The rows of `docs` whose text scores below one half, with all their columns; only texts go to Python."""
+
+    @F.pandas_udf("boolean")
+    def clean(texts: pd.Series) -> pd.Series:
+        return pd.Series([lexicon.score(lexicon.strength(fold(t))) < 0.5 for t in texts], dtype=bool)
+
+    return docs.filter(clean(text_of()))
+
+
 def held_out(folds: int = 5):
     """Rows that learning must not see: crc32 of doc_id as text is a multiple of `folds`."""
     return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % folds == 0, F.lit(False))
