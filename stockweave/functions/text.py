@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import json
+from html.entities import html5
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -116,3 +119,38 @@ def flag(c) -> Column:
     """0/1, true/false, yes/no as a boolean; NULL for anything else."""
     text = F.lower(col(c))
     return F.when(text.isin("1", "true", "yes"), True).when(text.isin("0", "false", "no"), False)
+
+
+# A character reference, a lone ampersand, or a stretch without any.
+_REFERENCE = r"&(?:#[0-9]+|#[xX][0-9a-fA-F]+|[A-Za-z][A-Za-z0-9]*);?|&|[^&]+"
+_REPLACEMENT = "\ufffd"
+
+
+def _code_point(code: Column) -> Column:
+    """The character of a number; numbers that are no character give U+FFFD, 128 to 159 mean Windows-1252."""
+    plain = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
+    bad = code.isNull() | (code == 0) | code.between(0xD800, 0xDFFF) | (code > 0x10FFFF)
+    out = F.when(bad, F.lit(_REPLACEMENT))
+    for number in range(0x80, 0xA0):
+        try:
+            out = out.when(code == number, F.lit(bytes([number]).decode("cp1252")))
+        except UnicodeDecodeError:
+            continue
+    return out.otherwise(plain)
+
+
+def unescape(c: Column) -> Column:
+    """HTML character references as the characters they stand for, in any value that has an ampersand."""
+    names = F.from_json(F.lit(json.dumps(html5)), "map<string,string>")
+
+    def decoded(part: Column) -> Column:
+        sixteen = F.regexp_extract(part, r"^&#[xX]0*([0-9a-fA-F]*)", 1)
+        ten = F.regexp_extract(part, r"^&#0*([0-9]*)", 1)
+        # more digits than any code point has are no character
+        code = F.when(part.rlike("^&#[xX]"), F.when(F.length(sixteen) <= 8, F.conv(sixteen, 16, 10).cast("long")))
+        code = code.otherwise(F.when(F.length(ten) <= 9, F.concat(F.lit("0"), ten).cast("long")))
+        named = F.coalesce(F.try_element_at(names, F.substr(part, F.lit(2))), part)
+        return F.when(part.startswith("&#") & (F.length(part) > 2), _code_point(code)).when(part.startswith("&"), named).otherwise(part)
+
+    parts = F.regexp_extract_all(c, F.lit(_REFERENCE), F.lit(0))
+    return F.when(F.contains(c, F.lit("&")), F.array_join(F.transform(parts, decoded), "")).otherwise(c)

@@ -6,8 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stockweave.functions import urls
-from stockweave.functions.text import present
-from stockweave.operators.shape import spread
+from stockweave.functions.text import present, unescape
 
 # Patterns of the audit and the demo mail domains.
 EMAIL = r"(?i)[A-Z0-9._%+-]+@[A-Z0-9.-]+\.[A-Z]{2,}"
@@ -23,8 +22,10 @@ SECRET_ISSUE = "Possible credential found"
 
 # Start tags with their attributes; comments and script or style bodies are no tags.
 INVISIBLE = r"(?is)<!--.*?-->|(<(?:script|style)\b[^>]*>).*?</(?:script|style)\s*>"
-TAG = r"""(?s)<[A-Za-z](?:[^>"']|"[^"]*"|'[^']*')*>"""
-ATTRIBUTE = r"""(?is)\s{name}\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
+# Possessive runs: a tag of any length is matched without a stack frame per character.
+TAG = r"""(?s)<[A-Za-z](?:[^>"']++|"[^"]*+"|'[^']*+')*+>"""
+# A name with its value, read one after the other, so that no value is taken for a name.
+PAIR = r"""(?s)[\s/]++([^\s"'>/=]++)(?:\s*+=\s*+("[^"]*+"|'[^']*+'|[^\s>"']++))?+"""
 INDEX = "index.html"
 
 
@@ -45,13 +46,7 @@ def contact_audit(docs: DataFrame, key: str, content: str = "text", public: Colu
         F.when(shown & F.col(content).rlike(PHONE), F.lit(PHONE_ISSUE)),
         F.when(F.col(content).rlike(SECRET), F.lit(SECRET_ISSUE)),
     )
-    return spread(docs).select(key, F.explode(issues).alias("issue"))
-
-
-def _unescape(c: Column) -> Column:
-    for entity, char in (("&quot;", '"'), ("&#39;", "'"), ("&lt;", "<"), ("&gt;", ">"), ("&amp;", "&")):
-        c = F.replace(c, F.lit(entity), F.lit(char))
-    return c
+    return docs.select(key, F.explode(issues).alias("issue"))
 
 
 def tags(html) -> Column:
@@ -61,10 +56,13 @@ def tags(html) -> Column:
 
 
 def attribute(tag: Column, name: str) -> Column:
-    """Value of an attribute, empty when it is absent or blank."""
-    pattern = ATTRIBUTE.replace("{name}", name)
-    groups = [F.regexp_extract(tag, pattern, i) for i in (1, 2, 3)]
-    return _unescape(F.concat(*groups))
+    """Value of an attribute, empty when it is absent or has none; the last of equal names counts."""
+    names, values = [F.regexp_extract_all(tag, F.lit(PAIR), F.lit(i)) for i in (1, 2)]
+    pairs = F.zip_with(names, values, lambda n, v: F.struct(F.lower(n).alias("name"), v.alias("value")))
+    own = F.filter(pairs, lambda p: p["name"] == name)
+    raw = F.coalesce(F.try_element_at(own, F.lit(-1))["value"], F.lit(""))
+    quoted = F.substring(raw, 1, 1).isin('"', "'")
+    return unescape(F.when(quoted, F.substr(raw, F.lit(2), F.length(raw) - 2)).otherwise(raw))
 
 
 def images_without_alt(pages: DataFrame, key: str, html: str = "html") -> DataFrame:
@@ -88,7 +86,7 @@ def page_references(pages: DataFrame, key: str, path: str, html: str = "html", s
     """Local references of each page: (page, reference, target path without leading slash)."""
     keys = [key, *([site] if site else [])]
     refs = F.flatten(F.transform(tags(html), lambda t: F.array(attribute(t, "src"), attribute(t, "href"))))
-    found = spread(pages).select(*keys, F.col(path).alias("_page"), F.explode(refs).alias("reference"))
+    found = pages.select(*keys, F.col(path).alias("_page"), F.explode(refs).alias("reference"))
     found = found.filter(F.col("reference") != "")
     local = (urls.scheme("reference") == "") & (urls.host("reference") == "") & (urls.path("reference") != "")
     found = found.filter(local)

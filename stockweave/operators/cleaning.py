@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from stockweave.functions import identity, money, text
 from stockweave.operators.quality import category_counts
-from stockweave.operators.shape import fixed, spread
+from stockweave.operators.shape import fixed
 from stockweave.schemas import CATEGORIES, CLEAN_PRODUCT, RAW_COLUMNS
 
 # Category aliases, the image path pattern and text limits.
@@ -150,7 +150,7 @@ def clean_catalog(raw: DataFrame, image_files: DataFrame) -> CleanCatalog:
     after a map-side partial count; only repeated ids meet the rows again.
     """
     ragged = F.col("ragged") if "ragged" in raw.columns else F.lit(False)
-    rows = spread(raw).select(
+    rows = raw.select(
         "row",
         F.struct(*RAW_COLUMNS).alias("raw"),
         F.struct(*[text.squash(text.blank_if_null(f)).alias(f) for f in RAW_COLUMNS]).alias("text"),

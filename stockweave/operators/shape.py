@@ -15,18 +15,3 @@ def fixed(rows: DataFrame, kept: list[str], computed: dict[str, Column]) -> Data
     """
     values = F.struct(*[c.alias(n) for n, c in computed.items()])
     return rows.select(*kept, F.inline(F.array(values)))
-
-
-def spread(rows: DataFrame) -> DataFrame:
-    """Give rows that come in fewer splits than there are cores to all cores.
-
-    For work that costs much per row. A large input has enough splits and is not
-    moved; the planner's size estimate tells which case it is.
-    """
-    if rows.isStreaming:
-        return rows
-    spark = rows.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    split = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
-    estimate = int(str(rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return rows if estimate >= cores * split else rows.repartition(cores)

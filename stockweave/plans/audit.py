@@ -6,15 +6,15 @@ from pyspark.sql import functions as F
 
 from stockweave.functions import urls
 from stockweave.operators import audits as H
-from stockweave.sources.tables import load_table
+from stockweave.sources.tables import load_spread, load_table
 
 
 def contact_audit(spark, d):
-    return H.contact_audit(load_table(spark, d, "documents"), "doc_id")
+    return H.contact_audit(load_spread(spark, d, "documents", "doc_id", "text"), "doc_id")
 
 
 def contact_audit_pages(spark, d):
-    return H.contact_audit(load_table(spark, d, "pages"), "page_id", "html")
+    return H.contact_audit(load_spread(spark, d, "pages", "page_id", "html"), "page_id", "html")
 
 
 def contact_audit_chats(spark, d):
@@ -26,7 +26,7 @@ def contact_audit_chats(spark, d):
 
 
 def _site(spark, d):
-    return load_table(spark, d, "pages").select(
+    return load_spread(spark, d, "pages").select(
         "page_id", "html", urls.host("url").alias("site"), urls.path("url").alias("path")
     )
 
@@ -42,16 +42,31 @@ def images_without_alt(spark, d):
     return H.images_without_alt(_site(spark, d), "page_id")
 
 
+# One image per page, by page_id % 4: a text, a text that looks like an attribute, a title that looks
+# like one, and an empty text beside one that is given twice, the last time empty.
+_IMAGES = (
+    '<img src="/a.png" alt="text">',
+    '<img alt="a src=x.png b" src="/b.png">',
+    '<img title="no alt=here" src="/c.png">',
+    "<IMG ALT='' SRC=/d.png><img alt=x src=/e.png alt=''>",
+)
+
+
+def images_without_alt_mixed(spark, d):
+    pages = _site(spark, d)
+    image = F.get(F.array(*[F.lit(i) for i in _IMAGES]), (F.col("page_id") % 4).cast("int"))
+    return H.images_without_alt(pages.withColumn("html", F.concat("html", image)), "page_id")
+
+
 QUERIES = {
     "contact_audit": contact_audit,
     "contact_audit_pages": contact_audit_pages,
     "contact_audit_chats": contact_audit_chats,
     "reference_audit": reference_audit,
     "images_without_alt": images_without_alt,
+    "images_without_alt_mixed": images_without_alt_mixed,
 }
 
-_SECRET = r"(?:gh[pousr]_[A-Za-z0-9]{30,}|github_pat_[A-Za-z0-9_]{30,}|-----BEGIN (?:RSA |EC |OPENSSH )?PRIVATE KEY-----)"
-
 
 def _contact_sql(key: str, content: str, source: str, public: str = "true") -> str:
     # a neighbour that is no digit stands for the look-arounds
@@ -60,7 +75,7 @@ def _contact_sql(key: str, content: str, source: str, public: str = "true") -> s
                 lambda m: NOT (ends_with(m, '@example.com') OR ends_with(m, '@users.noreply.github.com')))) > 0
         UNION ALL SELECT {key}, '{H.PHONE_ISSUE}' FROM {source}
             WHERE {public} AND regexp_matches({content}, '(?:^|[^0-9])(?:\+91[ -]?)?[6-9]\d{{4}}[ -]?\d{{5}}(?:[^0-9]|$)')
-        UNION ALL SELECT {key}, '{H.SECRET_ISSUE}' FROM {source} WHERE regexp_matches({content}, '{_SECRET}')"""
+        UNION ALL SELECT {key}, '{H.SECRET_ISSUE}' FROM {source} WHERE regexp_matches({content}, '{H.SECRET}')"""
 
 
 _TAGS = r"""WITH page AS (SELECT page_id, regexp_replace(lower(regexp_extract(url, '^[A-Za-z]+://([^/?#]*)', 1)), ':\d*$', '') AS site,
@@ -85,6 +100,9 @@ ORACLE = {
     ),
     "images_without_alt": _TAGS + f"""SELECT page_id, count(*) AS images FROM tag
         WHERE regexp_matches(tag, '(?i)^<img[\\s/>]') AND {_attribute_sql('alt')} = '' GROUP BY page_id""",
+    # the pages themselves have no images
+    "images_without_alt_mixed": """SELECT page_id, CAST(CASE page_id % 4 WHEN 2 THEN 1 ELSE 2 END AS BIGINT) AS images
+        FROM pages WHERE page_id % 4 IN (2, 3)""",
     "reference_audit": _TAGS + f""", ref AS (SELECT page_id, site, path, unnest([{_attribute_sql('src')}, {_attribute_sql('href')}]) AS r FROM tag),
         loc AS (SELECT page_id, site, path, url_decode(regexp_extract(r, '^[^?#]*', 0)) AS r FROM ref
             WHERE r <> '' AND NOT regexp_matches(r, '^[A-Za-z][A-Za-z0-9+.\\-]*:') AND NOT starts_with(r, '//')

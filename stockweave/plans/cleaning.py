@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from stockweave.operators import cleaning as L
-from stockweave.sources.tables import load_table
+from stockweave.sources.tables import load_spread, load_table
 
 # The same expressions in both dialects: texts as retailers send them, with every
 # kind of bad row. A seventeenth of the rows shares one id.
@@ -43,7 +43,7 @@ _INNER = """SELECT *, CAST(p_partkey AS {text}) AS K, {word} AS W,
 
 
 def raw_parts(spark, d):
-    part = load_table(spark, d, "part")
+    part = load_spread(spark, d, "part")
     inner = _INNER.format(text="STRING", word="substring_index(p_name, ' ', 1)", div="DIV", source="{part}")
     columns = ", ".join(f"{expression} AS {name}" for name, expression in _RAW.items())
     return spark.sql(f"SELECT {columns} FROM ({inner}) u", part=part)

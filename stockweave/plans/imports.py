@@ -11,7 +11,7 @@ from stockweave.operators.images import select_image_evidence
 from stockweave.operators.quality import unique_where_not_null
 from stockweave.plans.views import CATEGORY_OF_TYPE, category
 from stockweave.sources.feeds import latest_per_key
-from stockweave.sources.tables import load_table
+from stockweave.sources.tables import load_spread, load_table
 
 # Listing columns, valid in both dialects. A ninth of the rows share one URL, others
 # come in groups of ten copies; codes of a few rows give no id.
@@ -54,7 +54,7 @@ def _columns(text: str, div: str) -> str:
 
 
 def listings(spark, d):
-    part = load_table(spark, d, "part").withColumn("C", category())
+    part = load_spread(spark, d, "part").withColumn("C", category())
     base = _BASE.format(text="STRING", div="DIV", source="{part}")
     return spark.sql(f"SELECT {_columns('STRING', 'DIV')} FROM ({base}) b", part=part)
 
