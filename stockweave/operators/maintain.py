@@ -5,7 +5,7 @@ Every function returns the tables as they are afterwards; `sinks.publish` stores
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stockweave.sources.feeds import latest_per_key
@@ -31,26 +31,29 @@ def upsert(base: DataFrame, incoming: DataFrame, key: str = "id") -> DataFrame:
     return kept.unionByName(incoming.join(old, key, "left").select(*base.columns))
 
 
-def insert_if_absent(base: DataFrame, incoming: DataFrame, keys: list[str], order: str | None = None) -> DataFrame:
-    """Rows whose key is not there yet; of several new rows with one key the first stays."""
+def insert_if_absent(base: DataFrame, incoming: DataFrame, keys: list[str], order: Column | str) -> DataFrame:
+    """Rows whose key is not there yet; of several new rows with one key the first by `order` stays."""
     columns = base.columns
-    if order:
-        first = incoming.groupBy(*keys).agg(F.min_by(F.struct(*columns), order).alias("_first"))
-        incoming = first.select(*[F.col("_first")[c].alias(c) for c in columns])
-    fresh = incoming.select(*columns).join(base.select(*keys), keys, "left_anti")
+    first = incoming.groupBy(*keys).agg(F.min_by(F.struct(*columns), order).alias("_first"))
+    fresh = first.select(*[F.col("_first")[c].alias(c) for c in columns]).join(base.select(*keys), keys, "left_anti")
     return base.unionByName(fresh)
 
 
 def insert_items_if_matching(
-    base: DataFrame, incoming: DataFrame, orders: DataFrame, keys: tuple[str, ...] = ("order_id", "line_no")
+    base: DataFrame,
+    incoming: DataFrame,
+    orders: DataFrame,
+    order: Column | str,
+    keys: tuple[str, ...] = ("order_id", "line_no"),
 ) -> DataFrame:
     """Lines are only added for a stored header with the same hash.
 
-    `incoming` carries `request_hash`; lines that exist keep their price snapshot.
+    `incoming` carries `request_hash`; lines that exist keep their price snapshot, and of
+    new lines with one key the first by `order` stays.
     """
     stored = orders.select(F.col("id").alias("order_id"), "request_hash")
     guarded = incoming.join(stored, ["order_id", "request_hash"], "left_semi")
-    return insert_if_absent(base, guarded.select(*base.columns), list(keys))
+    return insert_if_absent(base, guarded, list(keys), order)
 
 
 def activate(
@@ -99,7 +102,7 @@ def retire(
     return {
         "products": without(products, "id", hit.join(sold, "id", "left_anti"), "id"),
         "source_products": without(source_products, "id", ids, "id"),
-        "unavailable": insert_if_absent(unavailable, marks, ["id"]),
+        "unavailable": insert_if_absent(unavailable, marks, ["id"], "reason"),
         "retired": without(retired, "product_id", records, "product_id").unionByName(
             ledger_rows.select(*retired.columns)
         ),

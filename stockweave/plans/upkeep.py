@@ -99,7 +99,10 @@ def insert_if_absent(spark, d):
 
 
 def insert_items_if_matching(spark, d):
-    """Lines enter when the stored header has the hash they were made for; large ones are stored already."""
+    """Lines enter when the stored header has the hash they were made for; large ones are stored already.
+
+    Every line comes twice, the second time with another quantity: the first stays.
+    """
     orders = load_table(spark, d, "orders").select(
         F.col("o_orderkey").alias("id"), F.col("o_orderstatus").alias("request_hash")
     )
@@ -109,7 +112,9 @@ def insert_items_if_matching(spark, d):
         .agg(F.min("l_linestatus").alias("request_hash"), F.max("l_quantity").cast("bigint").alias("quantity"))
     )
     base = lines.filter("quantity >= 45").select("order_id", "product_id", "quantity")
-    return U.insert_items_if_matching(base, lines, orders, ("order_id", "product_id"))
+    again = lines.withColumns({"quantity": F.col("quantity") + 100, "delivery": F.lit(2)})
+    twice = lines.withColumn("delivery", F.lit(1)).unionByName(again)
+    return U.insert_items_if_matching(base, twice, orders, "delivery", ("order_id", "product_id"))
 
 
 def drift(spark, d):

@@ -1,3 +1,8 @@
+import html
+
+from pyspark.sql import functions as F
+
+from stockweave.functions.text import unescape
 from stockweave.operators import maintain as U
 from stockweave.operators import quality as Q
 from stockweave.operators.audits import contact_audit, images_without_alt, reference_audit
@@ -55,9 +60,11 @@ def test_inserts_are_repeatable_and_guarded(spark):
     incoming = frame(
         spark, [("o1", 1, 999, "h1"), ("o1", 2, 5, "h1"), ("o2", 1, 7, "other")],
         "order_id string, line_no int, price bigint, request_hash string")
-    after = U.insert_items_if_matching(base, incoming, orders)
+    after = U.insert_items_if_matching(base, incoming, orders, "price")
     assert sorted(map(tuple, after.collect())) == [("o1", 1, 100), ("o1", 2, 5)]
-    assert U.insert_items_if_matching(after, incoming, orders).count() == 2
+    assert U.insert_items_if_matching(after, incoming, orders, "price").count() == 2
+    twice = incoming.withColumn("price", F.col("price") + 1).unionByName(incoming)
+    assert sorted(map(tuple, U.insert_items_if_matching(base, twice, orders, "price").collect())) == [("o1", 1, 100), ("o1", 2, 5)]
 
 
 def test_upsert_twice_changes_nothing_more(spark):
@@ -154,3 +161,31 @@ def test_image_evidence(spark):
         "odd": ("rejected", "not a url", "IMAGE_BROKEN"),
         "mismatch": ("rejected", hosts + "1.jpg", "PRODUCT_MISMATCH"),
     }
+
+
+def test_tags_of_any_length(spark):
+    """A megabyte in one tag, closed or not, quoted or not, is no deep recursion."""
+    x = "x" * 1_000_000
+    pages = frame(spark, [
+        ("open", f"<a {x}"), ("long", f"<img {x}>"), ("quoted", f'<img alt="{x}">'), ("many", "<img " + 'a="b" ' * 100_000 + ">"),
+        ("bare", "<img src=" + x + ">")], "page string, html string")
+    found = {r.page: r.images for r in images_without_alt(pages, "page").collect()}
+    assert found == {"long": 1, "many": 1, "bare": 1}
+
+
+def test_attributes_are_read_in_sequence(spark):
+    pages = frame(spark, [
+        ("value", '<img alt="a src=x.png b" src="y.png">'), ("title", '<img title="no alt=here" src=z.png>'),
+        ("last", "<img alt=x src=a.png alt='' src=b.png>"), ("entity", '<a href="a&#x2F;b&period;html">')],
+        "page string, html string").withColumn("path", F.lit("index.html"))
+    assert {r.page for r in images_without_alt(pages, "page").collect()} == {"title", "last"}
+    broken = reference_audit(pages, frame(spark, [("none",)], "path string"), "page", "path").collect()
+    assert sorted((r.page, r.target) for r in broken) == [
+        ("entity", "a/b.html"), ("last", "b.png"), ("title", "z.png"), ("value", "y.png")]
+
+
+def test_character_references(spark):
+    texts = ["&amp;&lt;x&quot;", "&eacute; & &", "&#128;&#x80;&#0;&#xD800;&#99999999999;&#x1F600;", "&hearts;&amp", "&#", "&#x;",
+             "&#65b&#x41;&AMP;", ""]
+    rows = frame(spark, [(t,) for t in texts], "c string").select("c", unescape(F.col("c")).alias("u")).collect()
+    assert [(r.c, r.u) for r in rows] == [(t, html.unescape(t)) for t in texts]
