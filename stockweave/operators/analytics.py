@@ -6,12 +6,16 @@ side of a header join, which AQE splits. Money is summed as whole paise.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stockweave.operators.errors import RequestError
 from stockweave.schemas import ORDER_SOURCES
-from stockweave.session import settle
+from stockweave.session import settle_table
+
+POPULAR = 5
 
 
 def source_filter(orders: DataFrame, source: str = "all") -> DataFrame:
@@ -92,10 +96,10 @@ def category_sales(orders: DataFrame, items: DataFrame, source: str = "all") ->
     )
 
 
-def with_active_flag(rows: DataFrame, catalog: DataFrame, limit: int) -> DataFrame:
-    """Is the product still listed? `rows` holds at most `limit` products."""
-    wanted = rows.select(F.col("product_id").alias("id")).limit(limit)
-    listed = catalog.select("id").join(F.broadcast(wanted), "id", "left_semi").distinct()
+def with_active_flag(rows: DataFrame, catalog: DataFrame) -> DataFrame:
+    """Is the product still listed? Only the catalog's ids that `rows` asks for are made distinct."""
+    wanted = rows.select(F.col("product_id").alias("id"))
+    listed = catalog.select("id").join(wanted, "id", "left_semi").distinct()
     flags = listed.select(F.col("id").alias("product_id"), F.lit(True).alias("_listed"))
     return rows.join(flags, "product_id", "left").select(
         *rows.columns, F.coalesce("_listed", F.lit(False)).alias("active")
@@ -103,12 +107,9 @@ def with_active_flag(rows: DataFrame, catalog: DataFrame, limit: int) -> DataFra
 
 
 def popular_products(
-    orders: DataFrame, items: DataFrame, catalog: DataFrame, source: str = "all", k: int = 5
+    orders: DataFrame, items: DataFrame, catalog: DataFrame, source: str = "all", k: int = POPULAR
 ) -> DataFrame:
-    """Top `k` by units, revenue, id. The catalog is only asked about those k ids.
-
-    The k rows are written once: they are both the answer and the question to the catalog.
-    """
+    """Top `k` by units, revenue, id; one lazy plan. The catalog is only asked about those k ids."""
     order = [F.desc("units"), F.desc("revenue_minor"), F.col("product_id")]
     best = (
         _sold(orders, items, source, "product_id", "product_name", "category", "unit_price_minor", "quantity")
@@ -122,7 +123,7 @@ def popular_products(
         .orderBy(*order)
         .limit(k)
     )
-    return with_active_flag(settle(best), catalog, k).orderBy(*order)
+    return with_active_flag(best, catalog).orderBy(*order)
 
 
 def bar_scale(rows: DataFrame, value: str, size: float, floor: float = 0.0, name: str = "bar") -> DataFrame:
@@ -140,11 +141,50 @@ def category_bars(categories: DataFrame) -> DataFrame:
 
 
 def analytics(orders: DataFrame, items: DataFrame, catalog: DataFrame, source: str = "all") -> dict[str, DataFrame]:
-    """The dashboard bundle, each part lazy."""
+    """The dashboard bundle, each part lazy; lines meet their headers once.
+
+    Lines are summed per order, product and category first; these sums, with the month of their
+    order, are written once, and units, months, categories and products derive from them.
+    """
+    headers = source_filter(orders, source).select(F.col("id").alias("order_id"), month_of().alias("month"))
+    per_line = items.groupBy("order_id", "product_id", "category").agg(
+        F.max("product_name").alias("name"), F.sum("quantity").alias("units"), F.sum(_value()).alias("revenue_minor")
+    )
+    sold = settle_table(per_line.join(headers, "order_id"), "sold")
+    sums = [_total("units", "units"), _total("revenue_minor", "revenue_minor")]
+    headline = source_filter(orders, source).agg(
+        F.count("*").alias("orders"),
+        _total("total_minor", "revenue_minor"),
+        F.coalesce(F.round(F.avg("total_minor")).cast("bigint"), F.lit(0)).alias("average_order_minor"),
+    )
+    per_order = sold.groupBy("order_id", "month").agg(*sums)
+    order = [F.desc("units"), F.desc("revenue_minor"), F.col("product_id")]
+    best = sold.groupBy("product_id").agg(F.max("name").alias("name"), F.max("category").alias("category"), *sums)
     return {
-        "summary": sales_summary(orders, items, source),
+        "summary": headline.select("*", sold.agg(_total("units", "units")).scalar().alias("units")),
         "source_counts": source_counts(orders),
-        "monthly": monthly_sales(orders, items, source),
-        "categories": category_sales(orders, items, source),
-        "popular": popular_products(orders, items, catalog, source),
+        "monthly": per_order.groupBy("month").agg(F.count("*").alias("orders"), *sums).orderBy("month"),
+        "categories": sold.groupBy("category").agg(*sums).orderBy(F.desc("revenue_minor"), "category"),
+        "popular": with_active_flag(best.orderBy(*order).limit(POPULAR), catalog).orderBy(*order),
     }
+
+
+def analytics_table(
+    orders: DataFrame, items: DataFrame, catalog: DataFrame, source: str = "all", currency: str = "INR"
+) -> DataFrame:
+    """The bundle as one flat table: part, entry, its figures (NULL where a part has none), source and currency."""
+    parts = analytics(orders, items, catalog, source)
+    entry = {"summary": F.lit("all"), "source_counts": F.col("source"), "monthly": F.col("month"),
+             "categories": F.col("category"), "popular": F.col("product_id").cast("string")}
+    figures = ("orders", "units", "revenue_minor", "average_order_minor")
+    rows = [
+        table.select(
+            F.lit(name).alias("part"),
+            entry[name].alias("entry"),
+            *[(F.col(f) if f in table.columns else F.lit(None)).cast("bigint").alias(f) for f in figures],
+            (F.col("active") if "active" in table.columns else F.lit(None)).cast("boolean").alias("active"),
+        )
+        for name, table in parts.items()
+    ]
+    whole = reduce(DataFrame.unionByName, rows)
+    return whole.select("*", F.lit(source).alias("source"), F.lit(currency).alias("currency"))

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stockweave.functions import identity, text
-from stockweave.operators.shape import fixed, spread
+from stockweave.operators.shape import fixed
 from stockweave.schemas import MAX_BODY_BYTES, MAX_LINES, MAX_QUANTITY, MAX_UNITS, MAX_VARIANT_TEXT
 
 # Messages of the checks.
@@ -108,7 +108,7 @@ def validate_carts(submissions: DataFrame) -> DataFrame:
 
     `lines` is sorted by product, size and color, numbered from 1, each variant once.
     """
-    rows = spread(submissions).withColumn("_doc", F.try_parse_json("body"))
+    rows = submissions.withColumn("_doc", F.try_parse_json("body"))
     rows = rows.withColumn("key", identity.canonical_uuid("idempotency_key"))
     rows = rows.withColumn("_items", F.try_variant_get("_doc", "$.items", "array<variant>"))
     countable = _no_null(F.size("_items").between(1, MAX_LINES))
@@ -189,7 +189,9 @@ def price_carts(carts: DataFrame, products: DataFrame) -> DataFrame:
     sit on the many side of the product join, which AQE splits; regrouping then
     is per cart, at most 20 lines each.
     """
-    lines = carts.select("submission_seq", "key", "fingerprint", F.explode("lines").alias("line"))
+    # a cart that was delivered twice is priced once: its lines meet again by these columns
+    once = carts.select("submission_seq", "key", "fingerprint", "lines").dropDuplicates(["submission_seq", "key", "fingerprint"])
+    lines = once.select("submission_seq", "key", "fingerprint", F.explode("lines").alias("line"))
     offers = products.select(
         F.col("id").alias("_id"),
         "name",

@@ -137,21 +137,20 @@ def related_to(catalog: DataFrame, product_id, k: int = 4) -> DataFrame:
     return top_k(others, sort_order("featured"), k)
 
 
-def related_products(catalog: DataFrame, k: int = 4, categories: tuple[str, ...] = CATEGORIES) -> DataFrame:
-    """Top `k` others of its category for every product.
+def related_products(catalog: DataFrame, k: int = 4) -> DataFrame:
+    """Top `k` others of its category for every product of any category.
 
     Self-exclusion removes one row at most, so the first k+1 of a category
     answer all its products. The window filter is a group limit: each map task
     sends k+1 rows per category, however large the category is.
     """
-    listed = catalog.filter(F.col("category").isin(*categories))
     within = Window.partitionBy("category").orderBy(*sort_order("featured"))
-    top = listed.withColumn("_n", F.row_number().over(within)).filter(F.col("_n") <= k + 1)
+    top = catalog.withColumn("_n", F.row_number().over(within)).filter(F.col("_n") <= k + 1)
     heads = top.groupBy("category").agg(
         F.array_sort(F.collect_list(F.struct("_n", "id", "name"))).alias("_heads")
     )
-    # at most len(categories) rows of k+1 entries: the category filter bounds the broadcast
-    paired = listed.select("id", "category").join(F.broadcast(heads), "category")
+    # a row of k+1 entries per category, on the right side: a hot category is split on the left
+    paired = catalog.select("id", "category").join(heads, "category")
     others = F.slice(F.filter("_heads", lambda h: h["id"] != F.col("id")), 1, k)
     return paired.select("id", "category", F.posexplode(others).alias("_at", "_other")).select(
         "id",

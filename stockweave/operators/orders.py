@@ -69,7 +69,10 @@ def commit_orders(submissions: DataFrame, orders: DataFrame, products: DataFrame
     The checked and the priced carts are written once each, since several steps
     read them.
     """
-    checked = settle_table(validate_carts(submissions).drop("body", "idempotency_key"), "carts")
+    # a source that delivers at least once may repeat a submission; it counts once, valid or not
+    identity_columns = ["submission_seq", "key", "fingerprint", "error_code", "error_message"]
+    carts = validate_carts(submissions).drop("body", "idempotency_key").dropDuplicates(identity_columns)
+    checked = settle_table(carts, "carts")
     valid = checked.filter(F.col("error_code").isNull())
     stored = settle(_stored_answers(orders, valid.select("key").distinct()))
     priced = settle_table(price_carts(valid.join(stored.select("key"), "key", "left_anti"), products), "priced")
@@ -128,11 +131,15 @@ def commit_orders(submissions: DataFrame, orders: DataFrame, products: DataFrame
 
 
 def read_orders(orders: DataFrame, items: DataFrame) -> DataFrame:
-    """Orders with their lines in order: one row per line, header columns repeated."""
+    """Orders with their lines: one row per line, header columns repeated.
+
+    The lines of an order stand together and in order; orders have no order among
+    themselves, so nothing is sorted beyond the partitions of the join.
+    """
     headers = orders.select(
         F.col("id").alias("order_id"), "total_minor", "source", "created_at", F.lit("INR").alias("currency")
     )
-    return headers.join(items, "order_id").orderBy("order_id", "line_no")
+    return headers.join(items, "order_id").repartition("order_id").sortWithinPartitions("order_id", "line_no")
 
 
 def read_order(orders: DataFrame, items: DataFrame, order_id) -> DataFrame:
@@ -140,10 +147,10 @@ def read_order(orders: DataFrame, items: DataFrame, order_id) -> DataFrame:
     return read_orders(orders.filter(F.col("id") == wanted), items.filter(F.col("order_id") == wanted))
 
 
-def number_lines(items: DataFrame, order: list[Column] | None = None, **limits) -> DataFrame:
+def number_lines(items: DataFrame, order: list[Column] | None = None) -> DataFrame:
     """Line numbers per order, by product, size and color unless another order is given."""
     order = order or [F.col(c) for c in ("product_id", "size", "color")]
-    return number_within(items, ["order_id"], order, **limits)
+    return number_within(items, ["order_id"], order)
 
 
 # orders of one month are generated in runs of this many, spread over the tasks

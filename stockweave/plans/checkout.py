@@ -12,7 +12,7 @@ from stockweave.plans import views as V
 from stockweave.plans.views import with_views
 from stockweave.schemas import CLEAN_PRODUCT, ORDERS, SUBMISSIONS
 from stockweave.session import scratch_path, settle_table
-from stockweave.sources.tables import load_table
+from stockweave.sources.tables import load_spread, load_table
 from stockweave.streaming import intake
 
 BATCH_TIME = "2026-01-15 12:00:00"
@@ -29,7 +29,7 @@ _PRODUCT = "concat('part-', CAST((s * 7 + (j % 3) * 13) % n AS {text}))"
 
 
 def submissions(spark, d, orders=None):
-    orders = load_table(spark, d, "orders").select("o_orderkey") if orders is None else orders
+    orders = load_spread(spark, d, "orders", "o_orderkey") if orders is None else orders
     parts = load_table(spark, d, "part").agg(F.count("*")).first()[0]
     seeds = _SEEDED.format(seeds=_SEEDS.format(orders="{orders}"))
     lines = f"""transform(sequence(1, CAST(1 + s % 4 AS INT)), j -> concat('{{{{"product_id":"',
@@ -60,6 +60,16 @@ def _commit(spark, d):
     return O.commit_orders(submissions(spark, d), stored, orderable(spark, d), BATCH_TIME)
 
 
+def commit_against_stored(spark, d):
+    """Even submissions are stored already; then all come, every fifth twice."""
+    carts = submissions(spark, d)
+    first = O.commit_orders(carts.filter("submission_seq % 2 = 0"), spark.createDataFrame([], ORDERS), orderable(spark, d), BATCH_TIME)
+    known = settle_table(first.orders, "stored")
+    again = carts.unionByName(carts.filter("submission_seq % 5 = 0"))
+    done = O.commit_orders(again, known, orderable(spark, d), BATCH_TIME)
+    return done.outcomes.select("submission_seq", "outcome", "total_minor", "error_code")
+
+
 def cart_validate(spark, d):
     return K.validate_carts(submissions(spark, d)).select("submission_seq", "key", "error_code", "error_message", "units")
 
@@ -171,6 +181,19 @@ def stream_orders(spark, d):
     return intake.stored_orders(spark, f"{root}/tables").select("idempotency_key", "request_hash", "total_minor")
 
 
+def stream_orders_batches(spark, d):
+    """Four files as four batches, by order number modulo four; the last one delivers the first one's rows again."""
+    orders = load_table(spark, d, "orders").select("o_orderkey")
+    root = scratch_path(spark, "intake")
+    for n in range(4):
+        again = " OR o_orderkey % 4 = 0" if n == 3 else ""
+        orders.filter(f"o_orderkey % 4 = {n}{again}").coalesce(1).write.mode("append").parquet(f"{root}/in")
+    source = spark.readStream.schema(orders.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/in")
+    carts = submissions(spark, d, source).select(*SUBMISSIONS.fieldNames())
+    intake.stream_orders(carts, orderable(spark, d), f"{root}/tables", f"{root}/checkpoint").awaitTermination()
+    return intake.stored_orders(spark, f"{root}/tables").select("idempotency_key", "request_hash", "total_minor")
+
+
 def stream_monthly(spark, d):
     """Order headers as a stream against the totals of their lines."""
     orders = load_table(spark, d, "orders")
@@ -201,6 +224,8 @@ QUERIES = {
     "synth_order_items": synth_order_items,
     "stream_orders": stream_orders,
     "stream_monthly": stream_monthly,
+    "commit_against_stored": commit_against_stored,
+    "stream_orders_batches": stream_orders_batches,
 }
 
 _CARTS = with_views("p", "u", "r", body=f"""
@@ -278,6 +303,25 @@ ORACLE = {
     "synth_order_items": _SYNTH + """SELECT order_id, CAST(f + 1 AS INTEGER) AS line_no, id AS product_id,
         name AS product_name, category, price_minor AS unit_price_minor, CAST(quantity AS INTEGER) AS quantity,
         CASE WHEN sizes = '' THEN NULL ELSE 'S' END AS size, colors AS color FROM pick""",
+    "commit_against_stored": _CARTS + """, good AS (SELECT cart.q, cart.key, t.fingerprint, t.total_minor
+            FROM total t JOIN cart ON cart.q = t.q WHERE t.problem IS NULL),
+        old AS (SELECT key, arg_min(fingerprint, q) AS known, arg_min(total_minor, q) AS total FROM good WHERE q % 2 = 0 GROUP BY key),
+        new AS (SELECT key, min(q) AS q, arg_min(fingerprint, q) AS known, arg_min(total_minor, q) AS total FROM good
+            WHERE key NOT IN (SELECT key FROM old) GROUP BY key),
+        judged AS (SELECT cart.q, cart.bad, t.problem, coalesce(old.total, new.total) AS total,
+            CASE WHEN cart.bad IS NOT NULL THEN 'refused'
+                WHEN old.key IS NOT NULL THEN CASE WHEN t.fingerprint = old.known THEN 'replayed' ELSE 'conflict' END
+                WHEN new.q = cart.q THEN 'created'
+                WHEN cart.q > new.q AND t.fingerprint = new.known THEN 'replayed'
+                WHEN cart.q > new.q THEN 'conflict' ELSE 'refused' END AS outcome
+            FROM cart LEFT JOIN total t ON t.q = cart.q LEFT JOIN old ON old.key = cart.key LEFT JOIN new ON new.key = cart.key)
+        SELECT q AS submission_seq, outcome, CASE WHEN outcome IN ('created', 'replayed') THEN total END AS total_minor,
+            CASE WHEN bad IS NOT NULL THEN 'invalid_request' WHEN outcome = 'conflict' THEN 'idempotency_conflict'
+                WHEN outcome = 'refused' THEN problem END AS error_code FROM judged""",
+    "stream_orders_batches": _CARTS + """, good AS (SELECT cart.q, cart.key, t.fingerprint, t.total_minor,
+            (cart.q % 4) * 1000000000 + cart.q AS turn FROM total t JOIN cart ON cart.q = t.q WHERE t.problem IS NULL)
+        SELECT key AS idempotency_key, arg_min(fingerprint, turn) AS request_hash, arg_min(total_minor, turn) AS total_minor
+        FROM good GROUP BY key""",
     "stream_orders": _CARTS + """SELECT key AS idempotency_key, fingerprint AS request_hash, total AS total_minor
         FROM answer WHERE outcome = 'created'""",
     "stream_monthly": with_views("o", "i", body="""

@@ -122,6 +122,17 @@ def related_products(spark, d):
     return C.related_products(_catalog(spark, d))
 
 
+def related_products_more_categories(spark, d):
+    """A catalog with categories beyond the five, and products without one."""
+    catalog = _catalog(spark, d)
+    kind = F.when(F.col("id") % 7 == 0, F.lit("toys")).when(F.col("id") % 11 == 0, F.lit(None)).otherwise(F.col("category"))
+    return C.related_products(catalog.withColumn("category", kind))
+
+
+def analytics_bundle(spark, d):
+    return A.analytics_table(V.orders(spark, d), V.items(spark, d, snapshot=True), _catalog(spark, d), "visitor")
+
+
 def category_counts(spark, d):
     return Q.category_counts(_catalog(spark, d))
 
@@ -207,6 +218,8 @@ QUERIES = {
     "product_detail": product_detail,
     "related_to_product": related_to_product,
     "related_products": related_products,
+    "related_products_more_categories": related_products_more_categories,
+    "analytics_bundle": analytics_bundle,
     "category_counts": category_counts,
     "provenance_split": provenance_split,
     "reconcile_totals": reconcile_totals,
@@ -256,6 +269,17 @@ def _ranked_sql(order: str) -> str:
     return with_views("c", body=f"SELECT id, row_number() OVER (ORDER BY {order}) AS position FROM c")
 
 
+def _related_sql(category: str) -> str:
+    return with_views("c", body=f"""
+        , k AS (SELECT id, name, kind AS category,
+            row_number() OVER (PARTITION BY kind ORDER BY featured DESC, lower(name), id) AS n
+            FROM (SELECT *, {category} AS kind FROM c))
+        SELECT a.id, a.category, row_number() OVER (PARTITION BY a.id ORDER BY b.n) AS position,
+            b.id AS related_id, b.name AS related_name
+        FROM k a JOIN k b ON b.category = a.category AND b.id <> a.id AND b.n <= 5
+        QUALIFY position <= 4""")
+
+
 _LISTING_SQL = "SELECT id, name, category, price_minor, featured, brand, sizes, colors, 'INR' AS currency FROM c"
 
 ORACLE = {
@@ -301,13 +325,29 @@ ORACLE = {
         SELECT id, name, category, featured FROM c
         WHERE category = (SELECT category FROM c WHERE id = {PRODUCT_ID}) AND id <> {PRODUCT_ID}
         ORDER BY featured DESC, lower(name), id LIMIT 4"""),
-    "related_products": with_views("c", body="""
-        , k AS (SELECT id, name, category,
-            row_number() OVER (PARTITION BY category ORDER BY featured DESC, lower(name), id) AS n FROM c)
-        SELECT a.id, a.category, row_number() OVER (PARTITION BY a.id ORDER BY b.n) AS position,
-            b.id AS related_id, b.name AS related_name
-        FROM k a JOIN k b ON b.category = a.category AND b.id <> a.id AND b.n <= 5
-        QUALIFY position <= 4"""),
+    "related_products": _related_sql("category"),
+    "related_products_more_categories": _related_sql(
+        "CASE WHEN id % 7 = 0 THEN 'toys' WHEN id % 11 = 0 THEN NULL ELSE category END"
+    ),
+    "analytics_bundle": with_views("o", "isnap", "c", body="""
+        , vo AS (SELECT * FROM o WHERE source = 'visitor'),
+        sv AS (SELECT isnap.*, strftime(vo.created_at, '%Y-%m') AS month, quantity * unit_price_minor AS value
+            FROM isnap JOIN vo ON vo.id = isnap.order_id),
+        best AS (SELECT product_id, sum(quantity) AS units, sum(value) AS value FROM sv GROUP BY 1
+            ORDER BY 2 DESC, 3 DESC, 1 LIMIT 5),
+        bundle AS (
+            SELECT 'summary' AS part, 'all' AS entry, count(*) AS orders, (SELECT coalesce(sum(quantity), 0) FROM sv) AS units,
+                coalesce(sum(total_minor), 0) AS revenue_minor, coalesce(round(avg(total_minor)), 0) AS average_order_minor,
+                NULL::BOOLEAN AS active FROM vo
+            UNION ALL SELECT 'source_counts', k.source, count(o.id), NULL, NULL, NULL, NULL
+                FROM (VALUES ('synthetic'), ('visitor')) k(source) LEFT JOIN o ON o.source = k.source GROUP BY k.source
+            UNION ALL SELECT 'monthly', month, count(DISTINCT order_id), sum(quantity), sum(value), NULL, NULL FROM sv GROUP BY month
+            UNION ALL SELECT 'categories', category, NULL, sum(quantity), sum(value), NULL, NULL FROM sv GROUP BY category
+            UNION ALL SELECT 'popular', CAST(product_id AS VARCHAR), NULL, units, value, NULL,
+                product_id IN (SELECT id FROM c) FROM best)
+        SELECT part, entry, CAST(orders AS BIGINT) AS orders, CAST(units AS BIGINT) AS units,
+            CAST(revenue_minor AS BIGINT) AS revenue_minor, CAST(average_order_minor AS BIGINT) AS average_order_minor,
+            active, 'visitor' AS source, 'INR' AS currency FROM bundle"""),
     "category_counts": with_views("c", body="SELECT category, count(*) AS products FROM c GROUP BY category"),
     "provenance_split": with_views("c", body="""
         SELECT CASE WHEN price_minor IS NULL THEN 'imported' ELSE 'curated' END AS origin, count(*) AS products

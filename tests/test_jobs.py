@@ -23,9 +23,9 @@ def write(path, rows):
 def test_clean_job(spark, tmp_path):
     images, source, root = tmp_path / "images", tmp_path / "catalog.csv", str(tmp_path / "out")
     images.mkdir()
-    (images / "shirt.webp").write_bytes(b"x")
+    (images / "tunic.webp").write_bytes(b"x")
     run = lambda check=False: jobs.clean_job(spark, str(source), str(images), root, check)
-    write(source, [{**ROW, "id": f"shirt-{i}", "price_inr": str(100 + i)} for i in range(7)])
+    write(source, [{**ROW, "id": f"tunic-{i}", "price_inr": str(100 + i)} for i in range(7)])
     assert not run(check=True)
     assert run() and run(check=True)
     orders, lines = (sinks.read_published(spark, root, n) for n in ("orders", "order_items"))
