@@ -61,11 +61,16 @@ class CleanCatalog:
         good = self.evaluated.filter(F.size("problems") == 0)
         return good.select(*[F.col("product." + f).alias(f) for f in PRODUCT_FIELDS]).orderBy("id")
 
+    @property
+    def place(self) -> list[str]:
+        """The file that `row` counts in, where the rows come from files."""
+        return [c for c in self.evaluated.columns if c == "input_file"]
+
     @property
     def issues(self) -> DataFrame:
         """Rejected rows with all their problems in rule order."""
         bad = self.evaluated.filter(F.size("problems") > 0)
-        return bad.select("row", F.col("product.id").alias("id"), F.col("problems").alias("errors"))
+        return bad.select(*self.place, "row", F.col("product.id").alias("id"), F.col("problems").alias("errors"))
 
     @property
     def normalizations(self) -> DataFrame:
@@ -88,8 +93,8 @@ class CleanCatalog:
         )
         changed = F.filter(pairs, lambda p: p["result"] != p["was"])
         good = self.evaluated.filter(F.size("problems") == 0)
-        exploded = good.select("row", F.col("product.id").alias("id"), F.explode(changed).alias("change"))
-        return exploded.select("row", "id", "change.field", "change.result")
+        exploded = good.select(*self.place, "row", F.col("product.id").alias("id"), F.explode(changed).alias("change"))
+        return exploded.select(*self.place, "row", "id", "change.field", "change.result")
 
     @property
     def summary(self) -> DataFrame:
@@ -150,7 +155,9 @@ def clean_catalog(raw: DataFrame, image_files: DataFrame) -> CleanCatalog:
     after a map-side partial count; only repeated ids meet the rows again.
     """
     ragged = F.col("ragged") if "ragged" in raw.columns else F.lit(False)
+    place = [c for c in raw.columns if c == "input_file"]
     rows = raw.select(
+        *place,
         "row",
         F.struct(*RAW_COLUMNS).alias("raw"),
         F.struct(*[text.squash(text.blank_if_null(f)).alias(f) for f in RAW_COLUMNS]).alias("text"),
@@ -182,7 +189,7 @@ def clean_catalog(raw: DataFrame, image_files: DataFrame) -> CleanCatalog:
         files, F.substring_index("product.image", "/", -1) == F.col("_file"), "left"
     )
     problems = _problems(F.col("_repeated_id").isNotNull(), F.col("_file").isNotNull(), F.col("_ragged"))
-    return CleanCatalog(fixed(joined, ["row", "raw", "product"], {"problems": problems}))
+    return CleanCatalog(fixed(joined, [*place, "row", "raw", "product"], {"problems": problems}))
 
 
 def issue_log(clean: CleanCatalog) -> DataFrame:
@@ -190,4 +197,5 @@ def issue_log(clean: CleanCatalog) -> DataFrame:
     empty = clean.summary.filter("input_rows = 0").select(
         F.lit(1).cast("bigint").alias("row"), F.lit("").alias("id"), F.array(F.lit(EMPTY_PROBLEM)).alias("errors")
     )
-    return clean.issues.select(F.col("row").cast("bigint"), "id", "errors").unionByName(empty)
+    rows = clean.issues.select(*clean.place, F.col("row").cast("bigint"), "id", "errors")
+    return rows.unionByName(empty, allowMissingColumns=True)

@@ -43,7 +43,7 @@ def clean_job(spark: SparkSession, source: str, image_dir: str, root: str, check
     A file that fails leaves only its report; what was published before stays.
     With `check` nothing is written: TRUE when the published catalog is current.
     """
-    if check and catalog_csv.check_header(catalog_csv.read_header(spark, source)):
+    if check and not catalog_csv.header_issues(spark, source).isEmpty():
         return False
     if not check and _failed_header(spark, source, root):
         return False

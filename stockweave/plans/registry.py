@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from functools import wraps
 
-from stockweave.plans import audit, checkout, cleaning, imports, sales, upkeep
+from stockweave.plans import audit, checkout, cleaning, files, imports, sales, upkeep
 from stockweave.session import tune
 
-MODULES = (sales, cleaning, imports, upkeep, checkout, audit)
+MODULES = (sales, cleaning, imports, upkeep, checkout, audit, files)
 
 
 def _tuned(query):

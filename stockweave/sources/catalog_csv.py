@@ -2,48 +2,67 @@
 
 from __future__ import annotations
 
-import csv
+from functools import reduce
+from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StringType, StructField, StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from stockweave.schemas import RAW_COLUMNS
 
-ISSUE = StructType(
-    [StructField("row", LongType()), StructField("id", StringType()), StructField("error", StringType())]
-)
+# a field of a header line, with the comma before it
+_FIELD = r'(?:^|,)("(?:[^"]|"")*"|[^,]*)'
 
 
-def read_header(spark: SparkSession, path: str) -> list[str]:
-    """Column names as written: the CSV reader would rename duplicates."""
-    first = spark.read.text(path).limit(1).collect()
-    line = first[0][0].lstrip("﻿") if first else ""
-    return next(csv.reader([line]), [])
+def _fields(line: Column) -> Column:
+    def plain(field: Column) -> Column:
+        quoted = F.replace(F.substr(field, F.lit(2), F.length(field) - 2), F.lit('""'), F.lit('"'))
+        return F.when(field.startswith('"'), quoted).otherwise(field)
 
+    return F.transform(F.regexp_extract_all(F.ltrim(line, F.lit("\ufeff")), F.lit(_FIELD), F.lit(1)), plain)
 
-def check_header(columns: list[str], required: tuple[str, ...] = RAW_COLUMNS) -> list[str]:
-    """Problems that reject the whole file; empty when the header is fine."""
-    missing = sorted(set(required) - set(columns))
-    if missing:
-        return ["missing columns: " + ", ".join(missing)]
-    if len(columns) != len(set(columns)):
-        return ["duplicate CSV column names"]
-    return []
+
+def read_headers(spark: SparkSession, path: str) -> DataFrame:
+    """input_file and its column names as written, for every file: the CSV reader would rename duplicates."""
+    lines = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("input_file"),
+        F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id()).alias("at"),
+        "value",
+    )
+    return lines.groupBy("input_file").agg(_fields(F.min_by("value", "at")).alias("names"))
+
+
+def _header_problem(required: tuple[str, ...]) -> Column:
+    missing = F.array_sort(F.array_except(F.array(*[F.lit(c) for c in required]), F.col("names")))
+    return F.when(F.size(missing) > 0, F.concat(F.lit("missing columns: "), F.array_join(missing, ", "))).when(
+        F.size(F.array_distinct("names")) < F.size("names"), F.lit("duplicate CSV column names")
+    )
 
 
-def header_issues(spark: SparkSession, path: str) -> DataFrame:
-    problems = check_header(read_header(spark, path))
-    return spark.createDataFrame([(1, "", p) for p in problems], ISSUE)
+def header_issues(spark: SparkSession, path: str, required: tuple[str, ...] = RAW_COLUMNS) -> DataFrame:
+    """A problem per file that has one: it rejects the whole file."""
+    checked = read_headers(spark, path).withColumn("error", _header_problem(required)).filter("error IS NOT NULL")
+    return checked.select(F.lit(1).cast("bigint").alias("row"), F.lit("").alias("id"), "error", "input_file")
 
 
 def read_catalog_csv(spark: SparkSession, path: str) -> DataFrame:
-    """All columns as text, with `row` (record number, header is 1) and `ragged`.
+    """All columns as text, by name, with `row` (record number, header is 1), `ragged` and `input_file`.
 
-    Quoted line breaks are allowed, so one file is one task; a large catalog
-    comes as many files. `row` then counts within the file named in `input_file`.
+    Files whose headers agree are read together, each kind of header with its own order of
+    columns; files that `header_issues` reports are left out. Quoted line breaks are
+    allowed, so one file is one task; a large catalog comes as many files.
     """
-    names = read_header(spark, path)
+    sound = read_headers(spark, path).filter(_header_problem(RAW_COLUMNS).isNull())
+    # the driver lists the files anyway; kinds of headers are few
+    kinds = sound.groupBy("names").agg(F.sort_array(F.collect_list("input_file")).alias("files")).collect()
+    nothing = StructType([StructField(n, StringType()) for n in RAW_COLUMNS])
+    empty = spark.createDataFrame([], nothing).selectExpr("*", "false AS ragged", "'' AS input_file", "0L AS row")
+    parts = [_read_kind(spark, list(k.names), [unquote(f) for f in k.files]) for k in kinds]
+    return reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), parts, empty)
+
+
+def _read_kind(spark: SparkSession, names: list[str], files: list[str]) -> DataFrame:
     schema = StructType([StructField(n, StringType()) for n in names] + [StructField("_bad", StringType())])
     rows = (
         spark.read.schema(schema)
@@ -54,7 +73,7 @@ def read_catalog_csv(spark: SparkSession, path: str) -> DataFrame:
         .option("columnNameOfCorruptRecord", "_bad")
         .option("nullValue", "\u0000")
         .option("emptyValue", "")
-        .csv(path)
+        .csv(files)
     )
     placed = rows.select(
         *[F.coalesce(F.col(f"`{n}`"), F.when(F.col("_bad").isNull(), F.lit(""))).alias(n) for n in names],
@@ -62,20 +81,9 @@ def read_catalog_csv(spark: SparkSession, path: str) -> DataFrame:
         F.col("_metadata.file_path").alias("input_file"),
         F.monotonically_increasing_id().alias("_at"),
     )
-    return _number_records(placed, len(rows.inputFiles()))
-
-
-# file names listed by the driver anyway; above this the lookup is left to the planner
-BROADCAST_FILES = 100_000
-
-
-def _number_records(rows: DataFrame, files: int) -> DataFrame:
-    """A file is read by one task without a break: its record number is the distance to its first."""
-    if files <= 1:
-        return rows.select("*", (F.col("_at") + 2).alias("row")).drop("_at")
-    first = rows.groupBy("input_file").agg(F.min("_at").alias("_first"))
-    starts = F.broadcast(first) if files <= BROADCAST_FILES else first
-    numbered = rows.join(starts, "input_file").withColumn("row", F.col("_at") - F.col("_first") + 2)
+    # a file is read by one task without a break: its record number is the distance to its first
+    first = placed.groupBy("input_file").agg(F.min("_at").alias("_first"))
+    numbered = placed.join(first, "input_file").withColumn("row", F.col("_at") - F.col("_first") + 2)
     return numbered.drop("_at", "_first")
 
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StructField, StructType
 
@@ -11,22 +11,38 @@ from stockweave.operators.ranking import rank_rows
 from stockweave.schemas import LEDGER
 
 
+def _documents(spark: SparkSession, path: str) -> DataFrame:
+    """Whole JSON documents with their file; one document is one record."""
+    return spark.read.text(path, wholetext=True).select(
+        F.col("_metadata.file_path").alias("file"), F.try_parse_json("value").alias("doc")
+    )
+
+
 def read_feed(spark: SparkSession, path: str) -> DataFrame:
-    """A feed document `{products: [...]}` as rows (pos, item); items stay VARIANT.
+    """Feed documents `{products: [...]}` as rows (pos, item); items stay VARIANT.
 
-    Wrong JSON types inside an item are findings, not read errors. One document
-    is one record; feeds too large for that come as lines, see `read_feed_lines`.
+    `pos` counts on from document to document, in the order of their paths. Wrong JSON types
+    inside an item are findings, not read errors. A feed too large for documents comes
+    as lines, see `read_feed_lines`.
     """
-    document = spark.read.text(path, wholetext=True).select(F.try_parse_json("value").alias("doc"))
     products = F.try_variant_get("doc", "$.products", "array<variant>")
-    if document.filter(products.isNull()).count():
+    documents = _documents(spark, path).select("file", products.alias("products"))
+    if not documents.filter(F.col("products").isNull()).isEmpty():
         raise ValueError("source JSON must contain a products array")
-    return document.select(F.posexplode(products).alias("pos", "item")).select(F.col("pos").cast("bigint"), "item")
+    # a number per document: what comes before it
+    before = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
+    starts = documents.select("file", F.size("products").cast("bigint").alias("n")).select(
+        F.col("file").alias("_file"), F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start")
+    )
+    items = documents.select("file", F.posexplode("products").alias("at", "item"))
+    placed = items.join(starts, F.col("file") == F.col("_file"))
+    return placed.select((F.col("start") + F.col("at")).cast("bigint").alias("pos"), "item")
 
 
 def feed_checked_on(spark: SparkSession, path: str) -> DataFrame:
-    document = spark.read.text(path, wholetext=True).select(F.try_parse_json("value").alias("doc"))
-    return document.select(F.try_variant_get("doc", "$.catalog_metadata.checked_on", "string").alias("checked_on"))
+    """The day each document was checked."""
+    checked_on = F.try_variant_get("doc", "$.catalog_metadata.checked_on", "string")
+    return _documents(spark, path).select(checked_on.alias("checked_on"))
 
 
 def read_feed_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -49,10 +65,18 @@ def latest_per_key(rows: DataFrame, key: str, order: Column | str) -> DataFrame:
     return last.select(*[F.col("_last")[c].alias(c) for c in columns])
 
 
-def read_evidence(spark: SparkSession, path: str, key: str, schema: StructType) -> DataFrame:
-    """Evidence document `{checks: [...]}`, one row per key, the last one wins."""
-    document = spark.read.schema(StructType([StructField("checks", ArrayType(schema))])).json(path, multiLine=True)
-    checks = document.select(F.posexplode("checks").alias("pos", "check")).select("pos", "check.*")
+def read_evidence(spark: SparkSession, path: str, key: str, schema: StructType, lines: bool = False) -> DataFrame:
+    """Evidence, one row per key; the last one in the order of paths and places wins.
+
+    From documents `{checks: [...]}`, or, where evidence grows with the feed, from one check per line.
+    """
+    at = F.struct(F.col("_metadata.file_path"), F.col("_metadata.file_block_start"), F.monotonically_increasing_id())
+    if lines:
+        checks = spark.read.schema(schema).json(path).select(at.alias("pos"), *schema.fieldNames())
+    else:
+        documents = spark.read.schema(StructType([StructField("checks", ArrayType(schema))])).json(path, multiLine=True)
+        checks = documents.select(at.alias("file"), F.posexplode("checks").alias("n", "check"))
+        checks = checks.select(F.struct("file", "n").alias("pos"), "check.*")
     return latest_per_key(checks, key, "pos").drop("pos")
 
 
