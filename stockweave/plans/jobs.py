@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 
 from stockweave.operators import feed as M
 from stockweave.operators import maintain as U
-from stockweave.operators.cleaning import clean_catalog, issue_log
+from stockweave.operators.cleaning import CleanCatalog, clean_catalog, issue_log
 from stockweave.operators.orders import synth_orders
 from stockweave.schemas import LEDGER
+from stockweave.session import settle_table
 from stockweave.sources import catalog_csv, sinks
 
 # Demo orders per month of 2026, April to September.
@@ -37,21 +38,30 @@ def _failed_header(spark: SparkSession, source: str, root: str) -> bool:
     return True
 
 
+def _is_current(spark: SparkSession, outputs: dict[str, DataFrame], report: dict[str, DataFrame], root: str) -> bool:
+    """Whether every published output and every part of the report equals what a run would write now."""
+    if sinks.latest_version(spark, root) == 0:
+        return False
+    stored = [(rows, sinks.read_published(spark, root, name)) for name, rows in outputs.items()]
+    stored += [(rows, sinks.read_report(spark, root, name, rows.schema)) for name, rows in report.items()]
+    return all(sinks.drift(new, old).isEmpty() for new, old in stored)
+
+
 def clean_job(spark: SparkSession, source: str, image_dir: str, root: str, check: bool = False) -> bool:
     """Clean `source` and publish catalog and demo orders under `root`.
 
     A file that fails leaves only its report; what was published before stays.
-    With `check` nothing is written: TRUE when the published catalog is current.
+    With `check` nothing is published: TRUE when the report and all outputs are current.
+    The source is read and evaluated once; every output starts from the evaluated rows.
     """
     if check and not catalog_csv.header_issues(spark, source).isEmpty():
         return False
     if not check and _failed_header(spark, source, root):
         return False
     clean = clean_catalog(catalog_csv.read_catalog_csv(spark, source), catalog_csv.image_listing(spark, image_dir))
-    if check:
-        if clean.summary.first()["status"] != "passed" or sinks.latest_version(spark, root) == 0:
-            return False
-        return sinks.drift(clean.accepted, sinks.read_published(spark, root, "catalog")).isEmpty()
+    clean = CleanCatalog(settle_table(clean.evaluated, "clean"))
+    if check and clean.summary.first()["status"] != "passed":
+        return False
     report = {
         "issues": issue_log(clean),
         "normalizations": clean.normalizations,
@@ -59,6 +69,8 @@ def clean_job(spark: SparkSession, source: str, image_dir: str, root: str, check
     }
     orders, lines = synth_orders(clean.accepted, demo_months(spark))
     outputs = {"catalog": clean.accepted, "orders": orders, "order_items": lines}
+    if check:
+        return _is_current(spark, outputs, {"summary": clean.summary, **report}, root)
     return sinks.publish_if_passed(outputs, clean.summary, report, root)
 
 
@@ -76,19 +88,23 @@ def import_job(
     catalog: DataFrame,
     root: str,
     check: bool = False,
+    checked_on: DataFrame | None = None,
 ) -> bool:
     """Import a feed next to a clean `catalog`; the ledger under `root` is the state.
 
-    Running it again changes nothing but the version. With `check` nothing is
-    written: TRUE when the published ledger is current.
+    Running it again changes nothing but the version and the report, which then calls the
+    items existing. `checked_on` is the day of the source (`feeds.feed_checked_on`); the last
+    of several goes into the report. With `check` nothing is published: TRUE when ledger,
+    records and report are current. The feed is classified once.
     """
     ledger = published_ledger(spark, root)
     found = M.classify_feed(feed, pages, images, M.match_base(catalog, ledger))
-    merged = U.merge_ledger(ledger, found.accepted, found.results)
-    if check:
-        return sinks.drift(merged, ledger).isEmpty()
+    found = M.FeedImport(settle_table(found.rows, "import"))
+    merged = settle_table(U.merge_ledger(ledger, found.accepted, found.results), "ledger")
     retired = U.retire_records(found.results, merged)
+    day = F.lit(None).cast("string") if checked_on is None else checked_on.agg(F.max("checked_on")).scalar()
     report = {
+        "run": spark.range(1).select(F.lit("passed").alias("status"), day.alias("source_checked_on")),
         "summary": M.import_summary(found.results),
         "counts": U.import_counts(catalog, merged, retired),
         "failure_breakdown": M.failure_breakdown(found.results),
@@ -98,6 +114,8 @@ def import_job(
         "ledger": merged.orderBy("id"),
         "retire_records": retired.select("pos", "product_id", "title", "source_url", "failure_reasons"),
     }
+    if check:
+        return _is_current(spark, outputs, report, root)
     sinks.write_report(report, f"{root}/report")
     sinks.publish(spark, outputs, root)
     return True

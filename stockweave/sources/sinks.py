@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 
 def write_report(parts: dict[str, DataFrame], path: str) -> None:
@@ -16,6 +17,16 @@ def write_report(parts: dict[str, DataFrame], path: str) -> None:
         rows.write.mode("overwrite").json(f"{path}/{name}")
 
 
+def read_report(spark: SparkSession, root: str, name: str, schema: StructType) -> DataFrame:
+    """A part of the last report; empty where it was never written."""
+    try:
+        return spark.read.schema(schema).json(f"{root}/report/{name}")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+
+
 def latest_version(spark: SparkSession, root: str) -> int:
     """Number of the last published version, 0 when there is none."""
     try:

@@ -58,7 +58,7 @@ def test_text_category_price_and_lists_are_normalised(clean):
 
 
 def test_every_row_of_a_repeated_id_is_rejected(clean):
-    result = clean(ROW, {**ROW, "id": "TEST-SHIRT"}, {**ROW, "id": "test-cap"})
+    result = clean(ROW, {**ROW, "id": "LINEN-TUNIC"}, {**ROW, "id": "test-cap"})
     assert issues(result) == {2: [L.DUPLICATE_PROBLEM], 3: [L.DUPLICATE_PROBLEM]}
     summary = result.summary.collect()[0]
     assert (summary.input_rows, summary.accepted_rows, summary.rejected_rows) == (3, 1, 2)

@@ -28,6 +28,23 @@ def test_clean_job(spark, tmp_path):
     write(source, [{**ROW, "id": f"tunic-{i}", "price_inr": str(100 + i)} for i in range(7)])
     assert not run(check=True)
     assert run() and run(check=True)
+    for part in ("report/category_counts", "version=1/order_items", "version=1/catalog"):
+        kept = {p: p.read_bytes() for p in (tmp_path / "out" / part).iterdir() if p.name.startswith("part-")}
+        first = next(iter(kept))
+        rows = spark.read.format("json" if "report" in part else "parquet").load(str(tmp_path / "out" / part))
+        changed = str(tmp_path / "changed" / part)
+        rows.limit(max(rows.count() - 1, 0)).write.format("json" if "report" in part else "parquet").save(changed)
+        for p in kept:
+            p.unlink()
+        for p in (tmp_path / "changed" / part).iterdir():
+            if p.name.startswith("part-"):
+                first.with_name(p.name).write_bytes(p.read_bytes())
+        assert not run(check=True), part
+        for p in (tmp_path / "out" / part).iterdir():
+            p.unlink()
+        for p, content in kept.items():
+            p.write_bytes(content)
+    assert run(check=True)
     orders, lines = (sinks.read_published(spark, root, n) for n in ("orders", "order_items"))
     assert orders.count() == 36 and lines.count() == 74
     assert A.units_sold(orders, lines).collect()[0].units == 147
@@ -53,8 +70,12 @@ def test_import_job_is_idempotent_and_applies(spark, tmp_path):
     jobs.import_job(spark, *inputs, catalog, root)
     first = sinks.read_published(spark, root, "ledger").collect()
     assert [r.id for r in first] == ["source-men-1", "source-men-2"]
-    assert jobs.import_job(spark, *inputs, catalog, root, check=True)
-    jobs.import_job(spark, *inputs, catalog, root)
+    assert not jobs.import_job(spark, *inputs, catalog, root, check=True)  # the report still calls them added
+    day = spark.createDataFrame([("2026-01-01",), ("2026-01-03",)], "checked_on string")
+    jobs.import_job(spark, *inputs, catalog, root, checked_on=day)
+    assert jobs.import_job(spark, *inputs, catalog, root, check=True, checked_on=day)
+    assert not jobs.import_job(spark, *inputs, catalog, root, check=True)
+    assert spark.read.json(f"{root}/report/run").collect()[0].asDict() == {"source_checked_on": "2026-01-03", "status": "passed"}
     assert sinks.read_published(spark, root, "ledger").collect() == first
     summary = json.loads((spark.read.json(f"{root}/report/summary").toJSON().collect())[0])
     assert (summary["already_existed"], summary["rejected"]) == (2, 1)
