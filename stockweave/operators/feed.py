@@ -139,24 +139,30 @@ def live_rows(rows: DataFrame, asked: DataFrame, registered: DataFrame) -> DataF
     """Positions of rows that register their keys.
 
     A row is live when it is valid, matches an existing row, or shares a key with
-    an earlier live row. Starting from the first two kinds, each round looks only
-    at the keys of rows that became live in the round before, so the rounds end
-    after the longest chain of otherwise invalid rows. `rows` has pos, seed.
+    an earlier live row. The keys of the first two kinds, the seeds, are reduced to a
+    minimum per key once. Afterwards only the other rows and their keys are looked
+    at: each round writes the positions that became live, and the rounds end after the
+    longest chain of otherwise invalid rows. `rows` has pos, seed.
     """
-    fresh = settle(rows.filter("seed").select("pos"))
-    live = fresh
-    waiting = settle(asked.filter(F.col("rule") < OWN_ID).join(rows.filter("not seed"), "pos", "left_semi"))
-    while not waiting.isEmpty():
-        first = (
-            registered.join(fresh, "pos", "left_semi").groupBy("rule", "key").agg(F.min("pos").alias("first_pos"))
-        )
-        reached = waiting.join(first, ["rule", "key"]).filter("first_pos < pos")
-        fresh = settle(reached.select("pos").distinct())
+    rows = settle(rows)
+    live, late = rows.filter("seed").select("pos"), rows.filter("not seed").select("pos")
+    waiting = settle(asked.filter(F.col("rule") < OWN_ID).join(late, "pos", "left_semi"))
+    if waiting.isEmpty():
+        return live
+    first, own, reached_so_far = _first_positions(registered, live), None, late.limit(0)
+    while True:
+        reached = waiting.join(first, ["rule", "key"]).filter("first_pos < pos").select("pos").distinct()
+        fresh = settle(reached.join(reached_so_far, "pos", "left_anti"))
         if fresh.isEmpty():
-            break
-        live = live.unionByName(fresh)
-        waiting = settle(waiting.join(fresh, "pos", "left_anti"))
-    return live
+            return live
+        live, reached_so_far = live.unionByName(fresh), reached_so_far.unionByName(fresh)
+        own = settle(registered.join(late, "pos", "left_semi").select("pos", "rule", "key")) if own is None else own
+        first = _first_positions(own, fresh)
+
+
+def _first_positions(registered: DataFrame, live: DataFrame) -> DataFrame:
+    """Per key the first live row that registers it."""
+    return registered.join(live, "pos", "left_semi").groupBy("rule", "key").agg(F.min("pos").alias("first_pos"))
 
 
 @dataclass(frozen=True)

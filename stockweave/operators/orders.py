@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from stockweave.functions import identity
 from stockweave.operators.carts import price_carts, validate_carts
 from stockweave.operators.ranking import number_within, rank_rows
-from stockweave.session import settle, settle_table
+from stockweave.session import settle_table
 
 CONFLICT = "This checkout key already belongs to a different cart. Start a new checkout."
 CREATED, REPLAYED, CONFLICTED, REFUSED = "created", "replayed", "conflict", "refused"
@@ -30,8 +30,19 @@ class Commit:
     items: DataFrame
 
 
+def key_bucket(key="idempotency_key") -> Column:
+    """One of 256 parts of the order store, by the hash of the key."""
+    return F.substring(F.sha2(F.lower(F.col(key)), 256), 1, 2)
+
+
 def _stored_answers(orders: DataFrame, keys: DataFrame) -> DataFrame:
-    """Orders that exist for the keys of this batch; they answer every submission."""
+    """Orders that exist for the keys of this batch; they answer every submission.
+
+    Where orders are stored by `bucket`, only the buckets of these keys (256 at most) are read.
+    """
+    if "bucket" in orders.columns:
+        buckets = [r[0] for r in keys.select(key_bucket("key")).distinct().collect()]
+        orders = orders.filter(F.col("bucket").isin(buckets))
     return (
         orders.select(
             F.col("idempotency_key").alias("key"),
@@ -60,22 +71,24 @@ def _new_answers(priced: DataFrame) -> DataFrame:
     )
 
 
-def commit_orders(submissions: DataFrame, orders: DataFrame, products: DataFrame, created_at) -> Commit:
+def commit_orders(
+    submissions: DataFrame, orders: DataFrame, products: DataFrame, created_at, scratch: str | None = None
+) -> Commit:
     """Exactly one order per key.
 
     A key that is stored already answers by its hash alone, before any product
     is looked at; only carts with a new key are priced. `orders` are the stored
     headers, `products` the orderable ones, `created_at` the time of the batch.
     The checked and the priced carts are written once each, since several steps
-    read them.
+    read them; with `scratch` to that folder, over those of the batch before.
     """
     # a source that delivers at least once may repeat a submission; it counts once, valid or not
     identity_columns = ["submission_seq", "key", "fingerprint", "error_code", "error_message"]
     carts = validate_carts(submissions).drop("body", "idempotency_key").dropDuplicates(identity_columns)
-    checked = settle_table(carts, "carts")
+    checked = settle_table(carts, "carts", scratch)
     valid = checked.filter(F.col("error_code").isNull())
-    stored = settle(_stored_answers(orders, valid.select("key").distinct()))
-    priced = settle_table(price_carts(valid.join(stored.select("key"), "key", "left_anti"), products), "priced")
+    stored = settle_table(_stored_answers(orders, valid.select("key").distinct()), "stored", scratch)
+    priced = settle_table(price_carts(valid.join(stored.select("key"), "key", "left_anti"), products), "priced", scratch)
     # a key is either stored or new: one table of answers, one join on the key
     answers = stored.unionByName(_new_answers(priced))
     failures = priced.filter(F.col("price_error_code").isNotNull()).select(

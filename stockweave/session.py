@@ -63,8 +63,12 @@ def settle(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def settle_table(df: DataFrame, name: str) -> DataFrame:
-    """Like `settle`, as Parquet: later steps read back only the columns they need."""
-    target = scratch_path(df.sparkSession, name)
-    df.write.parquet(target)
+def settle_table(df: DataFrame, name: str, at: str | None = None) -> DataFrame:
+    """Like `settle`, as Parquet: later steps read back only the columns they need.
+
+    With `at`, a folder that the caller uses again for every run, the table of the run
+    before is overwritten, so that a stream leaves no more than one behind.
+    """
+    target = f"{at}/{name}" if at else scratch_path(df.sparkSession, name)
+    df.write.mode("overwrite" if at else "errorifexists").parquet(target)
     return df.sparkSession.read.schema(df.schema).parquet(target)

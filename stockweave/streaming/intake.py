@@ -8,9 +8,9 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from stockweave.operators.orders import commit_orders
+from stockweave.operators.orders import commit_orders, key_bucket
 from stockweave.schemas import ORDER_ITEMS, ORDERS
 
 
@@ -27,24 +27,27 @@ def stored(spark: SparkSession, root: str, name: str, schema: StructType, before
     return rows.select(*schema.fieldNames())
 
 
-def stored_orders(spark: SparkSession, root: str, before: int | None = None) -> DataFrame:
-    return stored(spark, root, "orders", ORDERS, before)
+def stored_orders(spark: SparkSession, root: str, before: int | None = None, bucketed: bool = False) -> DataFrame:
+    """Stored headers; `bucketed` with the bucket of their key, by which a reader can prune."""
+    schema = StructType([*ORDERS.fields, StructField("bucket", StringType())]) if bucketed else ORDERS
+    return stored(spark, root, "orders", schema, before)
 
 
 def stored_items(spark: SparkSession, root: str, before: int | None = None) -> DataFrame:
     return stored(spark, root, "items", ORDER_ITEMS, before)
 
 
-def _append(rows: DataFrame, root: str, name: str, batch_id: int) -> None:
-    rows.write.mode("overwrite").parquet(f"{root}/{name}/batch_id={batch_id}")
+def _append(rows: DataFrame, root: str, name: str, batch_id: int, *by: str) -> None:
+    rows.write.mode("overwrite").partitionBy(*by).parquet(f"{root}/{name}/batch_id={batch_id}")
 
 
 def stream_orders(submissions: DataFrame, products: DataFrame, root: str, checkpoint: str, **trigger) -> StreamingQuery:
     """Exactly one order per key under retries, concurrent duplicates and batch replays.
 
     A batch looks at the orders of earlier batches only and writes its own
-    folder: running it again overwrites the same rows. Orders are appended, the
-    stored ones are never rewritten.
+    folder: running it again overwrites the same rows. Orders are appended by the bucket of
+    their key, the stored ones are never rewritten, and a batch reads the buckets of its keys.
+    Intermediate tables go to one folder that every batch overwrites.
     """
 
     def commit(batch: DataFrame, batch_id: int) -> None:
@@ -52,10 +55,13 @@ def stream_orders(submissions: DataFrame, products: DataFrame, root: str, checkp
         # a batch is as large as its trigger allows; its files may be few
         batch = batch.repartition(spark.sparkContext.defaultParallelism)
         now = datetime.now(timezone.utc).replace(microsecond=0, tzinfo=None)
-        done = commit_orders(batch, stored_orders(spark, root, before=batch_id), products, now)
+        known = stored_orders(spark, root, before=batch_id, bucketed=True)
+        done = commit_orders(batch, known, products, now, scratch=f"{root}/scratch")
         _append(done.items, root, "items", batch_id)
         _append(done.outcomes, root, "outcomes", batch_id)
-        _append(done.orders, root, "orders", batch_id)
+        # rows of a bucket meet first, so that a batch writes one file per bucket
+        headers = done.orders.withColumn("bucket", key_bucket()).repartition("bucket")
+        _append(headers, root, "orders", batch_id, "bucket")
 
     writer = submissions.writeStream.foreachBatch(commit).option("checkpointLocation", checkpoint)
     return writer.trigger(**(trigger or {"availableNow": True})).start()
