@@ -37,6 +37,7 @@ def product_rules(unpriced: bool = False, lists_as_json: bool = False) -> dict[s
     rules = {
         **_required("name", "category", "image", "alt", "sizes", "colors", "featured"),
         "name_length": F.length("name").between(1, 120),
+        "featured_flag": F.col("featured").cast("int").isin(0, 1),
         "category_known": F.col("category").isin(*CATEGORIES),
         "mrp_positive": (F.col("mrp_minor") > 0) & _whole("mrp_minor"),
         "discount_range": F.col("discount_percent").between(0, 100),
@@ -60,6 +61,14 @@ def product_rules(unpriced: bool = False, lists_as_json: bool = False) -> dict[s
     return rules
 
 
+def unavailable_rules() -> dict[str, Column]:
+    return _required("id", "reason")
+
+
+def retired_rules() -> dict[str, Column]:
+    return _required("product_id", "name", "failure_reason", "retired_at")
+
+
 def order_rules() -> dict[str, Column]:
     return {
         **_required("id", "idempotency_key", "request_hash", "source", "total_minor", "created_at"),
