@@ -135,4 +135,4 @@ def test_failed_run_keeps_the_published_version(spark, clean, tmp_path):
     assert sinks.publish(spark, {"catalog": changed}, root) == 2
     write_clean_catalog(changed, str(tmp_path / "clean"))
     text = spark.read.option("header", True).option("escape", '"').csv(str(tmp_path / "clean" / "csv")).collect()[0]
-    assert (text.sizes, text.featured, text.price_minor) == ('["S","M","L"]', "1", "200")
+    assert (text.sizes, text.featured, text.price_minor) == ('["M","L","XL"]', "1", "200")
