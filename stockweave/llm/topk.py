@@ -6,7 +6,8 @@ sorted by that component. A query walks the lists of its non-zero components fro
 end that raises its score, a stretch at a time; every candidate it meets is scored at
 once. What it has not met can score no more than the sum of the components it stands
 at, and it stops when that bound is below its kth score. At equality it goes on, as a
-candidate with an equal score and a smaller id would come first. The best of each
+candidate with an equal score and a smaller id would come first. Where fewer candidates
+are left than the next stretch has entries, they are scored at once. The best of each
 block are merged per query by rank, after a group limit in each task.
 
 Components are floor(scale * x) with x as double. Vectors that are null or hold a null
@@ -52,7 +53,7 @@ class _Lists:
 
     def __init__(self, rows: np.ndarray) -> None:
         self.rows = rows
-        up = np.argsort(rows, axis=0, kind="stable").T
+        up = np.argsort(rows, axis=0, kind="stable").T.astype(np.int32)
         self.ends = np.stack([up[:, ::-1], up])  # from the largest, from the smallest
         self.values = np.stack([np.take_along_axis(rows.T, e, axis=1) for e in self.ends])
 
@@ -66,20 +67,24 @@ class _Lists:
             places = np.flatnonzero(~met)[:k]
             return places, np.zeros(len(places), np.int64)
         weights, side = query[dims], (query[dims] < 0).astype(int)
-        orders, values = self.ends[side, dims], self.values[side, dims]
         places, scores = np.zeros(0, np.int64), np.zeros(0, self.rows.dtype)
         depth, stretch = 0, FIRST_STRETCH
         while depth < n:
             upto = min(n, depth + stretch)
             fresh = np.zeros(n, bool)
-            fresh[orders[:, depth:upto].ravel()] = True
+            fresh[self.ends[side, dims, depth:upto].ravel()] = True
+            if n - np.count_nonzero(met) <= len(dims) * (upto - depth):
+                fresh[:] = True  # fewer candidates are left than entries would be read
             found = np.flatnonzero(fresh & ~met)
             met[found] = True
             places = np.concatenate([places, found])
             scores = np.concatenate([scores, self.rows[found] @ query])
+            if len(scores) > k:  # ties with the kth score stay until they are ordered
+                able = scores >= np.partition(scores, -k)[-k]
+                places, scores = places[able], scores[able]
             best = np.lexsort((places, -scores))[:k]
             places, scores = places[best], scores[best]
-            bound = (weights * values[:, upto - 1]).sum()
+            bound = (weights * self.values[side, dims, upto - 1]).sum()
             if met.all() or len(places) == k and scores[-1] > bound:
                 break
             depth, stretch = upto, 2 * stretch
