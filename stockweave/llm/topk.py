@@ -93,7 +93,7 @@ class _Lists:
 
 def _search(k: int):
     def run(candidates: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
-        out = []
+        out: dict[str, list[np.ndarray]] = {"query_id": [], "vec_id": [], "score": []}
         if len(candidates) and len(queries):
             candidates = candidates.sort_values("vec_id", kind="stable")
             ids, rows, asked = candidates["vec_id"].to_numpy(), _matrix(candidates["v"]), _matrix(queries["v"])
@@ -104,8 +104,10 @@ def _search(k: int):
             for query, vector in zip(queries["vec_id"].tolist(), asked.astype(kind)):
                 own = np.arange(np.searchsorted(ids, query), np.searchsorted(ids, query, side="right"))
                 places, scores = lists.top(vector, k, own)
-                out.append(pd.DataFrame({"query_id": query, "vec_id": ids[places], "score": scores.astype(np.int64)}))
-        return pd.concat(out) if out else pd.DataFrame({c: np.zeros(0, np.int64) for c in ("query_id", "vec_id", "score")})
+                found = np.full(len(places), query), ids[places], scores.astype(np.int64)
+                for column, values in zip(out.values(), found):
+                    column.append(values)
+        return pd.DataFrame({c: np.concatenate([np.zeros(0, np.int64), *parts]) for c, parts in out.items()})
 
     return run
 
