@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stockweave.llm import mixing, pieces, quality, secret_scan, simhash, substrings, topk, toxicity, url_filter, warc
-from stockweave.llm.common import numbered, text_of
-from stockweave.session import settle_table, tune
+from stockweave.llm.common import numbered, text_of, tuned
+from stockweave.session import settle_table
 from stockweave.sources.tables import load_table
 
 URL_RULES = (
@@ -124,7 +124,7 @@ def op10_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _tuned(query):
     @wraps(query)
     def run(spark, sf_dir):
-        return query(tune(spark), sf_dir)
+        return query(tuned(spark), sf_dir)
 
     return run
 

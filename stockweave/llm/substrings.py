@@ -55,12 +55,13 @@ BITS_PER_KEY = 12
 FILTER_BITS = 1 << 27
 # most contexts of an anchor that one task compares
 PART = 2_048
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 20
 LAST = (1 << 63) - 1
 
 _BASE = 0x9E3779B97F4A7C15
 _M64 = (1 << 64) - 1
-_PLACE = np.uint64((1 << 24) - 1)
+# the lower half of a rank is a place: enough for any text
+_PLACE = np.uint64((1 << 32) - 1)
 
 
 def _powers(base: int, n: int) -> np.ndarray:
@@ -101,9 +102,10 @@ class Prefixes:
     def common(self, a: np.ndarray, b: np.ndarray, most: int) -> np.ndarray:
         """Length of the common extension of the suffixes at `a` and `b`, up to `most`."""
         low, high = np.zeros(len(a), np.int64), np.full(len(a), most, np.int64)
+        sums, from_a, from_b, down_a, down_b = self.sums, self.sums[a], self.sums[b], self.down[a], self.down[b]
         for _ in range(int(most).bit_length()):
             middle = (low + high + 1) >> 1
-            same = self.of(a, a + middle) == self.of(b, b + middle)
+            same = (sums[a + middle] - from_a) * down_a == (sums[b + middle] - from_b) * down_b
             low, high = np.where(same, middle, low), np.where(same, high, middle - 1)
         return low
 
@@ -185,11 +187,14 @@ def _in_filter(grams: np.ndarray, words: np.ndarray) -> np.ndarray:
     return found
 
 
-_MEMBER = "gram long, context long, shape int, doc long, tie long, start int, stretch int, lost boolean, bytes binary"
+# a context: its anchor's hash, a digest of its bytes, and stretch * LENGTH + offset of the anchor; or,
+# without these, a span that goes
+_MEMBER = "gram long, context long, shape int, doc long, tie int, start int, end int"
+_CONTEXT = "gram long, shape int, doc long, tie int, start int, bytes binary"
 
 
 def _members(words: np.ndarray, with_bytes: bool):
-    """Contexts whose anchor is in the filter; of equal ones in a chunk all but the earliest are marked lost."""
+    """Contexts whose anchor is in the filter; of equal ones in a chunk the earliest, and the spans of the others."""
 
     def digest(text: bytes) -> int:
         return int.from_bytes(hashlib.blake2b(text, digest_size=8).digest(), "little", signed=True)
@@ -209,7 +214,7 @@ def _members(words: np.ndarray, with_bytes: bool):
                     "doc": rows["doc"].to_numpy()[text],
                     "tie": rows["tie"].to_numpy()[text],
                     "start": start.astype(np.int32),
-                    "stretch": stretch.astype(np.int32),
+                    "end": ends.astype(np.int32),
                 }
             )
             order = np.lexsort([found[c].to_numpy() for c in ("start", "tie", "doc", "shape", "context", "gram")])
@@ -218,17 +223,34 @@ def _members(words: np.ndarray, with_bytes: bool):
             if len(found) > 1:
                 key = found[["gram", "context", "shape"]].to_numpy()
                 same[1:] = (key[1:] == key[:-1]).all(axis=1)
-            found["lost"] = same
+            # of rows that give a document twice none is the earlier one
+            place = found[["doc", "tie", "start"]].to_numpy()
+            first = np.maximum.accumulate(np.where(same, 0, np.arange(len(found))))
+            later = same & (place != place[first]).any(axis=1)
             if with_bytes:
                 found["bytes"] = [contexts[i] for i in order]
-                yield found[~same]
+                yield found.drop(columns=["context", "end"])[~same]
             else:
-                found["bytes"] = None
-                yield found
+                yield found[~same].assign(end=None)
+                yield _joined(found[later])
 
     return run
 
 
+def _joined(spans: pd.DataFrame) -> pd.DataFrame:
+    """Spans (doc, tie, start, end) of which those that overlap or touch are one; no other columns are set."""
+    spans = spans.sort_values(["doc", "tie", "start"], kind="stable")
+    doc, tie, start, end = (spans[c].to_numpy() for c in ("doc", "tie", "start", "end"))
+    if not len(spans):
+        return spans.assign(gram=None, context=None, shape=None)
+    same = (doc[1:] == doc[:-1]) & (tie[1:] == tie[:-1])
+    # contexts of a text end in the order they start
+    first = np.flatnonzero(np.r_[True, ~(same & (start[1:] <= end[:-1]))])
+    last = np.append(first[1:], len(spans)) - 1
+    out = pd.DataFrame({"doc": doc[first], "tie": tie[first], "start": start[first], "end": end[last]})
+    return out.assign(gram=None, context=None, shape=None)
+
+
 def _less(prefixes: Prefixes, where: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Whether suffix a comes before suffix b; equal ones by number, which follows their order in the corpus."""
     shared = prefixes.common(where[a], where[b], LENGTH)
@@ -299,11 +321,12 @@ def _equal_bytes(data: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
 def _compare_contexts(rows: pd.DataFrame) -> pd.DataFrame:
     """For the contexts of whole (gram, part) groups: spans of strings that start earlier (lost), and what
     is left of the strings of anchors in several parts, one by one."""
+    rows = rows.drop_duplicates(["gram", "doc", "tie", "start"])
     rows = rows.sort_values(["doc", "tie", "start"], kind="stable").reset_index(drop=True)
     data = np.frombuffer(b"".join(rows["bytes"]), np.uint8)
     size = rows["bytes"].str.len().to_numpy(np.int64)
     at = np.cumsum(size) - size
-    n = rows["stretch"].to_numpy(np.int64) + 1
+    n = rows["shape"].to_numpy(np.int64) // LENGTH + 1
     context = np.repeat(np.arange(len(rows)), n)
     step = np.arange(len(context)) - np.repeat(np.cumsum(n) - n, n)
     offset = rows["shape"].to_numpy(np.int64) % LENGTH
@@ -352,15 +375,16 @@ def _sort_parts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for rows in batches:
         if not len(rows):
             continue
-        held.append(rows)
-        if sum(map(len, held)) < PART:
-            continue
-        rows = pd.concat(held, ignore_index=True)
-        key = rows[["gram", "part"]].to_numpy()
-        open_ = (key == key[-1]).all(axis=1)
-        held = [rows[open_]]
-        if not open_.all():
-            yield _compare_contexts(rows[~open_])
+        for at in range(0, len(rows), PART):  # groups are whole, and few at a time
+            held.append(rows.iloc[at : at + PART])
+            if sum(map(len, held)) < PART:
+                continue
+            some = pd.concat(held, ignore_index=True)
+            key = some[["gram", "part"]].to_numpy()
+            open_ = (key == key[-1]).all(axis=1)
+            held = [some[open_]]
+            if not open_.all():
+                yield _compare_contexts(some[~open_])
     if held:
         yield _compare_contexts(pd.concat(held, ignore_index=True))
 
@@ -384,23 +408,23 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     counts = docs.select("text").mapInPandas(_count_grams, "gram long, n long")
     repeated = counts.groupBy("gram").agg(F.sum("n").alias("n")).filter("n > 1").select("gram")
     repeated = settle_table(repeated, "substring-grams")
-    members = docs.mapInPandas(_members(_gram_filter(repeated), False), _MEMBER).drop("bytes")
-    members = settle_table(members, "substring-members")
-    whole = _spans(F.col("start"), F.col("start") + F.col("stretch") + LENGTH)
+    members = settle_table(docs.mapInPandas(_members(_gram_filter(repeated), False), _MEMBER), "substring-members")
+    settled, open_ = members.filter("gram IS NULL"), members.filter("gram IS NOT NULL").drop("end")
 
     # classes of equal contexts: the earliest member stays
     key = ["gram", "context", "shape"]
-    classes = members.filter("not lost").groupBy(*key).agg(F.min(F.struct("doc", "tie", "start")).alias("first"))
+    classes = open_.groupBy(*key).agg(F.min(F.struct("doc", "tie", "start")).alias("first"))
     classes = settle_table(classes, "substring-classes")
-    later = members.join(classes, key).filter(F.struct("doc", "tie", "start") != F.col("first"))
+    later = open_.join(classes, key).filter(F.struct("doc", "tie", "start") != F.col("first"))
+    whole = _spans(F.col("start"), F.col("start") + F.floor(F.col("shape") / LENGTH) + LENGTH)
 
     # anchors with several contexts: compared as suffixes
     several = classes.groupBy("gram").agg(F.count("*").alias("n")).filter("n > 1")
     several = settle_table(several.select("gram", F.ceil(F.col("n") / PART).cast("int").alias("parts")), "substring-several")
-    contexts = docs.mapInPandas(_members(_gram_filter(several), True), _MEMBER).drop("lost", "context")
+    contexts = docs.mapInPandas(_members(_gram_filter(several), True), _CONTEXT)
     dealt = contexts.join(several, "gram").withColumn("part", F.pmod(F.xxhash64("doc", "tie"), F.col("parts")).cast("int"))
     strings = dealt.repartition("gram", "part").sortWithinPartitions("gram", "part").mapInPandas(
-        _sort_parts, "doc long, tie long, gram long, start int, end int, lost boolean, string long"
+        _sort_parts, "doc long, tie int, gram long, start int, end int, lost boolean, string long"
     )
     strings = settle_table(strings, "substring-strings")
     # firsts of the parts of one anchor meet per string
@@ -409,7 +433,8 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     crossing = firsts.join(least, ["gram", "string"]).filter(F.struct("doc", "tie", "start") != F.col("first"))
     one = _spans(F.col("start"), F.col("end")).alias("span")
     return (
-        later.select("doc", "tie", whole.alias("span"))
+        settled.select("doc", "tie", one)
+        .unionByName(later.select("doc", "tie", whole.alias("span")))
         .unionByName(strings.filter("lost").select("doc", "tie", one))
         .unionByName(crossing.select("doc", "tie", one))
         .select("doc", "tie", "span.s", "span.e")
@@ -419,7 +444,7 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
 def remove_repeats(docs: DataFrame) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256, spans and kept (the remaining bytes) of every row of `docs`."""
     rows = docs.select("doc_id", text_of().alias("text"))
-    keyed = rows.select("doc_id", F.coalesce(F.col("doc_id"), F.lit(LAST)).alias("doc"), F.crc32(F.col("text").cast("binary")).alias("tie"), "text")
+    keyed = rows.select("doc_id", F.coalesce(F.col("doc_id"), F.lit(LAST)).alias("doc"), (F.crc32(F.col("text").cast("binary")) - (1 << 31)).cast("int").alias("tie"), "text")
     spans = repeated_spans(keyed.select("doc", "tie", "text"))
     per_doc = spans.groupBy("doc", "tie").agg(F.collect_set(F.struct("s", "e")).alias("spans"))
 
