@@ -55,7 +55,9 @@ BITS_PER_KEY = 12
 FILTER_BITS = 1 << 27
 # most contexts of an anchor that one task compares
 PART = 2_048
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 2 << 20
+# contexts that are compared in one go
+SORT_ROWS = 8_192
 LAST = (1 << 63) - 1
 
 _BASE = 0x9E3779B97F4A7C15
@@ -375,9 +377,9 @@ def _sort_parts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for rows in batches:
         if not len(rows):
             continue
-        for at in range(0, len(rows), PART):  # groups are whole, and few at a time
-            held.append(rows.iloc[at : at + PART])
-            if sum(map(len, held)) < PART:
+        for at in range(0, len(rows), SORT_ROWS):  # groups are whole, and few at a time
+            held.append(rows.iloc[at : at + SORT_ROWS])
+            if sum(map(len, held)) < SORT_ROWS:
                 continue
             some = pd.concat(held, ignore_index=True)
             key = some[["gram", "part"]].to_numpy()
