@@ -33,7 +33,7 @@ empty table gives no rows; columns other than the key and text are not read.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import accumulate
 
 import numpy as np
@@ -70,18 +70,19 @@ def _word_pieces(text: bytes) -> Iterator[list[bytes]]:
         at = end
 
 
-def _shingle_hashes(text: bytes) -> Iterator[np.ndarray]:
+def shingle_hashes(text: bytes, shingle: int = SHINGLE) -> Iterator[np.ndarray]:
+    """Hashes of all shingles of `shingle` words, a piece of the text at a time."""
     digest, carry, some = xxhash.xxh64_intdigest, [], False
     for words in _word_pieces(text.lower()):
         words = carry + words
-        n = len(words) - SHINGLE + 1
+        n = len(words) - shingle + 1
         if n > 0:
             joined = b" ".join(words)
             ends = list(accumulate(len(w) + 1 for w in words))
-            spans = zip([0, *ends], ends[SHINGLE - 1 :])
+            spans = zip([0, *ends], ends[shingle - 1 :])
             yield np.fromiter((digest(joined[s : e - 1], SEED) for s, e in spans), np.uint64, n)
             some = True
-        carry = words[-(SHINGLE - 1) :]
+        carry = words[-(shingle - 1) :]
     if not some and carry:
         yield np.array([digest(b" ".join(carry), SEED)], np.uint64)
 
@@ -89,7 +90,7 @@ def _shingle_hashes(text: bytes) -> Iterator[np.ndarray]:
 def fingerprint(text: str | None) -> int:
     """The fingerprint as an unsigned number."""
     counts, total = np.zeros(64, np.int64), 0
-    for hashes in _shingle_hashes((text or "").encode("utf-8", "replace")):
+    for hashes in shingle_hashes((text or "").encode("utf-8", "replace")):
         for part in np.array_split(hashes, -(-len(hashes) // 65_536)):
             bits = np.unpackbits(part.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
             counts += bits.sum(axis=0, dtype=np.int64)
@@ -301,11 +302,11 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id") -> DataFrame:
     return marked.join(classes, "fp", "left").select(key, "fp", "component")
 
 
-def one_of_each(docs: DataFrame) -> DataFrame:
-    """`docs` (doc_id, text, more) without all but one row of each component: the smallest doc_id, null last."""
+def one_of_each(docs: DataFrame, find: Callable[[DataFrame, str], DataFrame] = near_duplicates) -> DataFrame:
+    """`docs` (doc_id, text, more) without all but one row of each component of `find`: the smallest doc_id, null last."""
     row = fresh(docs, "row_id")
     rows = numbered(docs, row, "simhash-rows")
-    found = near_duplicates(rows, row).join(rows.select(row, "doc_id"), row)
+    found = find(rows, row).join(rows.select(row, "doc_id"), row)
     order = F.struct(F.col("doc_id").isNull(), "doc_id", row)
     kept = found.groupBy("component").agg(F.min(order)[row].alias(row)).select(row)
     # kept rows are a number each, the side to hash; texts are neither sorted nor kept

@@ -1,0 +1,83 @@
+import random
+import re
+from collections import Counter
+
+import corpus_pipeline
+from stockweave.llm import near_copies, simhash
+from tests.llm import cases
+
+
+def shingles(text):
+    lowered = (text or "").translate({i: i + 32 for i in range(65, 91)})
+    found = re.findall("[^\x20\x09-\x0d]+", lowered)
+    return frozenset(" ".join(found[i : i + 5]) for i in range(max(1, len(found) - 4))) if found else frozenset()
+
+
+def brute(rows):
+    """(key, smallest key of its component) of rows (key, text), by all pairs."""
+    sets = [shingles(t) for _, t in rows]
+    parent = list(range(len(rows)))
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets[:i]):
+            if a == b or 5 * len(a & b) >= 4 * len(a | b):
+                parent[root(i)] = root(j)
+    least = {}
+    for i, (key, _) in enumerate(rows):
+        least[root(i)] = min(least.get(root(i), key), key)
+    return Counter((key, least[root(i)]) for i, (key, _) in enumerate(rows))
+
+
+def copies(seed=5):
+    """Texts of 200 words, each with copies of one to eleven changed words: similarities around 0.8."""
+    rnd = random.Random(seed)
+    texts = []
+    for _ in range(12):
+        base = [f"w{rnd.randrange(10**6)}" for _ in range(200)]
+        for changes in range(12):
+            text = list(base)
+            for at in rnd.sample(range(200), changes):
+                text[at] = f"x{rnd.randrange(10**6)}"
+            texts.append(" ".join(text))
+    rnd.shuffle(texts)
+    return list(enumerate(texts))
+
+
+def found(spark, rows):
+    table = spark.createDataFrame(rows, "id long, text string")
+    return Counter(map(tuple, near_copies.near_copies(table, "id").collect()))
+
+
+def test_components_match_all_pairs(spark):
+    rows = copies()
+    assert found(spark, rows) == brute(rows)
+
+
+def test_odd_rows_match_all_pairs(spark):
+    texts = [r.text for r in cases.documents(spark).collect()] + ["a b c", "A b  c", "a b", "", None]
+    rows = list(enumerate(texts))
+    assert found(spark, rows) == brute(rows)
+    assert not found(spark, rows[:0])
+
+
+def test_texts_that_only_share_a_bucket(spark, monkeypatch):
+    """Where every text meets every other one, links off the leaders are still found."""
+    monkeypatch.setattr(near_copies, "bands", lambda hashes: [7, 8, 9] if len(hashes) else [])
+    rows = copies(6)[:60]
+    assert found(spark, rows) == brute(rows)
+
+
+def test_stage_drops_similar_texts_with_distant_fingerprints(spark, tables):
+    docs = spark.read.parquet(f"{tables}/documents.parquet")
+    text = {r.doc_id: r.text for r in docs.collect()}
+    assert (simhash.fingerprint(text[1]) ^ simhash.fingerprint(text[177])).bit_count() > 4
+    kept = dict(corpus_pipeline.STAGES)["simhash_near_dedup"](spark, docs, tables)
+    assert kept.columns == docs.columns
+    wanted = {c for _, c in brute(list(text.items()))}
+    assert 1 in wanted and 177 not in wanted
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(wanted)
