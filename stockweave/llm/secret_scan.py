@@ -56,8 +56,16 @@ ASSIGN = Rule(
 ACCESS = Rule("access", r"AKIA[A-Z0-9]+", 0, 18)
 HEX = Rule("hex", r"[0-9a-f]+", 0, 16)
 BASE = (ASSIGN, ACCESS, HEX)
+# the whole key: header lines, then all up to the END line or, where there is none, the lines of base64;
+# possessive throughout, as a key may be long; line ends may be written as \\n
+_BEGIN, _END = r"-----BEGIN [A-Z ]*PRIVATE KEY-----", r"-----END [A-Z ]*PRIVATE KEY-----"
+_BREAK = r"(?:\x20|\t|\r|\n|\\r|\\n)"
+_HEADERS = rf"(?:{_BREAK}++[A-Za-z][A-Za-z-]*+:\x20[^\r\n\\]*+)*+"
+_TO_END = rf"""[A-Za-z0-9+/=\x20\t\r\n"'>,#*\\]*+{_END}"""
+_LINES = rf"(?:{_BREAK}++[A-Za-z0-9+/]{{16,}}+={{0,2}}+)++(?:{_BREAK}++[A-Za-z0-9+/]{{1,15}}+={{0,2}}+(?=[\r\n\\]|\Z))?+"
+KEY = Rule("private_key", f"{_BEGIN}(?:{_HEADERS}{_TO_END}|{_HEADERS}{_LINES})?+")
 MORE = (
-    Rule("private_key", r"-----BEGIN [A-Z ]*PRIVATE KEY-----"),
+    KEY,
     Rule("github", r"gh[pousr]_[A-Za-z0-9]{36,}"),
     Rule("slack", r"xox[abprs]-[A-Za-z0-9-]{10,}"),
     Rule("jwt", r"eyJ[A-Za-z0-9_-]{10,}\.eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}"),
@@ -264,13 +272,14 @@ def span_digest(spans: Column, rules: tuple[Rule, ...] = RULES) -> Column:
 
 
 def redact(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """`docs` with the secret part (the rule's group) of every match replaced, rule after rule; all columns stay.
+    """`docs` with the secret part (the rule's group) of every match replaced, keys first, then rule after rule; all columns stay.
 
     Null texts stay null. n_chars, if there is one, follows the new text.
     """
     name = fresh(docs, "kinds")
     marked = _with_candidates(docs, rules, name)
-    for rule in rules:  # a step each, so that no text is computed twice
+    # keys first, as a match of another rule inside would cut them; a step each, so that no text is computed twice
+    for rule in sorted(rules, key=lambda r: r.kind != KEY.kind):
         marked = marked.withColumn("text", F.when(_wanted(rule, name), _masked(F.col("text"), rule)).otherwise(F.col("text")))
     if "n_chars" in docs.columns:
         length = F.length("text").cast(docs.schema["n_chars"].dataType)
