@@ -97,3 +97,14 @@ def test_labelled_quality(spark):
     kept = {r.quality: (r.n, r.kept) for r in rows.groupBy("quality").agg(F.count("*").alias("n"), F.sum(F.col("kept").cast("int")).alias("kept")).collect()}
     assert kept[1][1] >= 0.99 * kept[1][0]
     assert kept[0][1] <= 0.1 * kept[0][0]
+
+
+def test_shuffled_repeated_lines_are_rejected(spark):
+    """Menu lines too short to repeat a window, in a group without repeated lines."""
+    rng = np.random.default_rng(1)
+    plain = ["\n".join(" ".join(f"w{v}" for v in rng.integers(0, 10**6, 9)) for _ in range(12)) for _ in range(80)]
+    menu = "\n".join(str(x) for x in rng.permutation([f"item{i % 9}" for i in range(90)]))
+    docs = spark.createDataFrame([(i, t, "en", "a", 0) for i, t in enumerate([*plain, menu])], cases.COLUMNS)
+    rows = {r.doc_id: r for r in quality.judge_quality(docs).collect()}
+    assert rows[80].n_dup_lines == 81 and not rows[80].base_failed and not rows[80].kept
+    assert all(rows[i].kept for i in range(80))
