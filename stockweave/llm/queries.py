@@ -8,7 +8,22 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stockweave.llm import mixing, pieces, quality, secret_scan, simhash, substrings, topk, toxicity, url_filter, warc
+from stockweave.llm import (
+    codes,
+    licenses,
+    mixing,
+    oracles,
+    pieces,
+    quality,
+    resampling,
+    secret_scan,
+    simhash,
+    substrings,
+    topk,
+    toxicity,
+    url_filter,
+    warc,
+)
 from stockweave.llm.common import numbered, text_of, tuned
 from stockweave.session import settle_table
 from stockweave.sources.tables import load_table
@@ -121,6 +136,22 @@ def op10_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encode(load_table(spark, sf_dir, "documents"), pieces.load_model(PIECES_MODEL))
 
 
+def op11_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_licenses(load_table(spark, sf_dir, "documents")).drop("spans")
+
+
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, wanted = load_table(spark, sf_dir, "documents"), load_table(spark, sf_dir, "benchmark")
+    return resampling.resample(docs, wanted).select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded, books = codes.compress(load_table(spark, sf_dir, "embeddings"))
+    found = codes.with_label_error(coded)
+    digest = F.lit(books.digest() if books else None).cast("string").alias("codebooks_sha256")
+    return found.select("vec_id", codes.code_text(F.col("code")).alias("code"), "error", "label_error", digest)
+
+
 def _tuned(query):
     @wraps(query)
     def run(spark, sf_dir):
@@ -129,7 +160,24 @@ def _tuned(query):
     return run
 
 
-QUERIES = {q.__name__: _tuned(q) for q in (op1_substring_dedup, op2_toxicity, op3_url_filter, op4_secret_scan, op5_mix_sources, op6_simhash, op7_quality, op8_warc_fixity, op9_top_k, op10_pieces)}
+QUERIES = {
+    q.__name__: _tuned(q)
+    for q in (
+        op1_substring_dedup,
+        op2_toxicity,
+        op3_url_filter,
+        op4_secret_scan,
+        op5_mix_sources,
+        op6_simhash,
+        op7_quality,
+        op8_warc_fixity,
+        op9_top_k,
+        op10_pieces,
+        op11_license_scan,
+        op12_importance_resampling,
+        op13_vector_codes,
+    )
+}
 
 ORACLE = {
     "op3_url_filter": r"""
@@ -193,4 +241,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(ORACLE)
+    return ORACLE | oracles.ORACLE
