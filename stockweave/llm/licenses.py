@@ -252,6 +252,7 @@ def scan_licenses(docs: DataFrame, templates: tuple[Template, ...] = TEMPLATES)
 
     spans has (first, end, label, coverage) of every accepted span by place; score is the largest coverage.
     """
+    templates = templates or (Template("", ""),)  # one that has no runs
     hits = template_hits(docs, templates)
     spans = template_spans(hits, templates)
     label, base = _facts(templates, lambda t: t.label), _facts(templates, lambda t: t.base)
