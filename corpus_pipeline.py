@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stockweave.llm import mixing, near_copies, pieces, queries, secret_scan, simhash, toxicity
+from stockweave.llm import mixing, pieces, queries, secret_scan, simhash, toxicity
 from stockweave.llm.common import tuned
 from stockweave.session import settle_table
 from stockweave.sources.tables import load_table
@@ -22,9 +22,9 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of every group linked by a five-word shingle similarity of 0.8 or more."""
+    """One document, the one of smallest doc_id, of every group that SimHash fingerprints link."""
     tuned(spark)
-    return simhash.one_of_each(docs, near_copies.near_copies)
+    return simhash.one_of_each(docs)
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

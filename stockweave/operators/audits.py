@@ -20,10 +20,13 @@ EMAIL_ISSUE = "Non-demo email address found"
 PHONE_ISSUE = "Possible real phone number found"
 SECRET_ISSUE = "Possible credential found"
 
-# Start tags with their attributes; comments and script or style bodies are no tags.
-INVISIBLE = r"(?is)<!--.*?-->|(<(?:script|style)\b[^>]*>).*?</(?:script|style)\s*>"
+# Start tags with their attributes; comments and script or style bodies are no tags. A comment, body,
+# tag or quote that is never closed takes the rest of the page with it, so a page is read once.
+INVISIBLE = (
+    r"(?is)<!--.*?(?:-->|\z)|(<(?:script|style)\b[^>]*+(?:>|\z)).*?(?:</(?:script|style)(?=\s*+>)\s*+>|\z)"
+)
 # Possessive runs: a tag of any length is matched without a stack frame per character.
-TAG = r"""(?s)<[A-Za-z](?:[^>"']++|"[^"]*+"|'[^']*+')*+>"""
+TAG = r"""(?s)(<[A-Za-z](?:[^>"']++|"[^"]*+"|'[^']*+')*+>)|<[A-Za-z].*+"""
 # A name with its value, read one after the other, so that no value is taken for a name.
 PAIR = r"""(?s)[\s/]++([^\s"'>/=]++)(?:\s*+=\s*+("[^"]*+"|'[^']*+'|[^\s>"']++))?+"""
 INDEX = "index.html"
@@ -52,7 +55,7 @@ def contact_audit(docs: DataFrame, key: str, content: str = "text", public: Colu
 def tags(html) -> Column:
     """Start tags of a page as text."""
     visible = F.regexp_replace(html, INVISIBLE, "$1")
-    return F.regexp_extract_all(visible, F.lit(TAG), F.lit(0))
+    return F.filter(F.regexp_extract_all(visible, F.lit(TAG), F.lit(1)), lambda t: t != "")
 
 
 def attribute(tag: Column, name: str) -> Column:

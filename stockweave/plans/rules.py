@@ -159,7 +159,7 @@ def control_characters(spark, d):
     for at, (field, char) in enumerate(_CONTROL):
         bad = F.concat(F.col(field), F.lit(char))
         rows = rows.withColumn(field, F.when(F.col("row") % 7 == at, bad).otherwise(F.col(field)))
-    names = load_table(spark, d, "part").select(F.lit("none.webp").alias("name"))
+    names = load_table(spark, d, "part").select(F.concat(F.lit("none-"), F.col("p_partkey").cast("string")).alias("name"))
     found = L.clean_catalog(rows, names).issues
     problems = F.filter("errors", lambda e: e.endswith(L.CONTROL_PROBLEM))
     return found.select("row", F.explode(problems).alias("problem"))
