@@ -225,8 +225,8 @@ def running_sums(steps: Column) -> Column:
     return _let(cut, joined)
 
 
-def _rule_spans(text: Column, rule: Rule, number: int) -> Column:
-    """Array of (start, kind, end) of the rule's matches in `text`."""
+def _rule_spans(text: Column, rule: Rule, number: int, held_only: bool = False) -> Column:
+    """Array of (start, kind, end) of the rule's matches in `text`, or of their groups, which end the match."""
     # a bare character class with a least length needs no look at short runs
     simple = rule.group == 0 and re.fullmatch(r"(\w*\[[^\]]+\])\+", rule.pattern)
     pattern = rule.pattern[:-1] + "{%d,}" % (rule.least - len(rule.pattern.split("[")[0])) if simple else rule.pattern
@@ -236,7 +236,7 @@ def _rule_spans(text: Column, rule: Rule, number: int) -> Column:
         steps = F.zip_with(F.slice(parts["gaps"], F.lit(1), F.size(parts["found"])), lengths, lambda g, n: F.length(g) + n)
         rows = F.transform(
             F.arrays_zip(running_sums(steps).alias("end"), lengths.alias("n"), parts["held"].alias("held")),
-            lambda r: F.struct((r["end"] - r["n"]).alias("start"), F.lit(number).alias("kind"), r["end"].alias("end"), F.length(r["held"]).alias("held")),
+            lambda r: F.struct((r["end"] - (F.length(r["held"]) if held_only else r["n"])).alias("start"), F.lit(number).alias("kind"), r["end"].alias("end"), F.length(r["held"]).alias("held")),
         )
         kept = F.filter(rows, lambda r: r["held"] >= rule.least)
         return F.transform(kept, lambda r: F.struct(r["start"], r["kind"], r["end"]))
@@ -249,18 +249,21 @@ def _rule_spans(text: Column, rule: Rule, number: int) -> Column:
     return F.when(text.rlike(pattern), _let(parts, spans))
 
 
-def scan_secrets(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """doc_id and spans: array of (start, kind number, end), by start, then rule order; a row per row of `docs`."""
-    marked = _with_candidates(docs.select("doc_id", text_of().alias("text")), rules, "kinds")
-    none = F.array().cast("array<struct<start:int,kind:int,end:int>>")
-    text = F.col("text")
-    found = []
+def _spans(rules: tuple[Rule, ...], kinds: str, held_only: bool = False) -> Column:
+    """The spans of all rules in column text, sorted."""
+    text, none, found = F.col("text"), F.array().cast("array<struct<start:int,kind:int,end:int>>"), []
     for number, rule in enumerate(rules):
-        spans = _rule_spans(text, rule, number)
+        spans = _rule_spans(text, rule, number, held_only)
         if trigram_query(rule.pattern):
-            spans = F.when(F.array_contains("kinds", rule.kind), spans)
+            spans = F.when(F.array_contains(kinds, rule.kind), spans)
         found.append(F.coalesce(spans, none))
-    return marked.select("doc_id", F.array_sort(F.flatten(F.array(*found))).alias("spans"))
+    return F.array_sort(F.flatten(F.array(*found)))
+
+
+def scan_secrets(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
+    """doc_id and spans: array of (start, kind number, end), by start, then rule order; a row per row of `docs`."""
+    marked = _with_candidates(docs.select("doc_id", text_of().alias("text")), rules, "kinds")
+    return marked.select("doc_id", _spans(rules, "kinds").alias("spans"))
 
 
 def span_digest(spans: Column, rules: tuple[Rule, ...] = RULES) -> Column:
@@ -271,37 +274,66 @@ def span_digest(spans: Column, rules: tuple[Rule, ...] = RULES) -> Column:
     )
 
 
+def _ends_before(spans: Column) -> Column:
+    """Largest end of the spans before each one, 0 for the first; in two levels, like `running_sums`."""
+
+    def largest(ends: Column) -> Column:
+        return F.aggregate(ends, F.lit(0), lambda a, x: F.greatest(a, x))
+
+    def earlier(ends: Column, start: Column) -> Column:
+        zero = F.struct(start.cast("int").alias("top"), F.array().cast("array<int>").alias("tops"))
+        step = lambda a, x: F.struct(F.greatest(a["top"], x).alias("top"), F.array_append(a["tops"], a["top"]).alias("tops"))
+        return F.aggregate(ends, zero, step, lambda a: a["tops"])
+
+    last = F.floor((F.size(spans) - 1) / F.lit(_BLOCK)).cast("int")
+    cut = F.transform(F.sequence(F.lit(0), F.greatest(last, F.lit(0))), lambda b: F.slice(F.transform(spans, lambda s: s["end"]), b * _BLOCK + 1, F.lit(_BLOCK)))
+    return _let(cut, lambda blocks: _let(earlier(F.transform(blocks, largest), F.lit(0)), lambda tops: F.flatten(F.zip_with(blocks, tops, earlier))))
+
+
+# a stretch of text is put together from blocks of so many characters, as finding a place takes a walk from the start
+_TEXT_BLOCK = 4_096
+
+
+def _stretch(blocks: Column, start: Column, end: Column) -> Column:
+    """Characters start to end (exclusive) of a text cut into blocks."""
+
+    def part(b: Column) -> Column:
+        block, first = F.get(blocks, b), F.greatest(start - b * _TEXT_BLOCK, F.lit(0))
+        return F.substr(block, first + 1, F.least(end - b * _TEXT_BLOCK, F.lit(_TEXT_BLOCK)) - first)
+
+    numbers = F.sequence(F.floor(start / F.lit(_TEXT_BLOCK)).cast("int"), F.floor((end - 1) / F.lit(_TEXT_BLOCK)).cast("int"))
+    return F.when(end > start, F.array_join(F.transform(numbers, part), "")).otherwise(F.lit(""))
+
+
+def _cut_out(text: Column, spans: Column) -> Column:
+    """`text` with MASK for every stretch of overlapping spans."""
+
+    def joined(blocks: Column) -> Column:
+        def replaced(before: Column) -> Column:
+            pairs = F.arrays_zip(spans.alias("s"), before.alias("top"))
+            # a span that begins inside an earlier one belongs to its mask
+            fresh_ones = F.filter(pairs, lambda p: p["s"]["start"] >= p["top"])
+            pieces = F.transform(fresh_ones, lambda p: F.concat(_stretch(blocks, p["top"], p["s"]["start"]), F.lit(MASK)))
+            end = F.array_max(F.transform(spans, lambda s: s["end"]))
+            return F.concat(F.array_join(pieces, ""), _stretch(blocks, end, F.length(text)))
+
+        return _let(_ends_before(spans), replaced)
+
+    return _let(F.regexp_extract_all(text, F.lit("(?s).{1,%d}" % _TEXT_BLOCK), F.lit(0)), joined)
+
+
 def redact(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """`docs` with the secret part (the rule's group) of every match replaced, keys first, then rule after rule; all columns stay.
+    """`docs` with a mask for every stretch that the secret parts (the rules' groups) of matches cover; all columns stay.
 
-    Null texts stay null. n_chars, if there is one, follows the new text.
+    All rules look at the text as given, as in `scan_secrets`; overlapping parts get one mask, parts that
+    touch one each. Null texts stay null. n_chars, if there is one, follows the new text.
     """
-    name = fresh(docs, "kinds")
-    marked = _with_candidates(docs, rules, name)
-    # keys first, as a match of another rule inside would cut them; a step each, so that no text is computed twice
-    for rule in sorted(rules, key=lambda r: r.kind != KEY.kind):
-        marked = marked.withColumn("text", F.when(_wanted(rule, name), _masked(F.col("text"), rule)).otherwise(F.col("text")))
+    kinds, found = fresh(docs, "kinds"), fresh(docs, "spans")
+    marked = _with_candidates(docs, rules, kinds)
+    marked = marked.withColumn(found, F.when(F.col("text").isNotNull(), F.filter(_spans(rules, kinds, True), lambda s: s["end"] > s["start"])))
+    masked = F.when(F.size(found) > 0, _cut_out(F.col("text"), F.col(found))).otherwise(F.col("text"))
+    marked = marked.withColumn("text", masked)
     if "n_chars" in docs.columns:
         length = F.length("text").cast(docs.schema["n_chars"].dataType)
         marked = marked.withColumn("n_chars", F.when(F.col("n_chars").isNotNull(), length))
     return marked.select(*docs.columns)
-
-
-def _wanted(rule: Rule, name: str) -> Column:
-    return F.coalesce(F.array_contains(name, rule.kind), F.lit(False)) if trigram_query(rule.pattern) else F.lit(True)
-
-
-def _masked(text: Column, rule: Rule) -> Column:
-    """Mark the groups of all matches with noncharacters, mask the long ones, unmark the rest."""
-    pattern, group = rule.pattern, rule.group
-    if not group:
-        pattern, group = f"({pattern})", 1
-    before = "".join(f"${i}" for i in range(1, group))
-    if group > 1:  # keep what stands between the groups
-        at = pattern.rindex("([")
-        pattern = "(?i)(" + pattern[4:at] + ")" + pattern[at:] if pattern.startswith("(?i)") else "(" + pattern[:at] + ")" + pattern[at:]
-        before, group = "$1", group + 1
-    marked = F.regexp_replace(text, F.lit(pattern), F.lit(f"{before}\ufdd0${group}\ufdd1"))
-    masked = F.regexp_replace(marked, F.lit("\ufdd0[^\ufdd0\ufdd1]{%d,}\ufdd1" % max(rule.least, 1)), F.lit(MASK))
-    plain = F.regexp_replace(masked, F.lit("\ufdd0([^\ufdd0\ufdd1]*)\ufdd1"), F.lit("$1"))
-    return F.when(text.rlike(rule.pattern), plain).otherwise(text)
