@@ -1,34 +1,30 @@
 import csv
 
 import pytest
+from pyspark.sql import functions as F
 
 from stockweave.operators import cleaning as L
 from stockweave.sources import sinks
 from stockweave.sources.catalog_csv import header_issues, image_listing, read_catalog_csv, write_clean_catalog
 
-ROW = {
-    "id": "  linen-tunic",
-    "name": " Linen \t  Tunic ",
-    "category": " Men’s Clothing ",
-    "description": "Washed linen, cut loose.",
-    "price_inr": "₹2,345.60",
-    "image": "/assets/images/TUNIC.webp",
-    "alt": "Tunic on a hanger",
-    "sizes": " M | L | l | XL ",
-    "colors": "Teal|teal",
-    "featured": "yes",
-}
+FIELDS = ("id", "name", "category", "description", "price_inr", "image", "alt", "sizes", "colors", "featured")
+
+
+def raw(number=1, **changes):
+    """A row without fault or anything to normalise, and the given changes."""
+    plain = (f"item-{number}", f"Item {number}", "kids", "Plain.", "10", "/assets/images/one.webp", "One", "", "", "0")
+    return dict(zip(FIELDS, plain)) | changes
 
 
 @pytest.fixture
 def clean(spark, tmp_path):
     images = tmp_path / "images"
     images.mkdir()
-    (images / "tunic.webp").write_bytes(b"image")
+    (images / "one.webp").write_bytes(b"image")
     (images / "OTHER.webp").write_bytes(b"image")
     source = tmp_path / "catalog.csv"
 
-    def run(*rows, tail="", fields=tuple(ROW)):
+    def run(*rows, tail="", fields=FIELDS):
         with source.open("w", encoding="utf-8-sig", newline="") as stream:
             writer = csv.DictWriter(stream, fieldnames=fields)
             writer.writeheader()
@@ -44,24 +40,33 @@ def issues(result):
     return {r.row: r.errors for r in L.issue_log(result).collect()}
 
 
-def test_text_category_price_and_lists_are_normalised(clean):
-    result = clean(ROW)
-    product = result.accepted.collect()[0]
-    assert product.asDict() == {
-        "id": "linen-tunic", "name": "Linen Tunic", "category": "men", "description": "Washed linen, cut loose.",
-        "price_minor": 234560, "image": "/assets/images/tunic.webp", "alt": "Tunic on a hanger",
-        "sizes": ["M", "L", "XL"], "colors": ["Teal"], "featured": True}
-    changes = {r.field: r.result for r in result.normalizations.collect()}
-    assert changes["price_inr"] == "234560" and changes["sizes"] == "M|L|XL" and changes["featured"] == "1"
-    assert "description" not in changes
+NORMAL = [
+    ("id", " ITEM-90", "item-90", "item-90"),
+    ("name", "\tPaper   kite\u00a0", "Paper kite", "Paper kite"),
+    ("category", "Men’s  clothing", "men", "men"),
+    ("price_inr", "₹7,001.09", 700109, "700109"),
+    ("image", "/assets/images/ONE.WEBP", "/assets/images/one.webp", "/assets/images/one.webp"),
+    ("sizes", "35|36| 35 |", ["35", "36"], "35|36"),
+    ("colors", "Sky|SKY|Sand", ["Sky", "Sand"], "Sky|Sand"),
+    ("featured", "Yes", True, "1"),
+]
+
+
+@pytest.mark.parametrize(("field", "given", "stored", "logged"), NORMAL, ids=[n[0] for n in NORMAL])
+def test_a_field_is_normalised_and_logged(clean, field, given, stored, logged):
+    result = clean(raw(2), raw(3, **{field: given}))
+    (product,) = [r for r in result.accepted.collect() if r.id != "item-2"]
+    assert product["price_minor" if field == "price_inr" else field] == stored
+    assert [(r.field, r.result) for r in result.normalizations.filter(F.col("row") == 3).collect() if r.field == field] == [(field, logged)]
+    assert not [r for r in result.normalizations.collect() if r.field in ("description", "alt")]
     assert result.summary.collect()[0].status == "passed"
 
 
 def test_every_row_of_a_repeated_id_is_rejected(clean):
-    result = clean(ROW, {**ROW, "id": "LINEN-TUNIC"}, {**ROW, "id": "test-cap"})
-    assert issues(result) == {2: [L.DUPLICATE_PROBLEM], 3: [L.DUPLICATE_PROBLEM]}
+    result = clean(raw(1), raw(2), raw(3), raw(id="Item-2 "), raw(5), raw(2, name="Other"))
+    assert issues(result) == {n: [L.DUPLICATE_PROBLEM] for n in (3, 5, 7)}
     summary = result.summary.collect()[0]
-    assert (summary.input_rows, summary.accepted_rows, summary.rejected_rows) == (3, 1, 2)
+    assert (summary.input_rows, summary.accepted_rows, summary.rejected_rows) == (6, 3, 3)
 
 
 BAD = [
@@ -74,9 +79,9 @@ BAD = [
     ({"id": "bad_id"}, L.ID_PROBLEM),
     ({"image": "/assets/images/missing.webp"}, L.IMAGE_FILE_PROBLEM),
     ({"image": "/assets/images/other.webp"}, L.IMAGE_FILE_PROBLEM),
-    ({"image": "https://example.com/tunic.webp"}, L.IMAGE_PATH_PROBLEM),
-    ({"image": "/assets/images/../tunic.webp"}, L.IMAGE_PATH_PROBLEM),
-    ({"image": "tunic.webp"}, L.IMAGE_PATH_PROBLEM),
+    ({"image": "https://example.com/one.webp"}, L.IMAGE_PATH_PROBLEM),
+    ({"image": "/assets/images/../one.webp"}, L.IMAGE_PATH_PROBLEM),
+    ({"image": "one.webp"}, L.IMAGE_PATH_PROBLEM),
     ({"sizes": "x" * 41}, "sizes contains an invalid option"),
     ({"colors": "|".join(f"c{i}" for i in range(21))}, "colors must contain at most 20 options"),
     ({"price_inr": "1000000.01"}, "price must be between INR 0.01 and INR 1000000.00"),
@@ -88,14 +93,14 @@ BAD = [
 
 
 def test_each_rule_rejects_its_row(clean):
-    rows = [{**ROW, "id": f"row-{i}", **change} for i, (change, _) in enumerate(BAD)]
+    rows = [raw(i, **change) for i, (change, _) in enumerate(BAD)]
     found = issues(clean(*rows))
     assert found == {i + 2: [problem] for i, (_, problem) in enumerate(BAD)}
 
 
 def test_width_of_rows(clean):
-    tail = "short-1,b\r\nlong-1,n,men,d,1,/assets/images/tunic.webp,a,,,0,extra\r\n"
-    found = issues(clean(ROW, {**ROW, "id": "two-lines", "description": 'a\n"quoted", line'}, tail=tail))
+    tail = "short-1,b\r\nlong-1,n,men,d,1,/assets/images/one.webp,a,,,0,extra\r\n"
+    found = issues(clean(raw(), raw(2, description='a\n"quoted", line'), tail=tail))
     assert found[4][0] == L.WIDTH_PROBLEM and found[5] == [L.WIDTH_PROBLEM] and 3 not in found
 
 
@@ -104,7 +109,7 @@ def test_header_and_empty_catalog(spark, clean):
     assert issues(result) == {1: [L.EMPTY_PROBLEM]} and result.summary.collect()[0].status == "failed"
     clean.source.write_text("id,name\n")
     assert header_issues(spark, str(clean.source)).collect()[0].error.startswith("missing columns: alt, category")
-    clean.source.write_text(",".join(ROW) + ",id\n")
+    clean.source.write_text(",".join(FIELDS) + ",id\n")
     assert header_issues(spark, str(clean.source)).collect()[0].error == "duplicate CSV column names"
 
 
@@ -112,7 +117,7 @@ def test_many_files_keep_their_own_row_numbers(spark, tmp_path):
     folder = tmp_path / "many"
     folder.mkdir()
     for n in range(3):
-        lines = [",".join(ROW)] + [f"id-{n}-{i}" + "," * 9 for i in range(4)]
+        lines = [",".join(FIELDS)] + [f"id-{n}-{i}" + "," * 9 for i in range(4)]
         (folder / f"{n}.csv").write_text("\n".join(lines) + "\n")
     rows = read_catalog_csv(spark, str(folder)).select("id", "row").collect()
     assert sorted((r.id, r.row) for r in rows) == [(f"id-{n}-{i}", i + 2) for n in range(3) for i in range(4)]
@@ -120,19 +125,19 @@ def test_many_files_keep_their_own_row_numbers(spark, tmp_path):
 
 def test_failed_run_keeps_the_published_version(spark, clean, tmp_path):
     root = str(tmp_path / "published")
-    good = clean(ROW)
+    good = clean(raw())
     assert sinks.publish_if_passed({"catalog": good.accepted}, good.summary, {"issues": L.issue_log(good)}, root)
     stored = sinks.read_published(spark, root, "catalog")
     assert sinks.drift(good.accepted, stored).count() == 0
     before = stored.collect()
-    bad = clean({**ROW, "price_inr": "-1"})
+    bad = clean(raw(price_inr="-1"))
     assert not sinks.publish_if_passed({"catalog": bad.accepted}, bad.summary, {"issues": L.issue_log(bad)}, root)
     assert sinks.read_published(spark, root, "catalog").collect() == before
     assert spark.read.json(f"{root}/report/summary").collect()[0].status == "failed"
-    changed = clean({**ROW, "price_inr": "2"}).accepted
+    changed = clean(raw(price_inr="2", sizes="S|M", featured="no")).accepted
     assert {(r.side, r.price_minor, r.copies) for r in sinks.drift(changed, stored).collect()} == {
-        ("missing", 200, 1), ("stale", 234560, 1)}
+        ("missing", 200, 1), ("stale", 1000, 1)}
     assert sinks.publish(spark, {"catalog": changed}, root) == 2
     write_clean_catalog(changed, str(tmp_path / "clean"))
     text = spark.read.option("header", True).option("escape", '"').csv(str(tmp_path / "clean" / "csv")).collect()[0]
-    assert (text.sizes, text.featured, text.price_minor) == ('["M","L","XL"]', "1", "200")
+    assert (text.sizes, text.featured, text.price_minor) == ('["S","M"]', "0", "200")

@@ -9,13 +9,13 @@ from stockweave.operators.catalog import active_catalog
 from stockweave.plans import jobs
 from stockweave.schemas import IMAGE_EVIDENCE, PAGE_EVIDENCE, PRODUCT, PRODUCT_COLUMNS, RETIRED, UNAVAILABLE
 from stockweave.sources import sinks
-from tests.test_cleaning import ROW
+from tests.test_cleaning import FIELDS, raw
 from tests.test_feed import evidence, feed_of, variant
 
 
 def write(path, rows):
     with path.open("w", encoding="utf-8", newline="") as stream:
-        writer = csv.DictWriter(stream, fieldnames=list(ROW))
+        writer = csv.DictWriter(stream, fieldnames=FIELDS)
         writer.writeheader()
         writer.writerows(rows)
 
@@ -23,9 +23,9 @@ def write(path, rows):
 def test_clean_job(spark, tmp_path):
     images, source, root = tmp_path / "images", tmp_path / "catalog.csv", str(tmp_path / "out")
     images.mkdir()
-    (images / "tunic.webp").write_bytes(b"x")
+    (images / "one.webp").write_bytes(b"x")
     run = lambda check=False: jobs.clean_job(spark, str(source), str(images), root, check)
-    write(source, [{**ROW, "id": f"tunic-{i}", "price_inr": str(100 + i)} for i in range(7)])
+    write(source, [raw(i, price_inr=str(100 + i)) for i in range(7)])
     assert not run(check=True)
     assert run() and run(check=True)
     for part in ("report/category_counts", "version=1/order_items", "version=1/catalog"):
@@ -51,7 +51,7 @@ def test_clean_job(spark, tmp_path):
     assert Q.reconcile_totals(orders, lines).count() == 0
     months = {r.month: r.orders for r in A.monthly_sales(orders, lines).collect()}
     assert months == {"2026-04": 4, "2026-05": 5, "2026-06": 6, "2026-07": 6, "2026-08": 7, "2026-09": 8}
-    write(source, [{**ROW, "price_inr": "-1"}])
+    write(source, [raw(price_inr="-1")])
     assert not run() and not run(check=True)
     assert sinks.read_published(spark, root, "catalog").count() == 7
     source.write_text("id,name\na,b\n")
