@@ -1,6 +1,7 @@
 """New table versions: upserts, activation, retirement and the ledger of imports.
 
-Every function returns the tables as they are afterwards; `sinks.publish` stores them.
+Every function returns the tables as they are afterwards; `sinks.publish` stores them. The
+`_stored` ones apply the same changes to a `KeyedStore`, rewriting only the buckets they touch.
 """
 
 from __future__ import annotations
@@ -9,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stockweave.sources.feeds import latest_per_key
+from stockweave.sources.versions import KeyedStore
 
 DEFAULT_REASON = "VALIDATION_FAILED"
 UNAVAILABLE_REASON = "strict_import_rejected"
@@ -86,7 +88,7 @@ def retire(
     reasons = F.when(F.size("failure_reasons") > 0, F.col("failure_reasons")).otherwise(F.array(F.lit(DEFAULT_REASON)))
     ledger_rows = records.select(
         "product_id",
-        F.coalesce("title", "product_id").alias("name"),
+        F.coalesce("title", F.col("product_id").cast("string")).alias("name"),
         "source_url",
         reasons.alias("failure_reason"),
     )
@@ -109,6 +111,43 @@ def retire(
     }
 
 
+# tables of a catalog store, and their keys
+CATALOG_KEYS = {"products": ("id",), "source_products": ("id",), "unavailable": ("id",), "retired": ("product_id",)}
+
+
+def _keyed(store: KeyedStore, ids: DataFrame, names) -> dict[str, DataFrame]:
+    return {name: ids.select(F.col("id").alias(store.keys[name][0])) for name in names}
+
+
+def upsert_stored(store: KeyedStore, name: str, incoming: DataFrame) -> int:
+    key = store.keys[name][0]
+    return store.change({name: incoming}, lambda old: {name: upsert(old[name], incoming, key)})
+
+
+def insert_if_absent_stored(store: KeyedStore, name: str, incoming: DataFrame, order: Column | str) -> int:
+    keys = list(store.keys[name])
+    return store.change({name: incoming}, lambda old: {name: insert_if_absent(old[name], incoming, keys, order)})
+
+
+def activate_stored(store: KeyedStore, incoming: DataFrame) -> int:
+    """`activate` on the buckets of the incoming ids, all four tables in one version."""
+    touched = _keyed(store, incoming.select("id"), CATALOG_KEYS)
+    return store.change(touched, lambda old: activate(*[old[name] for name in CATALOG_KEYS], incoming))
+
+
+def retire_stored(store: KeyedStore, order_items: DataFrame, records: DataFrame, retired_at) -> int:
+    """`retire` on the buckets of the rejected ids, all four tables in one version."""
+    records = records.filter(F.col("product_id").isNotNull())
+    touched = _keyed(store, records.select(F.col("product_id").alias("id")), CATALOG_KEYS)
+    # lines are asked for these ids only; a bestseller is one row
+    sold = order_items.select("product_id").join(records.select("product_id"), "product_id", "left_semi").distinct()
+    return store.change(touched, lambda old: retire(*[old[name] for name in CATALOG_KEYS], sold, records, retired_at))
+
+
+def merge_ledger_stored(store: KeyedStore, accepted: DataFrame, results: DataFrame, name: str = "ledger") -> int:
+    return store.change({name: accepted}, lambda old: {name: merge_ledger(old[name], accepted, results)})
+
+
 def merge_ledger(ledger: DataFrame, accepted: DataFrame, results: DataFrame) -> DataFrame:
     """Accepted rows replace ledger rows; an id last reported EXISTING keeps its row."""
     last = latest_per_key(results.select("pos", "product_id", "status"), "product_id", "pos")

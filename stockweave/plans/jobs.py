@@ -71,7 +71,8 @@ def clean_job(spark: SparkSession, source: str, image_dir: str, root: str, check
     outputs = {"catalog": clean.accepted, "orders": orders, "order_items": lines}
     if check:
         return _is_current(spark, outputs, {"summary": clean.summary, **report}, root)
-    return sinks.publish_if_passed(outputs, clean.summary, report, root)
+    texts = {"catalog_csv": catalog_csv.catalog_text(clean.accepted)}
+    return sinks.publish_if_passed(outputs, clean.summary, report, root, texts)
 
 
 def published_ledger(spark: SparkSession, root: str) -> DataFrame:

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from functools import wraps
 
-from stockweave.plans import audit, checkout, cleaning, files, imports, rules, sales, upkeep
+from stockweave.plans import audit, checkout, cleaning, files, imports, rules, sales, stored, upkeep
 from stockweave.session import tune
 
-MODULES = (sales, cleaning, imports, upkeep, checkout, audit, files, rules)
+MODULES = (sales, cleaning, imports, upkeep, checkout, audit, files, rules, stored)
 
 
 def _tuned(query):

@@ -9,8 +9,11 @@ from pyspark.sql import functions as F
 from stockweave.operators import maintain as U
 from stockweave.plans import views as V
 from stockweave.plans.views import with_views
+from stockweave.session import scratch_path
 from stockweave.sources.sinks import drift as drift_between
+from stockweave.sources.sinks import drift_by_digest as digest_drift
 from stockweave.sources.tables import load_table
+from stockweave.sources.versions import KeyedStore
 
 NEW_IDS = 10_000_000
 
@@ -55,22 +58,20 @@ def _ids(tables):
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 
-def retire_products(spark, d):
-    """Retire all parts above a price; those with returned lines stay as rows."""
-    part = load_table(spark, d, "part")
-    records = part.filter("p_retailprice >= 990").select(
+def _records(spark, d):
+    """All parts above a price, as rejected."""
+    return load_table(spark, d, "part").filter("p_retailprice >= 990").select(
         F.col("p_partkey").alias("product_id"),
         F.col("p_name").alias("title"),
         F.lit(None).cast("string").alias("source_url"),
         F.array().cast("array<string>").alias("failure_reasons"),
+        "p_partkey",
     )
-    retired = V.retired(spark, d).select(
-        "product_id",
-        F.lit("").alias("name"),
-        F.lit(None).cast("string").alias("source_url"),
-        F.array(F.lit("X")).alias("failure_reason"),
-        F.lit("2026-01-01").cast("timestamp").alias("retired_at"),
-    )
+
+
+def retire_products(spark, d):
+    """Retire all parts above a price; those with returned lines stay as rows."""
+    records, retired = _records(spark, d).drop("p_partkey"), _retired(spark, d)
     sold = load_table(spark, d, "lineitem").filter("l_returnflag = 'R' AND l_quantity >= 45")
     tables = U.retire(
         _products(spark, d),
@@ -84,8 +85,7 @@ def retire_products(spark, d):
     return _ids(tables)
 
 
-def insert_if_absent(spark, d):
-    """Returned lines arrive as new order products; keys that exist stay as they are."""
+def _order_products(spark, d):
     lines = load_table(spark, d, "lineitem").select(
         F.col("l_orderkey").alias("order_id"),
         F.col("l_partkey").alias("product_id"),
@@ -94,8 +94,13 @@ def insert_if_absent(spark, d):
     )
     keys = ["order_id", "product_id"]
     base = lines.filter("l_returnflag <> 'R'").groupBy(*keys).agg(F.min("supplier").alias("supplier"))
-    incoming = lines.filter("l_returnflag = 'R'").select(*keys, "supplier")
-    return U.insert_if_absent(base, incoming, keys, order="supplier")
+    return base, lines.filter("l_returnflag = 'R'").select(*keys, "supplier")
+
+
+def insert_if_absent(spark, d):
+    """Returned lines arrive as new order products; keys that exist stay as they are."""
+    base, incoming = _order_products(spark, d)
+    return U.insert_if_absent(base, incoming, ["order_id", "product_id"], order="supplier")
 
 
 def insert_items_if_matching(spark, d):
@@ -117,16 +122,84 @@ def insert_items_if_matching(spark, d):
     return U.insert_items_if_matching(base, twice, orders, "delivery", ("order_id", "product_id"))
 
 
-def drift(spark, d):
-    """The catalog against a stored copy in which some prices are old and some rows are gone."""
+def _drifted(spark, d):
+    """The catalog, and a stored copy in which some prices are old and some rows are gone."""
     new = _products(spark, d)
     old = new.filter("brand <> 'Brand#7'").withColumn(
         "price_minor", F.when(F.col("brand") == "Brand#8", F.lit(1).cast("bigint")).otherwise(F.col("price_minor"))
     )
-    return drift_between(new, old)
+    return new, old
+
+
+def drift(spark, d):
+    return drift_between(*_drifted(spark, d))
+
+
+def _retired(spark, d):
+    return V.retired(spark, d).select(
+        "product_id",
+        F.lit("").alias("name"),
+        F.lit(None).cast("string").alias("source_url"),
+        F.array(F.lit("X")).alias("failure_reason"),
+        F.lit("2026-01-01").cast("timestamp").alias("retired_at"),
+    )
+
+
+def _store(spark, d):
+    """The catalog tables as a keyed store of one version."""
+    store = KeyedStore(spark, scratch_path(spark, "catalog"), U.CATALOG_KEYS, buckets=16)
+    rows = (_products(spark, d), V.source_products(spark, d).select("id"), V.unavailable(spark, d), _retired(spark, d))
+    store.create(dict(zip(U.CATALOG_KEYS, rows)))
+    return store
+
+
+def upsert_stored(spark, d):
+    """The upsert in two runs, of odd and of even ids, each rewriting its buckets."""
+    store = _store(spark, d)
+    for part in ("id % 2 = 1", "id % 2 = 0"):
+        U.upsert_stored(store, "products", _incoming(spark, d).filter(part))
+    return store.read("products")
+
+
+def activate_stored(spark, d):
+    store = _store(spark, d)
+    U.activate_stored(store, _incoming(spark, d))
+    return _ids({name: store.read(name) for name in store.keys})
+
+
+def retire_stored(spark, d):
+    store = _store(spark, d)
+    sold = load_table(spark, d, "lineitem").filter("l_returnflag = 'R' AND l_quantity >= 45")
+    sold = sold.select(F.col("l_partkey").alias("product_id"))
+    for part in ("p_partkey % 3 = 0", "p_partkey % 3 <> 0"):
+        U.retire_stored(store, sold, _records(spark, d).filter(part).drop("p_partkey"), "2026-02-02")
+    return _ids({name: store.read(name) for name in store.keys})
+
+
+def insert_stored(spark, d):
+    """Returned lines enter a store of order products, in two runs."""
+    base, incoming = _order_products(spark, d)
+    store = KeyedStore(spark, scratch_path(spark, "order-products"), {"lines": ("order_id", "product_id")}, buckets=16)
+    store.create({"lines": base})
+    for part in ("order_id % 2 = 0", "order_id % 2 = 1"):
+        U.insert_if_absent_stored(store, "lines", incoming.filter(part), "supplier")
+    return store.read("lines")
+
+
+def drift_by_digest(spark, d):
+    """`drift` over checksums: the old table is stored, the new one read once."""
+    new, old = _drifted(spark, d)
+    store = KeyedStore(spark, scratch_path(spark, "digests"), {"products": ("id",)}, buckets=64)
+    store.create({"products": old})
+    return digest_drift(store, "products", new)
 
 
 QUERIES = {
+    "upsert_stored": upsert_stored,
+    "activate_stored": activate_stored,
+    "retire_stored": retire_stored,
+    "insert_stored": insert_stored,
+    "drift_by_digest": drift_by_digest,
     "upsert_products": upsert_products,
     "activate_products": activate_products,
     "retire_products": retire_products,
@@ -169,3 +242,11 @@ ORACLE = {
         SELECT *, 'missing' AS side, CAST(1 AS BIGINT) AS copies FROM n WHERE brand IN ('Brand#7', 'Brand#8')
         UNION ALL SELECT id, name, CAST(1 AS BIGINT), brand, 'stale', 1 FROM n WHERE brand = 'Brand#8'"""),
 }
+# the stored forms give the same rows
+ORACLE |= {
+    "upsert_stored": ORACLE["upsert_products"],
+    "activate_stored": ORACLE["activate_products"],
+    "retire_stored": ORACLE["retire_products"],
+    "insert_stored": ORACLE["insert_if_absent"],
+    "drift_by_digest": ORACLE["drift"],
+}

@@ -99,13 +99,16 @@ def image_listing(spark: SparkSession, directory: str) -> DataFrame:
     return listed.select(F.substring_index("path", "/", -1).alias("name"))
 
 
-def write_clean_catalog(products: DataFrame, path: str) -> None:
-    """Parquet with real lists, and CSV with lists as JSON text, both sorted by id."""
-    ordered = products.orderBy("id")
-    ordered.write.mode("errorifexists").parquet(f"{path}/parquet")
-    text = ordered.withColumns(
+def catalog_text(products: DataFrame) -> DataFrame:
+    """The catalog as CSV shows it: lists as JSON text, the flag as 0 or 1, sorted by id."""
+    return products.orderBy("id").withColumns(
         {"sizes": F.to_json("sizes"), "colors": F.to_json("colors"), "featured": F.col("featured").cast("int")}
     )
-    text.write.mode("errorifexists").option("header", True).option("escape", '"').option("emptyValue", "").csv(
-        f"{path}/csv"
-    )
+
+
+def write_clean_catalog(products: DataFrame, path: str) -> None:
+    """Parquet with real lists, and CSV, both sorted by id."""
+    products.orderBy("id").write.mode("errorifexists").parquet(f"{path}/parquet")
+    catalog_text(products).write.mode("errorifexists").option("header", True).option("escape", '"').option(
+        "emptyValue", ""
+    ).csv(f"{path}/csv")

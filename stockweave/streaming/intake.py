@@ -82,16 +82,47 @@ def monthly_by_source(orders: DataFrame) -> DataFrame:
 
 
 def stream_monthly(orders: DataFrame, root: str, checkpoint: str, **trigger) -> StreamingQuery:
-    """Keep the current monthly table under `root`, one version per batch."""
+    """Keep the monthly table under `root`: a batch writes the months and sources it changed, and only those.
 
-    def replace(table: DataFrame, batch_id: int) -> None:
-        table.coalesce(1).write.mode("overwrite").parquet(f"{root}/batch_id={batch_id}")
+    A replayed batch overwrites its own rows. `compact_monthly` shortens what readers go through.
+    """
+
+    def merge(changed: DataFrame, batch_id: int) -> None:
+        changed.coalesce(1).write.mode("overwrite").parquet(f"{root}/batch_id={batch_id}")
 
-    writer = monthly_by_source(orders).writeStream.outputMode("complete").foreachBatch(replace)
+    writer = monthly_by_source(orders).writeStream.outputMode("update").foreachBatch(merge)
     return writer.option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()
 
 
+_MONTHLY = "month string, source string, orders bigint, revenue_minor bigint, units bigint, batch_id bigint"
+_COMPACTED = "compacted"
+
+
+def _changes(spark: SparkSession, root: str) -> DataFrame:
+    """Changed rows with their batch: those of the last compaction and of the batches after it."""
+    rows = spark.read.schema(_MONTHLY).option("basePath", root).parquet(f"{root}/batch_id=*")
+    try:
+        before = spark.read.schema(_MONTHLY + ", upto bigint").parquet(f"{root}/{_COMPACTED}")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return rows
+    last = before.agg(F.max("upto")).first()[0]
+    return rows.filter(F.col("batch_id") > last).unionByName(before.filter(F.col("upto") == last).drop("upto"))
+
+
 def current_monthly(spark: SparkSession, root: str) -> DataFrame:
-    versions = spark.read.parquet(root)
-    last = versions.agg(F.max("batch_id")).scalar()
-    return versions.filter(F.col("batch_id") == last).drop("batch_id")
+    """The last totals of every month and source."""
+    figures = F.struct("orders", "revenue_minor", "units")
+    last = _changes(spark, root).groupBy("month", "source").agg(F.max_by(figures, "batch_id").alias("last"))
+    return last.select("month", "source", "last.*")
+
+
+def compact_monthly(spark: SparkSession, root: str) -> int:
+    """Fold the changes of all batches into one folder; the batches stay until their owner removes them."""
+    rows = _changes(spark, root)
+    upto = rows.agg(F.max("batch_id")).first()[0]
+    figures = F.struct("orders", "revenue_minor", "units", "batch_id")
+    last = rows.groupBy("month", "source").agg(F.max_by(figures, "batch_id").alias("last"))
+    last.select("month", "source", "last.*").coalesce(1).write.mode("overwrite").parquet(f"{root}/{_COMPACTED}/upto={upto}")
+    return upto
