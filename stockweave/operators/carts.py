@@ -182,15 +182,17 @@ def _variant_problem(field: str, options: str) -> Column:
     return F.when(wrong, F.concat(F.lit(f"Choose an available {field} for "), "name", F.lit(".")))
 
 
-def price_carts(carts: DataFrame, products: DataFrame) -> DataFrame:
+def price_carts(carts: DataFrame, products: DataFrame, unique: bool = False) -> DataFrame:
     """Price valid carts from orderable products; per cart priced lines and total, or the first bad line.
 
     `carts` has submission_seq, key, fingerprint, lines. Lines of a bestseller
     sit on the many side of the product join, which AQE splits; regrouping then
-    is per cart, at most 20 lines each.
+    is per cart, at most 20 lines each. `unique` tells that no cart comes twice.
     """
     # a cart that was delivered twice is priced once: its lines meet again by these columns
-    once = carts.select("submission_seq", "key", "fingerprint", "lines").dropDuplicates(["submission_seq", "key", "fingerprint"])
+    once = carts.select("submission_seq", "key", "fingerprint", "lines")
+    if not unique:
+        once = once.dropDuplicates(["submission_seq", "key", "fingerprint"])
     lines = once.select("submission_seq", "key", "fingerprint", F.explode("lines").alias("line"))
     offers = products.select(
         F.col("id").alias("_id"),

@@ -142,9 +142,8 @@ def live_rows(rows: DataFrame, asked: DataFrame, registered: DataFrame) -> DataF
     an earlier live row. The keys of the first two kinds, the seeds, are reduced to a
     minimum per key once. Afterwards only the other rows and their keys are looked
     at: each round writes the positions that became live, and the rounds end after the
-    longest chain of otherwise invalid rows. `rows` has pos, seed.
+    longest chain of otherwise invalid rows. `rows` has pos, seed, and is stored.
     """
-    rows = settle(rows)
     live, late = rows.filter("seed").select("pos"), rows.filter("not seed").select("pos")
     waiting = settle(asked.filter(F.col("rule") < OWN_ID).join(late, "pos", "left_semi"))
     if waiting.isEmpty():
@@ -204,10 +203,10 @@ def dedupe_feed(rows: DataFrame, base: DataFrame) -> DataFrame:
     """
     asked = rows.select("pos", F.inline("asked")).filter(F.col("key").isNotNull())
     registered = rows.select("pos", "product_id", F.inline("registered")).filter(F.col("key").isNotNull())
-    existing = settle(match_existing(asked, base_keys(base)))
-    matched = existing.filter(F.col("match").isNotNull()).select("pos", F.lit(True).alias("_known"))
-    seeds = rows.select("pos", (F.size("reasons") == 0).alias("_valid")).join(matched, "pos", "left")
-    seeds = seeds.select("pos", (F.col("_valid") | F.col("_known").isNotNull()).alias("seed"))
+    valid = rows.select("pos", (F.size("reasons") == 0).alias("_valid"))
+    known = valid.join(match_existing(asked, base_keys(base)), "pos", "left")
+    # matches and seeds in one table: the rounds and the last join read it
+    seeds = settle(known.select("pos", "match", "own_id_exists", (F.col("_valid") | F.col("match").isNotNull()).alias("seed")))
     live = live_rows(seeds, asked, registered)
     owners = (
         registered.join(live, "pos", "left_semi")
@@ -216,7 +215,7 @@ def dedupe_feed(rows: DataFrame, base: DataFrame) -> DataFrame:
     )
     inside = asked.join(owners, ["rule", "key"]).filter(F.col("owner.pos") < F.col("pos"))
     in_feed = inside.groupBy("pos").agg(F.min(F.struct("rule", "owner")).alias("in_feed"))
-    return in_feed.join(existing, "pos", "full")
+    return seeds.select("pos", "match", "own_id_exists").join(in_feed, "pos", "left")
 
 
 def classify_feed(feed: DataFrame, pages: DataFrame, images: DataFrame, base: DataFrame) -> FeedImport:

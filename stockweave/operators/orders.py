@@ -79,18 +79,20 @@ def commit_orders(
     A key that is stored already answers by its hash alone, before any product
     is looked at; only carts with a new key are priced. `orders` are the stored
     headers, `products` the orderable ones, `created_at` the time of the batch.
-    The checked and the priced carts are written once each, since several steps
-    read them; with `scratch` to that folder, over those of the batch before.
+    The checked and the priced carts and the new answers are written once each, since several
+    steps read them; with `scratch` to that folder, over those of the batch before.
     """
-    # a source that delivers at least once may repeat a submission; it counts once, valid or not
-    identity_columns = ["submission_seq", "key", "fingerprint", "error_code", "error_message"]
-    carts = validate_carts(submissions).drop("body", "idempotency_key").dropDuplicates(identity_columns)
-    checked = settle_table(carts, "carts", scratch)
+    # a source that delivers at least once may repeat a submission; it counts once, valid or not. Before
+    # the check all columns are plain, so the copies meet in a hash aggregate without a sort.
+    once = submissions.select("submission_seq", "idempotency_key", "body").distinct()
+    checked = settle_table(validate_carts(once).drop("body", "idempotency_key"), "carts", scratch)
     valid = checked.filter(F.col("error_code").isNull())
     stored = settle_table(_stored_answers(orders, valid.select("key").distinct()), "stored", scratch)
-    priced = settle_table(price_carts(valid.join(stored.select("key"), "key", "left_anti"), products), "priced", scratch)
+    fresh = valid.join(stored.select("key"), "key", "left_anti")
+    priced = settle_table(price_carts(fresh, products, unique=True), "priced", scratch)
+    new = settle_table(_new_answers(priced), "answers", scratch)
     # a key is either stored or new: one table of answers, one join on the key
-    answers = stored.unionByName(_new_answers(priced))
+    answers = stored.unionByName(new)
     failures = priced.filter(F.col("price_error_code").isNotNull()).select(
         "submission_seq", "price_error_code", "price_error_message"
     )
@@ -129,7 +131,7 @@ def commit_orders(
         "error_code",
         "error_message",
     )
-    winners = _new_answers(priced).select(F.col("winner_seq").alias("submission_seq"))
+    winners = new.select(F.col("winner_seq").alias("submission_seq"))
     created = priced.join(winners, "submission_seq", "left_semi").withColumn("order_id", order_id_of("key"))
     headers = created.select(
         F.col("order_id").alias("id"),
