@@ -18,8 +18,9 @@ do not depend on the order of rows. Variances have a floor, as most documents ha
 symbols or repeats at all; distances are scaled so that each group's median is that
 of the chi-square law.
 
-Groups of fewer than `LEAST_ROWS` documents are pooled per language; where even the
-pool is smaller nothing is rejected. Null languages and sources are groups of their
+Groups of fewer than `LEAST_ROWS` documents are pooled per language, and where even that pool is
+smaller its documents are judged by an estimate over all documents, which is made at any
+size. Null languages and sources are groups of their
 own. Null and empty texts have zero counts and fail the base rules. Repeated rows count
 and are judged each; an empty table gives no rows; other columns are not read.
 """
@@ -119,13 +120,22 @@ def statistics() -> Column:
     return F.array(length, per_hundred("n_symbols", "n_words"), per_hundred("n_dup_lines", "n_lines"), per_hundred("n_repeat_words", "n_words"))
 
 
+# the estimate over all documents
+EVERY = "all"
+
+
 def _grouped(counted: DataFrame) -> DataFrame:
-    """Add `group`: language and source, or the language's pool of small sources."""
+    """Add `group`: language and source, or the language's pool of small sources, or all documents."""
     own, pool = F.to_json(F.struct("lang", "source")), F.to_json(F.struct("lang", F.lit(True).alias("pool")))
-    rows = counted.withColumn("group", own)
-    small = rows.groupBy("group").agg(F.count("*").alias("n")).filter(F.col("n") < LEAST_ROWS)
+    rows = counted.withColumns({"group": own, "_pool": pool})
+    sizes = rows.groupBy("group", "_pool").agg(F.count("*").alias("_n")).filter(F.col("_n") < LEAST_ROWS)
+    sizes = settle_table(sizes, "quality-small")
+    # the pool of a language holds its small sources
+    pools = sizes.groupBy("_pool").agg(F.sum("_n").alias("_pooled"))
+    small = sizes.join(pools, "_pool").select("group", "_pooled")
     joined = rows.join(small, "group", "left")
-    return joined.withColumn("group", F.when(F.col("n").isNotNull(), pool).otherwise(F.col("group"))).drop("n")
+    chosen = F.when(F.col("_pooled").isNull(), F.col("group")).when(F.col("_pooled") >= LEAST_ROWS, F.col("_pool")).otherwise(F.lit(EVERY))
+    return joined.withColumn("group", chosen).drop("_pool", "_pooled")
 
 
 def _estimates(moments: DataFrame) -> DataFrame:
@@ -204,9 +214,8 @@ def _starts(rows: DataFrame) -> DataFrame:
 
 
 def robust_estimates(rows: DataFrame, steps: int = STEPS) -> DataFrame:
-    """group, mean, precision and scale of every group of `rows` (group, x) with enough rows."""
-    sizes = rows.groupBy("group").agg(F.count("*").alias("_n")).filter(F.col("_n") >= LEAST_ROWS).select("group")
-    fit = settle_table(_starts(rows.join(sizes, "group")), "quality-fit")
+    """group, mean, precision and scale of every group of `rows` (group, x)."""
+    fit = settle_table(_starts(rows), "quality-fit")
     for _ in range(steps):
         placed = rows.select("group", "x").join(fit, "group").withColumn("bin", _bin(_distance()))
         bins = placed.groupBy("group", "start", "bin").agg(*_sums())
@@ -225,7 +234,9 @@ def judge_quality(docs: DataFrame, cutoff: float = CUTOFF) -> DataFrame:
     """The counts of every row of `docs` (doc_id, text, lang, source), base_failed, distance and kept."""
     counted = settle_table(text_counts(docs), "quality-counts")
     rows = settle_table(_grouped(counted.withColumn("x", statistics())), "quality-rows")
-    fit = robust_estimates(rows.filter("n_words > 0").select("group", "x"))
+    worded = rows.filter("n_words > 0").select("group", "x")
+    # all documents make one more group; the others are estimated from their own
+    fit = robust_estimates(worded.filter(F.col("group") != EVERY).unionByName(worded.withColumn("group", F.lit(EVERY))))
     distance = F.when(F.col("n_words") > 0, _distance() / F.col("scale"))
     judged = rows.join(fit, "group", "left").withColumn("distance", distance)
     outlier = F.coalesce(F.col("distance") > cutoff, F.lit(False))

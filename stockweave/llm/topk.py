@@ -6,8 +6,7 @@ sorted by that component. A query walks the lists of its non-zero components fro
 end that raises its score, a stretch at a time; every candidate it meets is scored at
 once. What it has not met can score no more than the sum of the components it stands
 at, and it stops when that bound is below its kth score. At equality it goes on, as a
-candidate with an equal score and a smaller id would come first. Where fewer candidates
-are left than the next stretch has entries, they are scored at once. The best of each
+candidate with an equal score and a smaller id would come first. The best of each
 block are merged per query by rank, after a group limit in each task.
 
 Components are floor(scale * x) with x as double. Vectors that are null or hold a null
@@ -29,10 +28,11 @@ from stockweave.session import settle_table
 
 K = 20
 SCALE = 64
-CANDIDATE_BLOCK = 2_048
-QUERY_BLOCK = 256
-# lists are read in stretches that double
+CANDIDATE_BLOCK = 8_192
+QUERY_BLOCK = 512
+# lists are read in stretches that double, up to a length
 FIRST_STRETCH = 16
+LAST_STRETCH = 128
 
 
 def quantized(vectors: DataFrame, scale: int = SCALE) -> DataFrame:
@@ -73,8 +73,6 @@ class _Lists:
             upto = min(n, depth + stretch)
             fresh = np.zeros(n, bool)
             fresh[self.ends[side, dims, depth:upto].ravel()] = True
-            if n - np.count_nonzero(met) <= len(dims) * (upto - depth):
-                fresh[:] = True  # fewer candidates are left than entries would be read
             found = np.flatnonzero(fresh & ~met)
             met[found] = True
             places = np.concatenate([places, found])
@@ -87,7 +85,7 @@ class _Lists:
             bound = (weights * self.values[side, dims, upto - 1]).sum()
             if met.all() or len(places) == k and scores[-1] > bound:
                 break
-            depth, stretch = upto, 2 * stretch
+            depth, stretch = upto, min(2 * stretch, LAST_STRETCH)
         return places, scores
 
 

@@ -60,7 +60,7 @@ def points(spark, n=400, seed=0):
 def test_estimate_ignores_outliers(spark):
     x, rows = points(spark)
     fit = {r.group: r for r in quality.robust_estimates(rows).collect()}
-    assert set(fit) == {"g", "h"}
+    assert set(fit) == {"g", "h", "few"}
     good = x[len(x) // 10 :]
     assert np.abs(np.array(fit["g"].mean) - good.mean(axis=0)).max() < 0.7
     packed = np.zeros((4, 4))
@@ -108,3 +108,16 @@ def test_shuffled_repeated_lines_are_rejected(spark):
     rows = {r.doc_id: r for r in quality.judge_quality(docs).collect()}
     assert rows[80].n_dup_lines == 81 and not rows[80].base_failed and not rows[80].kept
     assert all(rows[i].kept for i in range(80))
+
+
+def test_a_few_documents_are_judged_by_all(spark):
+    """A language with three documents, one of them a menu, beside a large one."""
+    rng = np.random.default_rng(2)
+    plain = ["\n".join(" ".join(f"w{v}" for v in rng.integers(0, 10**6, 9)) for _ in range(12)) for _ in range(82)]
+    menu = "\n".join(str(x) for x in rng.permutation([f"item{i % 9}" for i in range(90)]))
+    few = [(100 + i, t, "xx", f"s{i}", 0) for i, t in enumerate([plain[80], menu, plain[81]])]
+    docs = spark.createDataFrame([(i, t, "en", "a", 0) for i, t in enumerate(plain[:80])] + few, cases.COLUMNS)
+    rows = {r.doc_id: r for r in quality.judge_quality(docs).collect()}
+    assert [rows[100 + i].kept for i in range(3)] == [True, False, True] and not rows[101].base_failed
+    alone = {r.doc_id: r for r in quality.judge_quality(docs.filter("lang = 'xx'")).collect()}
+    assert set(alone) == {100, 101, 102} and all(r.distance is not None for r in alone.values())
