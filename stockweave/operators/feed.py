@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -97,8 +98,8 @@ def match_base(catalog: DataFrame, ledger: DataFrame) -> DataFrame:
     return first.unionByName(ledger.withColumn("origin", F.lit(1)), allowMissingColumns=True)
 
 
-def base_keys(base: DataFrame) -> DataFrame:
-    """First existing row (origin, id) for every key, one row per (rule, key)."""
+def existing_keys(base: DataFrame) -> DataFrame:
+    """origin, id and keys, an array of (rule, key), of every existing row with an id."""
     has = set(base.columns)
     column = lambda n: text.blank_if_null(n) if n in has else F.lit("")
     none = F.array().cast("array<string>")
@@ -117,9 +118,18 @@ def base_keys(base: DataFrame) -> DataFrame:
         product=product,
         own_id=F.col("id"),
     )
-    rows = base.filter(F.col("id").isNotNull()).select("origin", "id", F.explode(keys).alias("k"))
-    rows = rows.filter(F.col("k.key").isNotNull())
-    return rows.groupBy("k.rule", "k.key").agg(F.min(F.struct("origin", "id")).alias("first"))
+    known = F.filter(keys, lambda k: k["key"].isNotNull()).alias("keys")
+    return base.filter(F.col("id").isNotNull()).select("origin", "id", known)
+
+
+def first_owners(entries: DataFrame) -> DataFrame:
+    """The first (origin, id) of every (rule, key)."""
+    return entries.groupBy("rule", "key").agg(F.min(F.struct("origin", "id")).alias("first"))
+
+
+def base_keys(base: DataFrame) -> DataFrame:
+    """First existing row (origin, id) for every key, one row per (rule, key)."""
+    return first_owners(existing_keys(base).select("origin", "id", F.inline("keys")))
 
 
 def match_existing(asked: DataFrame, keys: DataFrame) -> DataFrame:
@@ -195,16 +205,22 @@ class FeedImport:
 
 
 def dedupe_feed(rows: DataFrame, base: DataFrame) -> DataFrame:
+    """`dedupe_feed_with` against existing rows."""
+    return dedupe_feed_with(rows, lambda asked: base_keys(base))
+
+
+def dedupe_feed_with(rows: DataFrame, owners_of: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """Per position: first owner inside the feed, first existing match, own id known.
 
     `rows` has pos, product_id, reasons and the key arrays. Owners come from a
     minimum per key instead of a window over the copies of a key, so a key that a
-    third of the feed shares is combined map-side.
+    third of the feed shares is combined map-side. `owners_of` gives the first existing
+    owners of the keys (rule, key) that it is asked for.
     """
     asked = rows.select("pos", F.inline("asked")).filter(F.col("key").isNotNull())
     registered = rows.select("pos", "product_id", F.inline("registered")).filter(F.col("key").isNotNull())
     valid = rows.select("pos", (F.size("reasons") == 0).alias("_valid"))
-    known = valid.join(match_existing(asked, base_keys(base)), "pos", "left")
+    known = valid.join(match_existing(asked, owners_of(asked)), "pos", "left")
     # matches and seeds in one table: the rounds and the last join read it
     seeds = settle(known.select("pos", "match", "own_id_exists", (F.col("_valid") | F.col("match").isNotNull()).alias("seed")))
     live = live_rows(seeds, asked, registered)
@@ -219,7 +235,14 @@ def dedupe_feed(rows: DataFrame, base: DataFrame) -> DataFrame:
 
 
 def classify_feed(feed: DataFrame, pages: DataFrame, images: DataFrame, base: DataFrame) -> FeedImport:
-    """Validate, de-duplicate and give every item its status.
+    """`classify_feed_with` against existing rows, see `match_base`."""
+    return classify_feed_with(feed, pages, images, lambda asked: base_keys(base))
+
+
+def classify_feed_with(
+    feed: DataFrame, pages: DataFrame, images: DataFrame, owners_of: Callable[[DataFrame], DataFrame]
+) -> FeedImport:
+    """Validate, de-duplicate and give every item its status; `owners_of` as in `dedupe_feed_with`.
 
     The validated rows are written once: the key rounds then read three columns
     of them, and the last join the rest.
@@ -233,7 +256,7 @@ def classify_feed(feed: DataFrame, pages: DataFrame, images: DataFrame, base: Da
         ),
         "feed",
     )
-    found = dedupe_feed(rows, base)
+    found = dedupe_feed_with(rows, owners_of)
     joined = rows.drop("asked", "registered").join(found, "pos", "left")
     # an owner inside the feed is asked before the existing rows
     owner = F.coalesce(F.col("in_feed.owner.product_id"), F.col("match.first.id"))

@@ -7,11 +7,14 @@ from pyspark.sql import functions as F
 from stockweave.functions.urls import url_key
 from stockweave.operators import feed as M
 from stockweave.operators import maintain as U
+from stockweave.operators import match_index
 from stockweave.operators.images import select_image_evidence
 from stockweave.operators.quality import unique_where_not_null
 from stockweave.plans.views import CATEGORY_OF_TYPE, category
+from stockweave.session import scratch_path
 from stockweave.sources.feeds import latest_per_key
 from stockweave.sources.tables import load_spread, load_table
+from stockweave.sources.versions import KeyedStore
 
 # Listing columns, valid in both dialects. A ninth of the rows share one URL, others
 # come in groups of ten copies; codes of a few rows give no id.
@@ -132,7 +135,11 @@ def _import(spark, d):
 
 
 def feed_results(spark, d):
-    return _import(spark, d).results.select(
+    return _results(_import(spark, d))
+
+
+def _results(found):
+    return found.results.select(
         "pos",
         "product_id",
         "status",
@@ -144,6 +151,20 @@ def feed_results(spark, d):
     )
 
 
+def feed_results_indexed(spark, d):
+    """`feed_results` over a kept key index, which saw some products come, change and leave since it was built."""
+    rows = listings(spark, d)
+    base = _existing(rows).withColumn("origin", F.lit(1))
+    number = F.substring_index("id", "-", -1).cast("bigint")
+    store = KeyedStore(spark, scratch_path(spark, "match-index"), match_index.KEYS, buckets=16)
+    early = base.filter(number % 3 > 0).withColumn("brand", F.when(number % 2 == 0, F.lit("old")).otherwise(F.col("brand")))
+    others = _existing(rows.withColumn("known", F.col("k") % 10 == 0)).withColumn("origin", F.lit(0))
+    match_index.build(store, early.unionByName(others))
+    match_index.update(store, base.filter((number % 3 == 0) | (number % 2 == 0)), others.select("origin", "id"))
+    found = M.classify_feed_with(_feed(rows), _pages(rows), _images(rows), match_index.owners_of(store))
+    return _results(found)
+
+
 def accepted_products(spark, d):
     return _import(spark, d).accepted.select(
         "id",
@@ -230,6 +251,7 @@ def url_duplicates(spark, d):
 
 QUERIES = {
     "feed_results": feed_results,
+    "feed_results_indexed": feed_results_indexed,
     "accepted_products": accepted_products,
     "import_summary": import_summary,
     "failure_breakdown": failure_breakdown,
@@ -356,3 +378,4 @@ ORACLE = {
         r"SELECT page_id, regexp_replace(url, '\d+', '1', 'g') AS url FROM pages"
     ) + " SELECT url_key, count(*) AS occurrences FROM keyed GROUP BY url_key HAVING count(*) > 1",
 }
+ORACLE["feed_results_indexed"] = ORACLE["feed_results"]

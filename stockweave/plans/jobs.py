@@ -7,11 +7,13 @@ from pyspark.sql import functions as F
 
 from stockweave.operators import feed as M
 from stockweave.operators import maintain as U
+from stockweave.operators import match_index
 from stockweave.operators.cleaning import CleanCatalog, clean_catalog, issue_log
 from stockweave.operators.orders import synth_orders
 from stockweave.schemas import LEDGER
 from stockweave.session import settle_table
 from stockweave.sources import catalog_csv, sinks
+from stockweave.sources.versions import KeyedStore
 
 # Demo orders per month of 2026, April to September.
 DEMO_YEAR = 2026
@@ -81,6 +83,16 @@ def published_ledger(spark: SparkSession, root: str) -> DataFrame:
     return sinks.read_published(spark, root, "ledger")
 
 
+def follow_ledger(spark: SparkSession, index: KeyedStore, root: str) -> None:
+    """Bring a match index to the last published ledger; ledgers that were missed come in as one difference."""
+    while (now := sinks.latest_version(spark, root)) != (before := match_index.seen(index, "ledger")):
+        old = sinks.read_published(spark, root, "ledger", before) if before else spark.createDataFrame([], LEDGER)
+        try:
+            match_index.follow(index, 1, old, sinks.read_published(spark, root, "ledger", now), ("ledger", before, now))
+        except match_index.IndexMoved:
+            continue
+
+
 def import_job(
     spark: SparkSession,
     feed: DataFrame,
@@ -90,16 +102,24 @@ def import_job(
     root: str,
     check: bool = False,
     checked_on: DataFrame | None = None,
+    index: KeyedStore | None = None,
 ) -> bool:
     """Import a feed next to a clean `catalog`; the ledger under `root` is the state.
 
     Running it again changes nothing but the version and the report, which then calls the
     items existing. `checked_on` is the day of the source (`feeds.feed_checked_on`); the last
     of several goes into the report. With `check` nothing is published: TRUE when ledger,
-    records and report are current. The feed is classified once.
+    records and report are current. The feed is classified once. With an `index`
+    (`match_index`, which the owner of the catalog keeps up to date for its rows) the feed is
+    matched against the kept keys; the index follows the ledger before it is asked.
     """
     ledger = published_ledger(spark, root)
-    found = M.classify_feed(feed, pages, images, M.match_base(catalog, ledger))
+    if index is None:
+        owners_of = lambda asked: M.base_keys(M.match_base(catalog, ledger))
+    else:
+        follow_ledger(spark, index, root)
+        owners_of = match_index.owners_of(index)
+    found = M.classify_feed_with(feed, pages, images, owners_of)
     found = M.FeedImport(settle_table(found.rows, "import"))
     merged = settle_table(U.merge_ledger(ledger, found.accepted, found.results), "ledger")
     retired = U.retire_records(found.results, merged)
