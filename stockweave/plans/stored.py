@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
 from pyspark.sql import functions as F
 
@@ -10,7 +11,7 @@ from stockweave.operators import catalog as C
 from stockweave.operators import cleaning as L
 from stockweave.operators import orders as O
 from stockweave.operators import quality as Q
-from stockweave.operators import rollups, search_index
+from stockweave.operators import listing, rollups, search_index
 from stockweave.plans import checkout, cleaning, sales
 from stockweave.plans import views as V
 from stockweave.plans.cleaning import raw_parts
@@ -100,6 +101,38 @@ def _searchable(spark, d):
     return V.parts(spark, d).withColumns({"name": name, "description": text})
 
 
+SORTS = ("featured", "price_asc", "price_desc", "name")
+PAGE, PAGES = 24, 3
+
+
+def _listing(spark, d, *sorts):
+    root = scratch_path(spark, "listing")
+    listing.write_listing(sales._catalog(spark, d), root, sorts, files=16)
+    return listing.Listing(spark, root)
+
+
+def listing_pages(spark, d):
+    """The first pages of every sort of one category and of all of them, each asked for by the cursor of the page before."""
+    stored, pages = _listing(spark, d, *SORTS), []
+    for sort in SORTS:
+        for group in ("all", "men"):
+            after = None
+            for number in range(PAGES):
+                page = stored.page(sort, PAGE, after, group)
+                shown = (F.lit(sort).alias("sort"), F.lit(group).alias("shown"), F.lit(number).cast("bigint").alias("page"))
+                pages.append(page.select(*shown, "id", "name", "price_minor"))
+                last = page.tail(1)  # a page is at most PAGE rows
+                if not last:
+                    break
+                after = last[0]["cursor"]
+    return reduce(lambda a, b: a.unionByName(b), pages)
+
+
+def listing_band(spark, d):
+    found = _listing(spark, d, "price_asc").band(" Men ", "BRAND#1", "90000", "150000")
+    return C.sort_catalog(found.select("id", "name", "category", "price_minor"), "price_asc")
+
+
 def clean_catalog_csv(spark, d):
     """The published CSV of the clean catalog, read back as text."""
     root = scratch_path(spark, "published")
@@ -117,9 +150,24 @@ QUERIES = {
     "rollup_dashboard_compacted": rollup_dashboard_compacted,
     "search_indexed": search_indexed,
     "search_indexed_needles": search_indexed_needles,
+    "listing_pages": listing_pages,
+    "listing_band": listing_band,
     "clean_catalog_csv": clean_catalog_csv,
 }
 
+_ORDERS = {
+    "featured": "featured DESC NULLS LAST, lower(name), id",
+    "price_asc": "price_minor ASC NULLS LAST, lower(name), id",
+    "price_desc": "price_minor DESC NULLS LAST, lower(name), id",
+    "name": "lower(name), id",
+}
+_PAGES_SQL = " UNION ALL ".join(
+    f"""SELECT '{sort}' AS sort, '{group}' AS shown, (n - 1) // {PAGE} AS page, id, name, price_minor
+        FROM (SELECT *, row_number() OVER (ORDER BY {order}) AS n FROM c {where}) z WHERE n <= {PAGE * PAGES}"""
+    for sort, order in _ORDERS.items()
+    for group, where in (("all", ""), ("men", "WHERE category = 'men'"))
+)
+
 _LOW = "lower(coalesce({}, ''))"
 _HIT = " OR ".join(
     f"contains({_LOW.format(c)}, lower(needle))" for c in ("name", "description", "brand", "source_store")
@@ -137,6 +185,8 @@ ORACLE = {
             CASE WHEN id % 3 > 0 THEN description END AS description FROM parts),
         needles(needle) AS (VALUES {", ".join(f"('{n}')" for n in NEEDLES)})
         SELECT needle, count(id) AS hits FROM needles LEFT JOIN named ON {_HIT} GROUP BY needle"""),
+    "listing_pages": V.with_views("c", body=_PAGES_SQL),
+    "listing_band": sales.ORACLE["catalog_search"],
     "clean_catalog_csv": cleaning._CLEAN_SQL + """SELECT id, name, category, description, CAST(amount AS VARCHAR) AS price_minor,
         image, alt, CAST(to_json(sizes) AS VARCHAR) AS sizes, CAST(to_json(colors) AS VARCHAR) AS colors,
         CASE WHEN featured THEN '1' ELSE '0' END AS featured FROM e WHERE len(problems) = 0""",
