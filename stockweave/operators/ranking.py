@@ -36,6 +36,17 @@ def rank_rows(rows: DataFrame, order: list[Column], name: str = "position") -> D
     )
 
 
+def sums_before(rows: DataFrame, order: list[Column], value: str, name: str) -> DataFrame:
+    """The sum of `value` over all earlier rows in the total order `order`, 0 for the first; no task gets all rows."""
+    ranged = settle(rows.repartitionByRange(*order).withColumn("_slice", F.spark_partition_id()))
+    earlier = lambda w: F.coalesce(F.sum(value).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    # one row per slice
+    starts = ranged.groupBy("_slice").agg(F.sum(value).alias(value))
+    starts = starts.select("_slice", earlier(Window.orderBy("_slice")).alias("_start"))
+    within = ranged.withColumn(name, earlier(Window.partitionBy("_slice").orderBy(*order)))
+    return within.join(F.broadcast(starts), "_slice").withColumn(name, F.col(name) + F.col("_start")).drop("_slice", "_start")
+
+
 def _same_key(left: DataFrame, right: DataFrame, key: list[str]) -> Column:
     return reduce(lambda a, b: a & b, [left[k].eqNullSafe(right["_" + k]) for k in key])
 

@@ -25,10 +25,7 @@ def demo_months(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(rows, "year int, month int, orders int")
 
 
-def _failed_header(spark: SparkSession, source: str, root: str) -> bool:
-    issues = catalog_csv.header_issues(spark, source)
-    if issues.isEmpty():
-        return False
+def _report_header(spark: SparkSession, source: str, root: str, issues: DataFrame) -> None:
     rows = catalog_csv.count_records(spark, source)
     summary = rows.select(
         "input_rows",
@@ -37,7 +34,6 @@ def _failed_header(spark: SparkSession, source: str, root: str) -> bool:
         F.lit("failed").alias("status"),
     )
     sinks.write_report({"summary": summary, "issues": issues}, f"{root}/report")
-    return True
 
 
 def _is_current(spark: SparkSession, outputs: dict[str, DataFrame], report: dict[str, DataFrame], root: str) -> bool:
@@ -56,11 +52,13 @@ def clean_job(spark: SparkSession, source: str, image_dir: str, root: str, check
     With `check` nothing is published: TRUE when the report and all outputs are current.
     The source is read and evaluated once; every output starts from the evaluated rows.
     """
-    if check and not catalog_csv.header_issues(spark, source).isEmpty():
-        return False
-    if not check and _failed_header(spark, source, root):
+    headers = settle_table(catalog_csv.read_headers(spark, source), "headers")
+    issues = catalog_csv.header_issues(spark, source, headers=headers)
+    if not issues.isEmpty():
+        if not check:
+            _report_header(spark, source, root, issues)
         return False
-    clean = clean_catalog(catalog_csv.read_catalog_csv(spark, source), catalog_csv.image_listing(spark, image_dir))
+    clean = clean_catalog(catalog_csv.read_catalog_csv(spark, source, headers), catalog_csv.image_listing(spark, image_dir))
     clean = CleanCatalog(settle_table(clean.evaluated, "clean"))
     if check and clean.summary.first()["status"] != "passed":
         return False

@@ -40,20 +40,24 @@ def _header_problem(required: tuple[str, ...]) -> Column:
     )
 
 
-def header_issues(spark: SparkSession, path: str, required: tuple[str, ...] = RAW_COLUMNS) -> DataFrame:
-    """A problem per file that has one: it rejects the whole file."""
-    checked = read_headers(spark, path).withColumn("error", _header_problem(required)).filter("error IS NOT NULL")
+def header_issues(
+    spark: SparkSession, path: str, required: tuple[str, ...] = RAW_COLUMNS, headers: DataFrame | None = None
+) -> DataFrame:
+    """A problem per file that has one: it rejects the whole file. `headers` as `read_headers` gave them, where they are known."""
+    headers = read_headers(spark, path) if headers is None else headers
+    checked = headers.withColumn("error", _header_problem(required)).filter("error IS NOT NULL")
     return checked.select(F.lit(1).cast("bigint").alias("row"), F.lit("").alias("id"), "error", "input_file")
 
 
-def read_catalog_csv(spark: SparkSession, path: str) -> DataFrame:
+def read_catalog_csv(spark: SparkSession, path: str, headers: DataFrame | None = None) -> DataFrame:
     """All columns as text, by name, with `row` (record number, header is 1), `ragged` and `input_file`.
 
     Files whose headers agree are read together, each kind of header with its own order of
     columns; files that `header_issues` reports are left out. Quoted line breaks are
-    allowed, so one file is one task; a large catalog comes as many files.
+    allowed, so one file is one task; a large catalog comes as many files. `headers` as in `header_issues`.
     """
-    sound = read_headers(spark, path).filter(_header_problem(RAW_COLUMNS).isNull())
+    headers = read_headers(spark, path) if headers is None else headers
+    sound = headers.filter(_header_problem(RAW_COLUMNS).isNull())
     # the driver lists the files anyway; kinds of headers are few
     kinds = sound.groupBy("names").agg(F.sort_array(F.collect_list("input_file")).alias("files")).collect()
     nothing = StructType([StructField(n, StringType()) for n in RAW_COLUMNS])

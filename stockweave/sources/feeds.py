@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StructField, StructType
 
-from stockweave.operators.ranking import rank_rows
+from stockweave.operators.ranking import rank_rows, sums_before
 from stockweave.schemas import LEDGER
 
 
@@ -30,10 +30,8 @@ def read_feed(spark: SparkSession, path: str) -> DataFrame:
     if not documents.filter(F.col("products").isNull()).isEmpty():
         raise ValueError("source JSON must contain a products array")
     # a number per document: what comes before it
-    before = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
-    starts = documents.select("file", F.size("products").cast("bigint").alias("n")).select(
-        F.col("file").alias("_file"), F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start")
-    )
+    sizes = documents.select(F.col("file").alias("_file"), F.size("products").cast("bigint").alias("n"))
+    starts = sums_before(sizes, [F.col("_file").asc()], "n", "start")
     items = documents.select("file", F.posexplode("products").alias("at", "item"))
     placed = items.join(starts, F.col("file") == F.col("_file"))
     return placed.select((F.col("start") + F.col("at")).cast("bigint").alias("pos"), "item")

@@ -1,5 +1,6 @@
 import csv
 import json
+from pathlib import Path
 
 from pyspark.sql import functions as F
 
@@ -28,7 +29,8 @@ def test_clean_job(spark, tmp_path):
     write(source, [raw(i, price_inr=str(100 + i)) for i in range(7)])
     assert not run(check=True)
     assert run() and run(check=True)
-    for part in ("report/category_counts", "version=1/order_items", "version=1/catalog"):
+    published = Path(sinks.version_path(spark, root, 1, "catalog")).parent.relative_to(root)
+    for part in ("report/category_counts", f"{published}/order_items", f"{published}/catalog"):
         kept = {p: p.read_bytes() for p in (tmp_path / "out" / part).iterdir() if p.name.startswith("part-")}
         first = next(iter(kept))
         rows = spark.read.format("json" if "report" in part else "parquet").load(str(tmp_path / "out" / part))
