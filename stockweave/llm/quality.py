@@ -18,15 +18,18 @@ do not depend on the order of rows. Variances have a floor, as most documents ha
 symbols or repeats at all; distances are scaled so that each group's median is that
 of the chi-square law.
 
-Groups of fewer than `LEAST_ROWS` documents are pooled per language, and where even that pool is
-smaller its documents are judged by an estimate over all documents, which is made at any
-size. Null languages and sources are groups of their
+Every group shrinks towards its language and every language towards all documents: the parent's
+moments count as `PRIOR` more rows that lie closest, so three quarters of the rows and the
+prior hold the prior first and the group's nearest rows after it. A group of a few documents is
+judged by its language, which its own documents cannot shift, a large one by itself, and
+nothing changes at any one size. Null languages and sources are groups of their
 own. Null and empty texts have zero counts and fail the base rules. Repeated rows count
 and are judged each; an empty table gives no rows; other columns are not read.
 """
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -40,7 +43,8 @@ WINDOW = 8
 LEAST_WORDS = 20
 MOST_REPEATED = 30  # percent
 
-LEAST_ROWS = 50
+# rows that the parent's moments weigh
+PRIOR = 50.0
 SUBSET = 0.75
 STEPS = 4
 # floor of a standard deviation, per statistic: where a group has no repeated lines, a share of two
@@ -125,23 +129,22 @@ EVERY = "all"
 
 
 def _grouped(counted: DataFrame) -> DataFrame:
-    """Add `group`: language and source, or the language's pool of small sources, or all documents."""
-    own, pool = F.to_json(F.struct("lang", "source")), F.to_json(F.struct("lang", F.lit(True).alias("pool")))
-    rows = counted.withColumns({"group": own, "_pool": pool})
-    sizes = rows.groupBy("group", "_pool").agg(F.count("*").alias("_n")).filter(F.col("_n") < LEAST_ROWS)
-    sizes = settle_table(sizes, "quality-small")
-    # the pool of a language holds its small sources
-    pools = sizes.groupBy("_pool").agg(F.sum("_n").alias("_pooled"))
-    small = sizes.join(pools, "_pool").select("group", "_pooled")
-    joined = rows.join(small, "group", "left")
-    chosen = F.when(F.col("_pooled").isNull(), F.col("group")).when(F.col("_pooled") >= LEAST_ROWS, F.col("_pool")).otherwise(F.lit(EVERY))
-    return joined.withColumn("group", chosen).drop("_pool", "_pooled")
+    """Add `group` (language and source) and `parent` (language)."""
+    parent = F.to_json(F.struct("lang", F.lit(True).alias("pool")))
+    return counted.withColumns({"group": F.to_json(F.struct("lang", "source")), "parent": parent})
+
+
+def _parents(rows: DataFrame) -> DataFrame:
+    """group and parent of every group that has one."""
+    own = rows.select("group", "parent").distinct()
+    return own.unionByName(own.select(F.col("parent").alias("group"), F.lit(EVERY).alias("parent")).distinct())
 
 
 def _estimates(moments: DataFrame) -> DataFrame:
-    """group, start, mean, precision (packed) and logdet from sums n, s0.., q00.. per group and start."""
+    """group, start, mean, precision (packed), logdet and means of `_MOMENTS` from sums n, s0.., q00.. per group and start."""
     n = F.col("n")
-    table = moments.withColumns({f"m{i}": F.col(f"s{i}") / n for i in range(P)})
+    average = F.array(*[F.col(c) / n for c in _MOMENTS])
+    table = moments.withColumn("moments", average).withColumns({f"m{i}": F.col(f"s{i}") / n for i in range(P)})
     for i, j in _PAIRS:
         value = F.col(f"q{i}{j}") / n - F.col(f"m{i}") * F.col(f"m{j}")
         value = F.greatest(value, F.lit(0.0)) + FLOORS[i] ** 2 if i == j else value
@@ -161,6 +164,7 @@ def _estimates(moments: DataFrame) -> DataFrame:
         F.array(*[f"m{i}" for i in range(P)]).alias("mean"),
         F.array(*precision).alias("precision"),
         reduce(lambda a, b: a + b, [F.log(f"l{i}{i}") for i in range(P)]).alias("logdet"),
+        "moments",
     )
 
 
@@ -184,19 +188,34 @@ def _sums() -> list[Column]:
     ]
 
 
-_SUMS = ["n", *[f"s{i}" for i in range(P)], *[f"q{i}{j}" for i, j in _PAIRS]]
+_MOMENTS = [*[f"s{i}" for i in range(P)], *[f"q{i}{j}" for i, j in _PAIRS]]
+_SUMS = ["n", *_MOMENTS]
+
+
+def _shrunk(sums: DataFrame, priors: DataFrame) -> DataFrame:
+    """`sums` (group, start, `_SUMS`) with `weight` more rows that have the averages `prior`."""
+    weight = F.coalesce("weight", F.lit(0.0))
+    more = {c: F.col(c) + weight * F.coalesce(F.get("prior", F.lit(k)), F.lit(0.0)) for k, c in enumerate(_MOMENTS)}
+    return sums.join(priors, ["group", "start"], "left").withColumns({"n": F.col("n") + weight, **more}).drop("prior", "weight")
+
+
+def _priors(fit: DataFrame, parents: DataFrame) -> DataFrame:
+    """group, start, prior and weight: the averages of the parent's present estimate."""
+    above = fit.select(F.col("group").alias("parent"), "start", F.col("moments").alias("prior"))
+    return parents.join(above, "parent").select("group", "start", "prior", F.lit(PRIOR).alias("weight"))
 
 
-def _lowest(bins: DataFrame, keys: list[str], share: float) -> DataFrame:
-    """The bins (rows with `bin` and `n`) that hold the lowest `share` of each group."""
+def _lowest(bins: DataFrame, keys: list[str], share: float, held: Column | None = None) -> DataFrame:
+    """The bins (rows with `bin` and `n`) that hold the lowest `share` of each group and of `held` rows below all bins."""
+    held = F.lit(0.0) if held is None else held
     upto = Window.partitionBy(*keys).orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy(*keys)
     ranked = bins.withColumn("_below", F.coalesce(F.sum("n").over(upto), F.lit(0))).withColumn("_all", F.sum("n").over(whole))
-    return ranked.filter(F.col("_below") < F.col("_all") * F.lit(share)).drop("_below", "_all")
+    return ranked.filter(F.col("_below") + held < (F.col("_all") + held) * F.lit(share)).drop("_below", "_all")
 
 
 def _starts(rows: DataFrame) -> DataFrame:
-    """Two first estimates per group."""
+    """Two first estimates per group; the moments of both are those of all rows."""
     cells = rows.select("group", F.posexplode("x").alias("part", "value"))
     counts = cells.groupBy("group", "part", F.floor(F.col("value") * 100).cast("int").alias("bin")).agg(F.count("*").alias("n"))
     middle = _lowest(counts, ["group", "part"], 0.5).groupBy("group", "part").agg(F.max("bin").alias("bin"))
@@ -209,35 +228,61 @@ def _starts(rows: DataFrame) -> DataFrame:
         F.array(*fixed).alias("precision"),
         F.lit(0.0).alias("logdet"),
     )
-    plain = rows.groupBy("group").agg(*_sums()).withColumn("start", F.lit(1))
-    return by_median.unionByName(_estimates(plain))
+    plain = _estimates(rows.groupBy("group").agg(*_sums()).withColumn("start", F.lit(1)))
+    return by_median.join(plain.select("group", "moments"), "group").unionByName(plain)
+
+
+def _scales(own: DataFrame, parents: DataFrame) -> DataFrame:
+    """group and scale from group, rows and log (of its own scale), shrunk towards the parent's and its parent's."""
+    up = own.join(parents, "group", "left")
+    above = up.select(F.col("group").alias("parent"), F.col("parent").alias("top"), F.col("rows").alias("_rows"), F.col("log").alias("_log"))
+    highest = own.select(F.col("group").alias("top"), F.col("log").alias("_top"))
+    table = up.join(above, "parent", "left").join(highest, "top", "left")
+
+    def towards(log: Column, rows: Column, other: Column) -> Column:
+        return F.when(other.isNull(), log).otherwise((log * rows + other * PRIOR) / (rows + PRIOR))
+
+    parent = towards(F.col("_log"), F.col("_rows"), F.col("_top"))
+    return table.select("group", F.exp(towards(F.col("log"), F.col("rows"), parent)).alias("scale"))
+
 
+def robust_estimates(rows: DataFrame, parents: DataFrame | None = None, steps: int = STEPS) -> DataFrame:
+    """group, mean, precision and scale of every group of `rows` (group, x), shrunk towards those `parents` (group, parent) names.
 
-def robust_estimates(rows: DataFrame, steps: int = STEPS) -> DataFrame:
-    """group, mean, precision and scale of every group of `rows` (group, x)."""
+    A parent is a group of `rows` itself; a chain has two parents at most.
+    """
+    if parents is None:
+        parents = rows.sparkSession.createDataFrame([], "group string, parent string")
+    keys = ["group", "start"]
     fit = settle_table(_starts(rows), "quality-fit")
     for _ in range(steps):
+        priors = _priors(fit, parents)
         placed = rows.select("group", "x").join(fit, "group").withColumn("bin", _bin(_distance()))
-        bins = placed.groupBy("group", "start", "bin").agg(*_sums())
-        near = _lowest(bins, ["group", "start"], SUBSET).groupBy("group", "start").agg(*[F.sum(c).alias(c) for c in _SUMS])
-        fit = settle_table(_estimates(near), "quality-fit")
+        bins = placed.groupBy(*keys, "bin").agg(*_sums()).join(priors.select(*keys, "weight"), keys, "left")
+        near = _lowest(bins, keys, SUBSET, F.coalesce("weight", F.lit(0.0)))
+        near = near.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in _SUMS])
+        # where the prior fills the three quarters no row of the group is left
+        near = fit.select(*keys).join(near, keys, "left").fillna(0.0, _SUMS)
+        fit = settle_table(_estimates(_shrunk(near, priors)), "quality-fit")
     best = fit.groupBy("group").agg(F.min_by(F.struct("mean", "precision"), F.struct("logdet", "start")).alias("e"))
     best = settle_table(best.select("group", "e.*"), "quality-fit")
     bins = rows.select("group", "x").join(best, "group").groupBy("group", _bin(_distance()).alias("bin")).agg(F.count("*").alias("n"))
     middle = _lowest(bins, ["group"], 0.5).groupBy("group").agg(F.max("bin").alias("bin"))
     # where most rows coincide the median says nothing about the spread: never below that of the law
-    scale = F.greatest(F.exp((F.col("bin") + 0.5) / _FINE) / MEDIAN_CHI2, F.lit(1.0))
-    return settle_table(best.join(middle.select("group", scale.alias("scale")), "group"), "quality-fit")
+    log = F.greatest((F.col("bin") + 0.5) / _FINE - math.log(MEDIAN_CHI2), F.lit(0.0))
+    own = middle.select("group", log.alias("log")).join(bins.groupBy("group").agg(F.sum("n").alias("rows")), "group")
+    return settle_table(best.join(_scales(settle_table(own, "quality-scale"), parents), "group"), "quality-fit")
 
 
 def judge_quality(docs: DataFrame, cutoff: float = CUTOFF) -> DataFrame:
     """The counts of every row of `docs` (doc_id, text, lang, source), base_failed, distance and kept."""
     counted = settle_table(text_counts(docs), "quality-counts")
-    rows = settle_table(_grouped(counted.withColumn("x", statistics())), "quality-rows")
-    worded = rows.filter("n_words > 0").select("group", "x")
-    # all documents make one more group; the others are estimated from their own
-    fit = robust_estimates(worded.filter(F.col("group") != EVERY).unionByName(worded.withColumn("group", F.lit(EVERY))))
+    rows = _grouped(counted.withColumn("x", statistics()))
+    worded = rows.filter("n_words > 0")
+    parents = settle_table(_parents(worded), "quality-groups")
+    levels = settle_table(worded.select(F.explode(F.array("group", "parent", F.lit(EVERY))).alias("group"), "x"), "quality-rows")
+    fit = robust_estimates(levels, parents)
     distance = F.when(F.col("n_words") > 0, _distance() / F.col("scale"))
     judged = rows.join(fit, "group", "left").withColumn("distance", distance)
     outlier = F.coalesce(F.col("distance") > cutoff, F.lit(False))
-    return judged.withColumn("kept", ~F.col("base_failed") & ~outlier).drop("group", "x", "mean", "precision", "scale")
+    return judged.withColumn("kept", ~F.col("base_failed") & ~outlier).drop("group", "parent", "x", "mean", "precision", "scale")

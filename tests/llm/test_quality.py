@@ -121,3 +121,41 @@ def test_a_few_documents_are_judged_by_all(spark):
     assert [rows[100 + i].kept for i in range(3)] == [True, False, True] and not rows[101].base_failed
     alone = {r.doc_id: r for r in quality.judge_quality(docs.filter("lang = 'xx'")).collect()}
     assert set(alone) == {100, 101, 102} and all(r.distance is not None for r in alone.values())
+
+
+def test_verdicts_do_not_jump_with_the_size_of_a_group(spark):
+    """A menu in a source of 1 to 80 documents is rejected at every size, the others stay, and distances change little by a row."""
+    rng = np.random.default_rng(3)
+    plain = ["\n".join(" ".join(f"w{v}" for v in rng.integers(0, 10**6, 9)) for _ in range(12)) for _ in range(80)]
+    menu = "\n".join(str(x) for x in rng.permutation([f"item{i % 9}" for i in range(90)]))
+    sizes = [1, 2, 3, 16, 17, 18, 19, 48, 49, 50, 51, 52, 80]
+    docs = [(i, t, "en", "large", 0) for i, t in enumerate(plain)]
+    for size in sizes:
+        docs += [(1000 * size + i, t, "en", f"s{size}", 0) for i, t in enumerate([menu, *plain[: size - 1]])]
+    rows = {r.doc_id: r for r in quality.judge_quality(spark.createDataFrame(docs, cases.COLUMNS)).collect()}
+    assert {i for i, r in rows.items() if not r.kept} == {1000 * size for size in sizes}
+    menus = [rows[1000 * size].distance for size in (48, 49, 50, 51, 52)]
+    assert max(menus) < 1.3 * min(menus)
+
+
+def test_a_parent_counts_as_rows_that_lie_closest(spark):
+    """One step of a group under its parent, followed in numpy."""
+    x, rows = points(spark)
+    g = rows.filter("group = 'g'")
+    few = spark.createDataFrame([("few", [0.5 * i, 1.0, 0.0, 2.0 + i]) for i in range(30)], g.schema)
+    both = g.unionByName(few)
+    parents = spark.createDataFrame([("few", "g")], "group string, parent string")
+    fit = quality._starts(both).filter("start = 1")
+    priors = quality._priors(fit, parents)
+    sums = few.groupBy("group").agg(*quality._sums()).withColumn("start", F.lit(1))
+    found = quality._estimates(quality._shrunk(sums, priors)).first()
+    own = np.array([r.x for r in few.collect()])
+    weight = np.r_[np.ones(len(own)), np.full(len(x), quality.PRIOR / len(x))]
+    together = np.r_[own, x]
+    mean = np.average(together, axis=0, weights=weight)
+    covariance = np.cov(together.T, aweights=weight, bias=True) + np.diag(np.array(quality.FLOORS) ** 2)
+    assert np.allclose(found["mean"], mean)
+    packed = np.zeros((4, 4))
+    for value, (i, j) in zip(found.precision, quality._PAIRS):
+        packed[i, j] = packed[j, i] = value
+    assert np.allclose(packed, np.linalg.inv(covariance))
