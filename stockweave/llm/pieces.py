@@ -11,8 +11,8 @@ text.
 
 Where no piece of the vocabulary can cross, paths always meet: before a run of
 spaces in a vocabulary whose pieces have spaces only in front, and around characters that
-are in no longer piece. The stretches between such places are searched one by one and
-remembered per Python worker, up to `REMEMBERED`, as words repeat.
+are in no longer piece. The stretches between such places are streams of their own; ids of
+short ones are remembered per Python worker, up to `REMEMBERED`, as words repeat.
 
 The text is taken as it is (identity normalisation, one space put in front, spaces written
 as U+2581). Characters outside the vocabulary, and U+2581 itself, become byte pieces, so
@@ -84,32 +84,14 @@ class Vocabulary:
         self.units = None if crossing else re.compile(stretches)
         self.memo = _Memo(self)
 
-    def search(self, unit: str) -> list[int]:
-        """Ids of a short stretch whose characters are all pieces: the same search in one window."""
-        size = len(unit) + 1
-        best, back, by = [0.0] + [-float("inf")] * (size - 1), [0] * size, [0] * size
-        for end, (length, score, number) in self.automaton.iter(unit):
-            total = best[end + 1 - length] + score
-            if total > best[end + 1]:
-                best[end + 1], back[end + 1], by[end + 1] = total, end + 1 - length, number
-        ids, at = [], size - 1
-        while at:
-            ids.append(by[at])
-            at = back[at]
-        return ids[::-1]
-
-    def _ids(self, text: str, start: int, end: int, piece: int) -> list[int]:
-        return [piece] if piece >= 0 else self.byte_ids[list(text[start:end].encode())].tolist()
-
     def stream(self, parts: Iterable[str]) -> Iterator[list[int]]:
         """Ids of the joined parts, committed as soon as no continuation can change them."""
-        held, base = "", 0  # the text since the last commit
+        held = ""  # the text since the last commit
         best, back, by = [0.0], [0], [-1]
         for part in parts:
             for i in range(0, len(part), LOOK):
-                held += part[i : i + LOOK]
-                self._extend(held, best, back, by)
-                cut = self._meeting(back)
+                # more text follows: what it cannot change any more is final
+                cut = self._meeting(back) if held else 0
                 if cut:
                     yield self._path(held, back, by, cut)
                     held = held[cut:]
@@ -117,31 +99,42 @@ class Vocabulary:
                     best = [x - top for x in best[cut:]]
                     back = [0] + [x - cut for x in back[cut + 1 :]]
                     by = [-1] + by[cut + 1 :]
+                held += part[i : i + LOOK]
+                self._extend(held, best, back, by)
+        # nothing follows: the path to the end alone survives
         if held:
             yield self._path(held, back, by, len(held))
 
     def _extend(self, held: str, best: list[float], back: list[int], by: list[int]) -> None:
         """Best sums for the positions of `held` that have none yet."""
         done = len(best) - 1
+        new = len(held) - done
+        best += [-float("inf")] * new
+        back += [0] * new
+        by += [-1] * new
         # pieces that end in the new part can start so far before it
         origin = max(0, done - self.longest + 1)
-        ending: dict[int, list[tuple[int, float, int]]] = {}
-        for end, match in self.automaton.iter(held[origin:]):
-            if origin + end >= done:
-                ending.setdefault(origin + end + 1, []).append(match)
-        for end in range(done + 1, len(held) + 1):
-            top, start, piece = -float("inf"), end - 1, -1
-            single = False
-            for length, score, number in ending.get(end, ()):  # the longest first
-                single |= length == 1
-                total = best[end - length] + score
-                if total > top:
-                    top, start, piece = total, end - length, number
-            if not single and best[end - 1] + self.unknown > top:
-                top, start, piece = best[end - 1] + self.unknown, end - 1, -1
-            best.append(top)
-            back.append(start)
-            by.append(piece)
+        # positions after characters that are no piece; a byte piece may end there
+        foreign = [] if self.singles.issuperset(held[done:]) else [i for i in range(done, len(held)) if held[i] not in self.singles]
+        foreign.reverse()
+
+        def close(upto: int) -> None:
+            while foreign and foreign[-1] < upto:
+                i = foreign.pop()
+                if best[i] + self.unknown > best[i + 1]:
+                    best[i + 1], back[i + 1], by[i + 1] = best[i] + self.unknown, i, -1
+
+        # by ascending end, of equal ends the longest first
+        for end, (length, score, number) in self.automaton.iter(held[origin:] if origin else held):
+            at = origin + end + 1
+            if at <= done:
+                continue
+            if foreign and foreign[-1] < at - 1:
+                close(at - 1)
+            total = best[at - length] + score
+            if total > best[at]:
+                best[at], back[at], by[at] = total, at - length, number
+        close(len(held))
 
     def _meeting(self, back: list[int]) -> int:
         """The last boundary on the paths of all positions that can still be continued."""
@@ -158,11 +151,15 @@ class Vocabulary:
         return -at.pop()
 
     def _path(self, held: str, back: list[int], by: list[int], end: int) -> list[int]:
-        steps = []
+        ids: list[int] = []
         while end:
-            steps.append((back[end], end, by[end]))
-            end = back[end]
-        return [i for s, e, p in reversed(steps) for i in self._ids(held, s, e, p)]
+            start, piece = back[end], by[end]
+            if piece >= 0:
+                ids.append(piece)
+            else:
+                ids += self.byte_ids[list(held[start:end].encode())].tolist()[::-1]
+            end = start
+        return ids[::-1]
 
     def encode(self, text: str) -> np.ndarray:
         """Ids of a whole text."""
@@ -196,11 +193,7 @@ class _Memo(dict):
         self.vocabulary = vocabulary
 
     def __missing__(self, unit: str) -> bytes:
-        if len(unit) <= LOOK and self.vocabulary.singles.issuperset(unit):
-            found = self.vocabulary.search(unit)
-        else:
-            found = [i for part in self.vocabulary.stream([unit]) for i in part]
-        ids = np.array(found, np.int32).tobytes()
+        ids = np.array([i for part in self.vocabulary.stream([unit]) for i in part], np.int32).tobytes()
         if len(unit) <= LONGEST_REMEMBERED:
             if len(self) >= REMEMBERED:
                 self.clear()
