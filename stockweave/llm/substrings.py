@@ -13,16 +13,16 @@ anchor's context. That leaves one row per some thirty bytes instead of one per b
    (`FILTER_BITS`) that the tasks of the next pass look into. Where it is too small for
    the corpus it lets more rows through and changes no result.
 2. Equal contexts are classes: all members but the earliest go, over the whole context.
-   Members in the same chunk of a task are settled there, so that a passage in a third of all
-   documents leaves one row per chunk; the others meet in an aggregate for the
-   earliest and a join for the rest.
+   Members in the same chunk of a task are settled there, each compared byte by byte with the
+   first, so that a passage in a third of all documents leaves one row per chunk; the others
+   meet by a cryptographic digest of 128 bits in an aggregate for the earliest and a join for the rest.
 3. Different contexts of one anchor (where copies begin, end or differ) are compared as
    suffixes. They are merge-sorted by comparisons that find the common extension of two
    suffixes by binary search over prefix polynomial hashes, a logarithmic number of probes,
    and then look at one byte. Neighbours in that order that share `LENGTH` bytes are compared
    byte by byte before the later one goes. Anchors with more than `PART` contexts are dealt
    out by document; the first string of each part then meets the others of its kind in an
-   aggregate, so no anchor is gathered in one task.
+   aggregate, by anchor and two independent hashes of its bytes, so no anchor is gathered in one task.
 
 Hashes are H(i) = sum of (byte + 1) * B^j for j < i, modulo 2^64; a substring's is the
 difference of two, times a power of the inverse of B. All work is on the input texts; a text is
@@ -189,18 +189,21 @@ def _in_filter(grams: np.ndarray, words: np.ndarray) -> np.ndarray:
     return found
 
 
-# a context: its anchor's hash, a digest of its bytes, and stretch * LENGTH + offset of the anchor; or,
-# without these, a span that goes
-_MEMBER = "gram long, context long, shape int, doc long, tie int, start int, end int"
+# a context: its anchor's hash, the halves of a digest of its bytes, and stretch * LENGTH + offset of the
+# anchor, which follow from the bytes; or, without these, a span that goes
+_MEMBER = "gram long, context long, check long, shape int, doc long, tie int, start int, end int"
 _CONTEXT = "gram long, shape int, doc long, tie int, start int, bytes binary"
 
 
+def _digests(contexts: list[bytes]) -> np.ndarray:
+    """The two halves of each context's digest."""
+    whole = b"".join([hashlib.blake2b(c, digest_size=16).digest() for c in contexts])
+    return np.frombuffer(whole, np.int64).reshape(-1, 2)
+
+
 def _members(words: np.ndarray, with_bytes: bool):
     """Contexts whose anchor is in the filter; of equal ones in a chunk the earliest, and the spans of the others."""
 
-    def digest(text: bytes) -> int:
-        return int.from_bytes(hashlib.blake2b(text, digest_size=8).digest(), "little", signed=True)
-
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for rows, texts in _chunks(batches):
             text, start, stretch, offset, grams, _ = _anchors(texts)
@@ -208,10 +211,12 @@ def _members(words: np.ndarray, with_bytes: bool):
             text, start, stretch, offset, grams = (x[kept] for x in (text, start, stretch, offset, grams))
             ends = start + stretch + LENGTH
             contexts = [texts[t][s:e] for t, s, e in zip(text.tolist(), start.tolist(), ends.tolist())]
+            halves = _digests(contexts)
             found = pd.DataFrame(
                 {
                     "gram": grams.view(np.int64),
-                    "context": np.array([digest(c) for c in contexts], np.int64),
+                    "context": halves[:, 0],
+                    "check": halves[:, 1],
                     "shape": (stretch * LENGTH + offset).astype(np.int32),
                     "doc": rows["doc"].to_numpy()[text],
                     "tie": rows["tie"].to_numpy()[text],
@@ -219,19 +224,21 @@ def _members(words: np.ndarray, with_bytes: bool):
                     "end": ends.astype(np.int32),
                 }
             )
-            order = np.lexsort([found[c].to_numpy() for c in ("start", "tie", "doc", "shape", "context", "gram")])
+            order = np.lexsort([found[c].to_numpy() for c in ("start", "tie", "doc", "check", "context")])
             found = found.iloc[order]
             same = np.zeros(len(found), bool)
             if len(found) > 1:
-                key = found[["gram", "context", "shape"]].to_numpy()
+                key = found[["context", "check"]].to_numpy()
                 same[1:] = (key[1:] == key[:-1]).all(axis=1)
             # of rows that give a document twice none is the earlier one
             place = found[["doc", "tie", "start"]].to_numpy()
             first = np.maximum.accumulate(np.where(same, 0, np.arange(len(found))))
             later = same & (place != place[first]).any(axis=1)
+            if any(contexts[i] != contexts[j] for i, j in zip(order[same].tolist(), order[first[same]].tolist())):
+                raise ArithmeticError("two different contexts have equal digests; use another digest")
             if with_bytes:
                 found["bytes"] = [contexts[i] for i in order]
-                yield found.drop(columns=["context", "end"])[~same]
+                yield found.drop(columns=["context", "check", "end"])[~same]
             else:
                 yield found[~same].assign(end=None)
                 yield _joined(found[later])
@@ -244,13 +251,13 @@ def _joined(spans: pd.DataFrame) -> pd.DataFrame:
     spans = spans.sort_values(["doc", "tie", "start"], kind="stable")
     doc, tie, start, end = (spans[c].to_numpy() for c in ("doc", "tie", "start", "end"))
     if not len(spans):
-        return spans.assign(gram=None, context=None, shape=None)
+        return spans.assign(gram=None, context=None, check=None, shape=None)
     same = (doc[1:] == doc[:-1]) & (tie[1:] == tie[:-1])
     # contexts of a text end in the order they start
     first = np.flatnonzero(np.r_[True, ~(same & (start[1:] <= end[:-1]))])
     last = np.append(first[1:], len(spans)) - 1
     out = pd.DataFrame({"doc": doc[first], "tie": tie[first], "start": start[first], "end": end[last]})
-    return out.assign(gram=None, context=None, shape=None)
+    return out.assign(gram=None, context=None, check=None, shape=None)
 
 
 def _less(prefixes: Prefixes, where: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -320,6 +327,17 @@ def _equal_bytes(data: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return out
 
 
+def _weighted(data: np.ndarray, start: np.ndarray) -> np.ndarray:
+    """A second hash of the strings at `start`: their words of four bytes, each times a weight of its own."""
+    weights = _mix(np.arange(1, LENGTH // 4 + 1, dtype=np.uint64) * np.uint64(_BASE)) | np.uint64(1)
+    out = np.zeros(len(start), np.uint64)
+    span = np.arange(LENGTH)
+    for part in np.array_split(np.arange(len(start)), -(-len(start) // 20_000) or 1):
+        words = data[start[part][:, None] + span].view(np.uint32)
+        out[part] = _mix((words * weights).sum(axis=1, dtype=np.uint64))
+    return out.view(np.int64)
+
+
 def _compare_contexts(rows: pd.DataFrame) -> pd.DataFrame:
     """For the contexts of whole (gram, part) groups: spans of strings that start earlier (lost), and what
     is left of the strings of anchors in several parts, one by one."""
@@ -357,9 +375,12 @@ def _compare_contexts(rows: pd.DataFrame) -> pd.DataFrame:
 
     def picked(first: np.ndarray, last: np.ndarray, gone: bool) -> pd.DataFrame:
         of = context[first]
-        string = _mix(prefixes.of(at[of] + step[first], at[of] + step[first] + LENGTH)).view(np.int64)
         columns = {c: rows[c].to_numpy()[of] for c in ("doc", "tie", "gram")}
-        return pd.DataFrame({**columns, "start": begin[first], "end": begin[last] + LENGTH, "lost": gone, "string": string})
+        found = pd.DataFrame({**columns, "start": begin[first], "end": begin[last] + LENGTH, "lost": gone})
+        if gone:
+            return found.assign(string=0, check=0)
+        place = at[of] + step[first]
+        return found.assign(string=_mix(prefixes.of(place, place + LENGTH)).view(np.int64), check=_weighted(data, place))
 
     gone = np.flatnonzero(back)
     new = np.ones(len(gone), bool)
@@ -414,10 +435,10 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     settled, open_ = members.filter("gram IS NULL"), members.filter("gram IS NOT NULL").drop("end")
 
     # classes of equal contexts: the earliest member stays
-    key = ["gram", "context", "shape"]
-    classes = open_.groupBy(*key).agg(F.min(F.struct("doc", "tie", "start")).alias("first"))
+    key = ["context", "check"]
+    classes = open_.groupBy(*key).agg(F.min(F.struct("doc", "tie", "start")).alias("first"), F.first("gram").alias("gram"))
     classes = settle_table(classes, "substring-classes")
-    later = open_.join(classes, key).filter(F.struct("doc", "tie", "start") != F.col("first"))
+    later = open_.drop("gram").join(classes.drop("gram"), key).filter(F.struct("doc", "tie", "start") != F.col("first"))
     whole = _spans(F.col("start"), F.col("start") + F.floor(F.col("shape") / LENGTH) + LENGTH)
 
     # anchors with several contexts: compared as suffixes
@@ -426,13 +447,14 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     contexts = docs.mapInPandas(_members(_gram_filter(several), True), _CONTEXT)
     dealt = contexts.join(several, "gram").withColumn("part", F.pmod(F.xxhash64("doc", "tie"), F.col("parts")).cast("int"))
     strings = dealt.repartition("gram", "part").sortWithinPartitions("gram", "part").mapInPandas(
-        _sort_parts, "doc long, tie int, gram long, start int, end int, lost boolean, string long"
+        _sort_parts, "doc long, tie int, gram long, start int, end int, lost boolean, string long, check long"
     )
     strings = settle_table(strings, "substring-strings")
     # firsts of the parts of one anchor meet per string
     firsts = strings.filter("not lost")
-    least = firsts.groupBy("gram", "string").agg(F.min(F.struct("doc", "tie", "start")).alias("first"))
-    crossing = firsts.join(least, ["gram", "string"]).filter(F.struct("doc", "tie", "start") != F.col("first"))
+    same = ["gram", "string", "check"]
+    least = firsts.groupBy(*same).agg(F.min(F.struct("doc", "tie", "start")).alias("first"))
+    crossing = firsts.join(least, same).filter(F.struct("doc", "tie", "start") != F.col("first"))
     one = _spans(F.col("start"), F.col("end")).alias("span")
     return (
         settled.select("doc", "tie", one)
