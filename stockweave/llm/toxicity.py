@@ -14,7 +14,8 @@ of the number of words, goes through a logistic curve.
 are log ratios of rates of occurrence in the two classes, and of entries that
 begin alike only the one that separates the classes best stays. Learning uses at
 most `MAX_TRAIN` labelled rows, the first by hash of doc_id. The counts come from an
-aggregate over tasks; the driver sees at most `CANDIDATES` entries and a histogram.
+aggregate over tasks, which also drops entries that do not separate the classes beyond chance
+(`LEAST_ROOT`); the driver sees those of the bounded sample that do, and a histogram.
 
 A null or empty text has no matches and scores as such. A null doc_id has no label.
 Repeated rows are scored each; a document labelled twice is toxic if any label says
@@ -34,15 +35,13 @@ from dataclasses import dataclass, field
 import ahocorasick
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stockweave.llm.common import text_of
 from stockweave.session import settle_table
 
 MAX_TRAIN = 10_000
-CANDIDATES = 5_000
-ENTRIES = 400
 # shortest and longest beginning of a word that can be an entry
 SHORTEST, LONGEST = 3, 8
 # least documents with an entry, least log ratio, least signed root of the likelihood ratio
@@ -180,15 +179,17 @@ def training_rows(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_TRAIN)
     return docs.select("doc_id", text_of().alias("text")).join(F.broadcast(known), "doc_id").drop("doc_id")
 
 
-def _separates(d0, d1, n0, n1):
-    """Signed root of the likelihood ratio of two binomials."""
-    out = 0.0
+def _separates(n0: int, n1: int) -> Column:
+    """Signed root of the likelihood ratio of two binomials, from d0 of n0 and d1 of n1 documents."""
+    d0, d1 = F.col("d0"), F.col("d1")
     rate = (d0 + d1) / (n0 + n1)
-    for d, n in ((d0, n0), (d1, n1)):
-        for seen, share in ((d, rate), (n - d, 1 - rate)):
-            if seen and n:
-                out += seen * math.log(seen / (n * share))
-    return math.copysign(math.sqrt(max(0.0, 2 * out)), d1 / max(n1, 1) - d0 / max(n0, 1))
+    terms = [
+        F.when((seen > 0) & F.lit(n > 0), seen * F.log(seen / (n * share))).otherwise(0.0)
+        for d, n in ((d0, n0), (d1, n1))
+        for seen, share in ((d, rate), (n - d, 1 - rate))
+    ]
+    root = F.sqrt(F.greatest(F.lit(0.0), 2 * sum(terms, F.lit(0.0))))
+    return F.when(d1 / max(n1, 1) >= d0 / max(n0, 1), root).otherwise(-root)
 
 
 def _fit_curve(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float, float]:
@@ -221,18 +222,16 @@ def learn(training: DataFrame, exceptions: tuple[str, ...] = EXCEPTIONS) -> Lexi
     ratio = F.log((F.col("c1") + 0.5) / (w1 + 1.0)) - F.log((F.col("c0") + 0.5) / (w0 + 1.0))
     best = (
         sums.filter("feature != ''")
-        .withColumn("ratio", ratio)
-        .filter(F.col("ratio") >= LEAST_RATIO)
-        .orderBy(F.desc(F.col("d1") - F.col("d0") * (n1 / max(n0, 1))), "feature")
-        .limit(CANDIDATES)
+        .select("feature", ratio.alias("ratio"), _separates(n0, n1).alias("root"))
+        .filter((F.col("ratio") >= LEAST_RATIO) & (F.col("root") >= AS_GOOD * LEAST_ROOT))
         .collect()
     )
-    ranked = sorted(((_separates(r["d0"], r["d1"], n0, n1), r["feature"], r["ratio"]) for r in best), key=lambda r: (-r[0], r[1]))
+    ranked = sorted(((r["root"], r["feature"], r["ratio"]) for r in best), key=lambda r: (-r[0], r[1]))
     chosen: list[tuple[str, float]] = []
     for root, feature, weight in ranked:
         bare = feature.rstrip()
         nested = any(bare.startswith(c.rstrip()) or c.startswith(bare) for c, _ in chosen)
-        if root < LEAST_ROOT or nested or len(chosen) >= ENTRIES:
+        if root < LEAST_ROOT or nested:
             continue
         # the most specific entry that does as well: `trash` and not `tra`
         longer = [r for r in ranked if r[1].startswith(bare) and r[0] >= AS_GOOD * root]
