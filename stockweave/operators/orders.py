@@ -185,8 +185,10 @@ def synth_orders(products: DataFrame, months: DataFrame) -> tuple[DataFrame, Dat
         "orders",
         F.explode(F.sequence(F.lit(0), F.floor((F.col("orders") - 1) / RUN_LENGTH))).alias("_run"),
     )
-    # a month of any size becomes many short runs before it is unfolded
-    runs = runs.repartition("year", "month", "_run")
+    # a month of any size becomes many short runs before it is unfolded. Runs are few bytes and many orders,
+    # so their number of parts is given: by size alone AQE would put all of them into one task
+    parts = int(products.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    runs = runs.repartition(parts, "year", "month", "_run")
     first = F.col("_run") * RUN_LENGTH + 1
     last = F.least(first + RUN_LENGTH - 1, F.col("orders"))
     numbers = runs.select("year", "month", F.explode(F.sequence(first, last)).alias("number"))
@@ -205,7 +207,8 @@ def synth_orders(products: DataFrame, months: DataFrame) -> tuple[DataFrame, Dat
         "quantity", (1 + (F.col("month") + F.col("number") + F.col("offset")) % 3).cast("int")
     )
     ranked = rank_rows(products, [F.col("id").asc()], "_rank")
-    picked = lines.join(ranked, "_rank")
+    # the runs' size says nothing of the lines unfolded from them, so the planner must not broadcast these
+    picked = lines.join(ranked.hint("merge"), "_rank")
     snapshot = F.struct(
         *[
             (F.col(c).cast("int") if c == "featured" else F.col(c)).alias(c)

@@ -143,3 +143,21 @@ def test_sums_before_over_slices(spark):
     found = {r.id: r.start for r in sums_before(rows, [F.col("id").asc()], "n", "start").collect()}
     assert found == {i: sum(j % 5 for j in range(i)) for i in range(500)}
     assert sums_before(rows.limit(0), [F.col("id").asc()], "n", "start").count() == 0
+
+
+def test_lines_unfolded_from_few_runs_are_not_broadcast(spark):
+    from stockweave.operators.orders import synth_orders
+
+    tune(spark)
+    products = spark.range(5).select(
+        F.format_string("p-%d", "id").alias("id"), F.lit("n").alias("name"), F.lit("men").alias("category"),
+        F.lit("d").alias("description"), F.lit("a").alias("alt"), F.lit("i").alias("image"), F.lit(100).cast("bigint").alias("price_minor"),
+        F.array(F.lit("S")).alias("sizes"), F.array(F.lit("red")).alias("colors"), F.lit(True).alias("featured"))
+    months = spark.createDataFrame([(2026, 1, 9000)], "year int, month int, orders bigint")
+    headers, lines = synth_orders(products, months)
+    assert headers.count() == 9000
+    assert len(lines.collect()) == 18000
+    text = plan(lines)
+    assert re.search(r"SortMergeJoin\(?.*\[_rank", text) and not re.search(r"BroadcastHashJoin \[_rank", text)
+    # the runs of a month stay in as many parts as there are shuffle partitions
+    assert "REPARTITION_BY_NUM" in text
