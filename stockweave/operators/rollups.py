@@ -43,16 +43,18 @@ def rollup(orders: DataFrame, items: DataFrame) -> DataFrame:
     heads = orders.groupBy("source").agg(
         F.count("*").alias("n"), F.sum("total_minor").alias("total"), F.count("total_minor").alias("priced")
     )
-    # summed per order, product and category before the join, so that a hot order is one row a product
-    lines = items.groupBy("order_id", "product_id", "category").agg(
-        F.max("product_name").alias("name"), F.sum("quantity").alias("units"), F.sum(value).alias("revenue")
-    )
-    sold = lines.join(headers, "order_id")
+    # summed per order, product and snapshot before the join, so that a hot order is one row a product. The name is
+    # a key, not a largest text, which would cost a sort of all lines
+    snapshot = ["product_id", "category", F.col("product_name").alias("name")]
+    lines = items.groupBy("order_id", *snapshot).agg(F.sum("quantity").alias("units"), F.sum(value).alias("revenue"))
     # order ids are unique, so orders with lines are counted over the sums per order
     months = order_totals(items).join(headers, "order_id").groupBy("month", "source").agg(
         F.count("*").alias("n"), F.sum("units").alias("u"), F.sum("revenue_minor").alias("r")
     )
     sums = (F.sum("units").alias("u"), F.sum("revenue").alias("r"))
+    # categories and products read all columns of these sums, so their exchange is made once and reused
+    sold = lines.join(headers, "order_id").groupBy("product_id", "category", "name", "source")
+    sold = sold.agg(F.sum("units").alias("units"), F.sum("revenue").alias("revenue"))
     categories = sold.groupBy("category", "source").agg(*sums)
     products = sold.groupBy("product_id", "source").agg(*sums, F.max("name").alias("name"), F.max("category").alias("category"))
     parts = [
@@ -83,7 +85,8 @@ def _folder(spark: SparkSession, path: str, mark: str) -> DataFrame:
 
 def add_batch(batch_id: int, orders: DataFrame, items: DataFrame, root: str) -> None:
     """Store the sums of a batch; a replay overwrites them."""
-    rollup(orders, items).coalesce(1).write.mode("overwrite").parquet(f"{root}/batches/batch_id={batch_id}")
+    # no coalesce(1): it would run the last step of every sum in one task
+    rollup(orders, items).write.mode("overwrite").parquet(f"{root}/batches/batch_id={batch_id}")
 
 
 def _current(spark: SparkSession, root: str) -> DataFrame:
@@ -101,7 +104,7 @@ def compact(spark: SparkSession, root: str) -> int | None:
     """Fold all batches into one folder; the batches stay until their owner removes them."""
     last = _folder(spark, f"{root}/batches", "batch_id").agg(F.max("batch_id")).first()[0]
     if last is not None:
-        fold(_current(spark, root)).coalesce(1).write.mode("overwrite").parquet(f"{root}/folded/upto={last}")
+        fold(_current(spark, root)).write.mode("overwrite").parquet(f"{root}/folded/upto={last}")
     return last
 
 

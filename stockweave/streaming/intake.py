@@ -88,7 +88,8 @@ def stream_monthly(orders: DataFrame, root: str, checkpoint: str, **trigger) ->
     """
 
     def merge(changed: DataFrame, batch_id: int) -> None:
-        changed.coalesce(1).write.mode("overwrite").parquet(f"{root}/batch_id={batch_id}")
+        # not coalesce(1), which would run all parts of the state in one task; the rows are months times sources
+        changed.repartition(1).write.mode("overwrite").parquet(f"{root}/batch_id={batch_id}")
 
     writer = monthly_by_source(orders).writeStream.outputMode("update").foreachBatch(merge)
     return writer.option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()
@@ -124,5 +125,5 @@ def compact_monthly(spark: SparkSession, root: str) -> int:
     upto = rows.agg(F.max("batch_id")).first()[0]
     figures = F.struct("orders", "revenue_minor", "units", "batch_id")
     last = rows.groupBy("month", "source").agg(F.max_by(figures, "batch_id").alias("last"))
-    last.select("month", "source", "last.*").coalesce(1).write.mode("overwrite").parquet(f"{root}/{_COMPACTED}/upto={upto}")
+    last.select("month", "source", "last.*").repartition(1).write.mode("overwrite").parquet(f"{root}/{_COMPACTED}/upto={upto}")
     return upto

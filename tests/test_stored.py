@@ -124,3 +124,36 @@ def test_indexed_search_equals_the_scan(spark, tmp_path):
         assert {r.id for r in found.collect()} == {r.id for r in C.search_catalog(catalog, q=q).collect()}, q
     text = plan(search_index.candidates(index, "kite", shards=8))
     assert "PartitionFilters: [shard" in text and "PushedFilters: [In(gram, [ite,kit])" in text.replace("IsNotNull(gram), ", "")
+
+
+def test_rollup_of_a_batch_ends_in_more_than_one_task(spark, tmp_path, monkeypatch):
+    from pyspark.sql import DataFrame
+
+    from stockweave.operators import rollups
+    from stockweave.streaming import intake
+
+    asked = []
+    coalesce = DataFrame.coalesce
+    monkeypatch.setattr(type(spark.range(1)), "coalesce", lambda rows, n: asked.append(n) or coalesce(rows, n))
+    orders = spark.createDataFrame(
+        [(1, "visitor", 30, "2026-04-01"), (2, "synthetic", None, "2026-05-01"), (3, "visitor", 5, "2026-05-02")],
+        "id long, source string, total_minor long, created_at string")
+    items = spark.createDataFrame(
+        [(1, 7, "b", "men", 10, 1), (1, 7, "a", "men", 10, 2), (2, 7, "c", "women", 4, 1), (2, 8, None, None, None, 3), (9, 8, "x", "men", 1, 1)],
+        "order_id long, product_id long, product_name string, category string, unit_price_minor long, quantity long")
+    root = str(tmp_path / "rollup")
+    rollups.add_batch(0, orders, items, root)
+    rollups.compact(spark, root)
+    found = {(r.part, r.entry, r.source): (r.orders, r.units, r.revenue_minor, r.name, r.category)
+             for r in rollups.read_rollup(spark, root).collect()}
+    assert found[("products", "7", "visitor")] == (0, 3, 30, "b", "men")
+    assert found[("products", "7", "synthetic")] == (0, 1, 4, "c", "women")
+    assert found[("products", "8", "synthetic")] == (0, 3, 0, None, None)
+    assert found[("categories", "men", "visitor")] == (0, 3, 30, None, None)
+    assert found[("categories", None, "synthetic")] == (0, 3, 0, None, None)
+    assert found[("months", "2026-05", "synthetic")] == (1, 4, 4, None, None)
+    assert len(found) == 10
+    changed = spark.createDataFrame([("2026-04", "visitor", 1, 2, 3)], "month string, source string, orders long, revenue_minor long, units long")
+    changed.write.parquet(f"{root}/monthly/batch_id=0")
+    assert intake.compact_monthly(spark, f"{root}/monthly") == 0
+    assert asked == []
