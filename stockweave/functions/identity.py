@@ -10,6 +10,7 @@ from stockweave.functions.text import blank_if_null, col, let, squash
 # Id patterns and the source prefix.
 CATALOG_ID = r"\A[a-z0-9]+(?:-[a-z0-9]+)*\z"
 CART_PRODUCT_ID = r"\A[a-z0-9][a-z0-9-]{0,79}\z"
+PLAIN_UUID = r"\A[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}\z"
 SOURCE_PREFIX = "source-"
 MAX_SLUG = 72
 
@@ -40,7 +41,14 @@ def uuid_form(hex32: Column) -> Column:
 
 
 def canonical_uuid(c) -> Column:
-    """Lower-case hyphenated UUID of a 36-character key; NULL when it is none."""
+    """Lower-case hyphenated UUID of a 36-character key; NULL when it is none.
+
+    A key that has its hyphens in place only needs lower case.
+    """
+    return F.when(col(c).rlike(PLAIN_UUID), F.lower(col(c))).otherwise(_any_uuid(c))
+
+
+def _any_uuid(c) -> Column:
     bare = F.replace(F.replace(col(c), F.lit("urn:"), F.lit("")), F.lit("uuid:"), F.lit(""))
     digits = F.lower(F.translate(F.btrim(bare, F.lit("{}")), "-", ""))
     hex32 = (F.length(digits) == 32) & (F.translate(digits, "0123456789abcdef", "") == "")
@@ -68,8 +76,8 @@ def ascii_json(text: Column) -> Column:
     return F.when(text.rlike(r"[^\x00-\x7e]"), escaped).otherwise(text)
 
 
-def cart_fingerprint(lines) -> Column:
-    """SHA-256 of the sorted lines as compact JSON with sorted keys.
+def cart_json(lines) -> Column:
+    """The sorted lines as compact JSON with sorted keys.
 
     `lines` is an array of structs with product_id, size, color and quantity.
     """
@@ -82,4 +90,14 @@ def cart_fingerprint(lines) -> Column:
             x["size"].alias("size"),
         ),
     )
-    return F.sha2(ascii_json(F.to_json(ordered)), 256)
+    return F.to_json(ordered)
+
+
+def fingerprint(json) -> Column:
+    """SHA-256 of a JSON text in ASCII."""
+    return F.sha2(ascii_json(col(json)), 256)
+
+
+def cart_fingerprint(lines) -> Column:
+    """The fingerprint of `cart_json`."""
+    return fingerprint(cart_json(lines))

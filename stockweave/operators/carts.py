@@ -35,7 +35,7 @@ def _no_null(condition: Column) -> Column:
     return F.coalesce(condition, F.lit(False))
 
 
-LINE_SHAPE = "struct<" + ",".join(f"{f}:variant" for f in ITEM_FIELDS) + ">"
+OBJECT = "map<string,variant>"
 
 
 def _kind(value: Column) -> Column:
@@ -52,16 +52,15 @@ def _variant_text(value: Column) -> Column:
 
 
 def _typed_line(line: Column) -> Column:
-    """Typed values of a line; a value of the wrong type is NULL."""
-    keys = F.json_object_keys(F.to_json(line["item"]))
-    known = F.size(F.array_except(keys, F.array(*[F.lit(f) for f in ITEM_FIELDS]))) == 0
-    quantity = line["fields"]["quantity"]
+    """Typed values of a line (NULL for anything but an object); a value of the wrong type is NULL."""
+    known = F.size(F.array_except(F.map_keys(line), F.array(*[F.lit(f) for f in ITEM_FIELDS]))) == 0
+    quantity = line["quantity"]
     return F.struct(
-        (_no_null(_kind(line["item"]).startswith("OBJECT")) & _no_null(known)).alias("known"),
-        _string(line["fields"]["product_id"]).alias("product_id"),
+        _no_null(known).alias("known"),
+        _string(line["product_id"]).alias("product_id"),
         F.when(_kind(quantity) == "BIGINT", F.try_variant_get(quantity, "$", "bigint")).alias("quantity"),
-        _variant_text(line["fields"]["size"]).alias("size"),
-        _variant_text(line["fields"]["color"]).alias("color"),
+        _variant_text(line["size"]).alias("size"),
+        _variant_text(line["color"]).alias("color"),
     )
 
 
@@ -88,10 +87,8 @@ def _checked_line(line: Column) -> Column:
 
 
 def _parse_lines(items: Column) -> Column:
-    """All fields of a line leave the VARIANT in one cast: following an absent path is slow."""
-    with_fields = F.transform(
-        items, lambda i: F.struct(i.alias("item"), F.try_variant_get(i, "$", LINE_SHAPE).alias("fields"))
-    )
+    """All fields of a line leave the VARIANT in one cast, which also gives its keys: paths and JSON texts are slow."""
+    with_fields = F.transform(items, lambda i: F.try_variant_get(i, "$", OBJECT))
     return F.transform(F.transform(with_fields, _typed_line), _checked_line)
 
 
@@ -123,7 +120,7 @@ def validate_carts(submissions: DataFrame) -> DataFrame:
         lambda line, i: F.coalesce(line["problem"], F.when(running(line, i) > MAX_QUANTITY, F.lit(PER_VARIANT))),
     )
     problems = F.when(repeats, checked).otherwise(F.transform(parsed, lambda line: line["problem"]))
-    body_keys = F.json_object_keys(F.to_json("_doc"))
+    body_keys = F.map_keys(F.try_variant_get("_doc", "$", OBJECT))
     key_text = text.blank_if_null("idempotency_key")
     too_large = F.octet_length("body") > MAX_BODY_BYTES
     message = (
@@ -141,19 +138,26 @@ def validate_carts(submissions: DataFrame) -> DataFrame:
         )
     )
     rows = rows.withColumn("error_message", message)
-    variants = F.array_sort(F.array_distinct(F.transform(parsed, lambda x: x["variant"])))
+    pair = lambda v, units: F.struct(v.alias("variant"), units.alias("quantity"))
+    # lines of one variant are added up; most carts name each variant once and keep their lines
+    summed = F.transform(
+        F.array_distinct(F.transform(parsed, lambda x: x["variant"])), lambda v: pair(v, _units(_same_variant(parsed, v)))
+    )
+    units = F.when(repeats, summed).otherwise(F.transform(parsed, lambda x: pair(x["variant"], x["quantity"])))
     lines = F.transform(
-        variants,
-        lambda v, i: F.struct(
+        F.sort_array(units),
+        lambda x, i: F.struct(
             (i + 1).alias("line_no"),
-            v["product_id"].alias("product_id"),
-            v["size"].alias("size"),
-            v["color"].alias("color"),
-            _units(_same_variant(parsed, v)).alias("quantity"),
+            x["variant"]["product_id"].alias("product_id"),
+            x["variant"]["size"].alias("size"),
+            x["variant"]["color"].alias("color"),
+            x["quantity"].alias("quantity"),
         ),
     )
     valid = F.col("error_message").isNull()
     rows = rows.withColumn("lines", F.when(valid, lines))
+    # as a column of its own the text is made once, though the hash names it several times
+    rows = rows.withColumn("_json", F.when(valid, identity.cart_json("lines")))
     code = (
         F.when(valid, F.lit(None).cast("string"))
         .when(too_large, F.lit("request_too_large"))
@@ -170,7 +174,7 @@ def validate_carts(submissions: DataFrame) -> DataFrame:
             "error_message": F.col("error_message"),
             "lines": F.col("lines"),
             "units": F.when(valid, F.aggregate("lines", F.lit(0).cast("bigint"), lambda t, x: t + x["quantity"])),
-            "fingerprint": F.when(valid, identity.cart_fingerprint("lines")),
+            "fingerprint": F.when(valid, identity.fingerprint("_json")),
         },
     )
 
