@@ -67,7 +67,8 @@ def rollup_dashboard_compacted(spark, d):
 
 def _index(spark, catalog):
     path = scratch_path(spark, "search")
-    search_index.build_index(catalog, path)
+    # a row makes dozens of postings, and the part table is one split: dealt to all cores, as `load_spread` does
+    search_index.build_index(catalog.repartition(spark.sparkContext.defaultParallelism), path)
     return search_index.read_index(spark, path, dict(catalog.dtypes)["id"])
 
 

@@ -157,3 +157,16 @@ def test_rollup_of_a_batch_ends_in_more_than_one_task(spark, tmp_path, monkeypat
     changed.write.parquet(f"{root}/monthly/batch_id=0")
     assert intake.compact_monthly(spark, f"{root}/monthly") == 0
     assert asked == []
+
+
+def test_postings_of_a_catalog_in_one_split_are_made_on_all_cores(spark, monkeypatch):
+    from stockweave.plans import stored
+
+    parts = []
+    build = search_index.build_index
+    monkeypatch.setattr(search_index, "build_index", lambda rows, path: parts.append(rows.rdd.getNumPartitions()) or build(rows, path))
+    catalog = spark.createDataFrame([(1, "Blue cap"), (2, "Red cap"), (3, None)], "id long, name string").coalesce(1)
+    index = stored._index(spark, catalog)
+    assert parts == [spark.sparkContext.defaultParallelism]
+    assert {r.id for r in search_index.candidates(index, "CAP").collect()} == {1, 2}
+    assert {r.id for r in search_index.candidates(index, "blue").collect()} == {1}
