@@ -21,7 +21,8 @@ def select_image_evidence(
 
     `products` has product_id, canonical_url and image_urls; a candidate is tried
     when it is https on an allowed host and the page is the product's. Candidates
-    are reduced with min/max per product, never collected.
+    are reduced with min/max per product, never collected. Pages and responses grow with the
+    products, and their size on disk says little of it, so no side is left to be broadcast.
     """
     page = pages.select(
         F.col("id").alias("product_id"),
@@ -31,7 +32,7 @@ def select_image_evidence(
         urls.url_key("source_url").alias("_page_key"),
         _no_null(F.array_contains("verified_fields", "image")).alias("source_image_verified"),
     )
-    rows = products.join(page, "product_id", "left").select(
+    rows = products.join(page.hint("merge"), "product_id", "left").select(
         "product_id",
         F.col("canonical_url").alias("source_url"),
         "image_urls",
@@ -47,7 +48,7 @@ def select_image_evidence(
     )
     allowed = F.col("image_url").startswith("https://") & urls.is_https_on("image_url", hosts)
     tried = candidates.filter(allowed).withColumn("candidate_no", F.col("candidate_no").cast("bigint"))
-    loaded = tried.join(responses, ["product_id", "candidate_no", "image_url"], "left")
+    loaded = tried.join(responses.hint("merge"), ["product_id", "candidate_no", "image_url"], "left")
     rendered = _no_null(F.col("loaded")) & _no_null(F.col("width") > 0)
     valid = rendered & _no_null(F.col("http_status") == 200) & is_image_type(F.col("content_type"))
     loaded = loaded.select(
@@ -58,7 +59,7 @@ def select_image_evidence(
     chosen = loaded.groupBy("product_id").agg(
         F.min(F.when(F.col("valid"), F.col("c"))).alias("good"), F.max("c").alias("last")
     )
-    joined = rows.join(chosen, "product_id", "left")
+    joined = rows.join(chosen.hint("merge"), "product_id", "left")
     good, pick = F.col("good").isNotNull(), F.coalesce("good", "last")
     tried_any = pick.isNotNull()
     first_image = F.try_element_at("image_urls", F.lit(1))
