@@ -10,6 +10,7 @@ from stockweave.functions.text import blank_if_null, let, strip
 # Query keys that never identify a product, and allowed image hosts.
 TRACKING_KEYS = ("gclid", "fbclid", "mc_cid", "mc_eid", "ref", "tag", "linkcode", "srsltid")
 TRACKING_PREFIXES = ("utm_", "ref_")
+_TRACKING = rf"\A(?:{'|'.join(TRACKING_PREFIXES)}|(?:{'|'.join(TRACKING_KEYS)})\z)"
 IMAGE_HOSTS = (
     "cdn.fcglcdn.com",
     "cdn.shopify.com",
@@ -31,14 +32,21 @@ IMAGE_HOSTS = (
 
 # The generic URI pattern of RFC 3986, appendix B: 1 scheme, 2 authority, 3 path, 4 query.
 URI = r"(?s)^(?:([A-Za-z][A-Za-z0-9+.\-]*):)?(?://([^/?#]*))?([^?#]*)(?:\?([^#]*))?(?:#.*)?$"
+# Visible ASCII: nothing to strip and nothing to drop.
+_CLEAN = r"\A[!-~]*\z"
 _MARK = "\u0001"
 SCHEME, AUTHORITY, PATH, QUERY = range(4)
 
 
 def _split(c) -> Column:
     """Scheme, authority, path and query in one pass over the URL."""
-    plain = F.translate(strip(blank_if_null(c)), "\t\r\n" + _MARK, "")
-    return F.split(F.regexp_replace(plain, URI, _MARK.join(("$1", "$2", "$3", "$4"))), _MARK)
+
+    def parts(url: Column) -> Column:
+        cleaned = F.translate(strip(url), "\t\r\n" + _MARK, "")
+        plain = F.when(url.rlike(_CLEAN), url).otherwise(cleaned)
+        return F.split(F.regexp_replace(plain, URI, _MARK.join(("$1", "$2", "$3", "$4"))), _MARK)
+
+    return let(blank_if_null(c), parts)
 
 
 def _host(authority: Column) -> Column:
@@ -69,20 +77,17 @@ def is_https_on(c, hosts: tuple[str, ...]) -> Column:
 
 
 def _decode(text: Column) -> Column:
-    return F.coalesce(F.try_url_decode(text), F.replace(text, F.lit("+"), F.lit(" ")))
+    decoded = F.coalesce(F.try_url_decode(text), F.replace(text, F.lit("+"), F.lit(" ")))
+    return F.when(text.rlike("[%+]"), decoded).otherwise(text)
 
 
 def _encode(text: Column) -> Column:
     encoded = F.replace(F.url_encode(text), F.lit("%7E"), F.lit("~"))
-    return F.replace(encoded, F.lit("*"), F.lit("%2A"))
+    return F.when(text.rlike("[^A-Za-z0-9._-]"), F.replace(encoded, F.lit("*"), F.lit("%2A"))).otherwise(text)
 
 
 def _is_tracking(key: Column) -> Column:
-    lowered = F.lower(key)
-    found = lowered.isin(*TRACKING_KEYS)
-    for prefix in TRACKING_PREFIXES:
-        found = found | lowered.startswith(prefix)
-    return found
+    return F.lower(key).rlike(_TRACKING)
 
 
 def _query_pair(text: Column) -> Column:

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stockweave.functions import text, urls
-from stockweave.operators.feed_rules import Item, key_feed, product_columns, validate_feed
+from stockweave.operators.feed_rules import Item, key_feed, key_of, product_columns, validate_feed
 from stockweave.schemas import LEDGER
 from stockweave.session import settle, settle_table
 
@@ -52,7 +52,7 @@ def _keys(**by_rule: Column) -> Column:
 
 def _blank_key(key: Column) -> Column:
     """The key of a missing URL is no key."""
-    return F.nullif(key, F.lit("/"))
+    return text.let(key, lambda k: F.when(k != "/", k))
 
 
 def with_keys(validated: DataFrame) -> DataFrame:
@@ -69,7 +69,7 @@ def with_keys(validated: DataFrame) -> DataFrame:
         "_group": text.blank_if_null("category"),
         "_variants": F.concat(_variant_keys(item.strings("sizes")), color),
         "_image": urls.url_key(image),
-        "_canonical": F.when(item.truthy("canonical_url"), _blank_key(urls.url_key(item.text("canonical_url")))),
+        "_canonical": F.when(item.truthy("canonical_url"), _blank_key(key_of(item.text("canonical_url")))),
     }
     validated = validated.withColumns(parts)
     product = _product_key(*[F.col(n) for n in ("_name", "_brand", "_group", "_variants", "_image")])
@@ -81,7 +81,7 @@ def with_keys(validated: DataFrame) -> DataFrame:
         own_id=F.col("product_id"),
     )
     registered = _keys(
-        url=_blank_key(F.col("source_key")),
+        url=F.nullif(F.col("source_key"), F.lit("/")),
         identity=_pair(F.col("store"), F.col("source_id")),
         product=F.when((F.col("_group") != "") & (F.col("image_url") != ""), F.col("_product")),
     )

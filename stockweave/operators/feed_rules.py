@@ -61,27 +61,30 @@ class Item:
 
     All fields are taken out in one cast (`unpack`): a path that leads nowhere is
     slow to follow, and most items lack most fields. Their JSON text then answers
-    for type and emptiness.
+    for type and emptiness; their value as text is taken once, however many rules read it.
     """
 
     def __init__(self, name: str = "item", unpacked: str = "_fields"):
         self.name = name
         self.unpacked = unpacked
         self.texts = unpacked + "_json"
+        self.values = unpacked + "_text"
 
     def unpack(self, rows: DataFrame, fields: tuple[str, ...] = FIELDS) -> DataFrame:
         shape = "struct<" + ",".join(f"{f}:variant" for f in fields) + ">"
         rows = rows.withColumn(self.unpacked, F.try_variant_get(self.name, "$", shape))
-        return rows.withColumn(self.texts, F.struct(*[F.to_json(self.raw(f)).alias(f) for f in fields]))
+        values = [F.try_variant_get(self.raw(f), "$", "string").alias(f) for f in fields]
+        texts = [F.to_json(self.raw(f)).alias(f) for f in fields]
+        return rows.withColumns({self.texts: F.struct(*texts), self.values: F.struct(*values)})
 
     def drop(self, rows: DataFrame) -> DataFrame:
-        return rows.drop(self.unpacked, self.texts)
+        return rows.drop(self.unpacked, self.texts, self.values)
 
     def raw(self, field: str) -> Column:
         return F.col(self.unpacked)[field]
 
     def text(self, field: str) -> Column:
-        return F.try_variant_get(self.raw(field), "$", "string")
+        return F.col(self.values)[field]
 
     def list(self, field: str) -> Column:
         return F.try_variant_get(self.raw(field), "$", "array<variant>")
@@ -152,6 +155,11 @@ def key_feed(feed: DataFrame) -> DataFrame:
     return item.drop(keyed)
 
 
+def key_of(url: Column) -> Column:
+    """The key of a URL beside a keyed row; most often it is the row's own URL, whose key is there."""
+    return F.when(url == F.col("source_url"), F.col("source_key")).otherwise(urls.url_key(url))
+
+
 def join_evidence(keyed: DataFrame, pages: DataFrame, images: DataFrame) -> DataFrame:
     """Page and image evidence of each row's code; both sides hold one row per code.
 
@@ -250,7 +258,7 @@ def validate_feed(keyed: DataFrame, pages: DataFrame, images: DataFrame) -> Data
         "evidence_ok",
         _no_null(image["status"] == "verified")
         & _no_null(image["image_url"] == F.col("image_url"))
-        & _no_null(urls.url_key(image["source_url"]) == F.col("source_key"))
+        & _no_null(key_of(image["source_url"]) == F.col("source_key"))
         & _no_null(image["http_status"] == 200)
         & is_image_type(image["content_type"])
         & _no_null(image["https"])
@@ -263,7 +271,7 @@ def validate_feed(keyed: DataFrame, pages: DataFrame, images: DataFrame) -> Data
     no_details = F.size("details") == 0
     has_description = item.truthy("description")
     host_ok = urls.is_https_on("image_url", urls.IMAGE_HOSTS)
-    page_url = urls.url_key(page["source_url"])
+    page_url = key_of(page["source_url"])
 
     def fails(condition: Column, reason) -> Column:
         return F.when(condition, F.lit(reason) if isinstance(reason, str) else reason)

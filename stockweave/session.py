@@ -15,6 +15,8 @@ ADAPTIVE = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
 }
+# Steps with much work per row: several tasks a core, as one more than there are cores would take two rounds.
+TASKS_PER_CORE = 4
 
 
 def build_session(app: str = "stockweave", master: str | None = None, **conf) -> SparkSession:
@@ -31,6 +33,8 @@ def tune(spark: SparkSession) -> SparkSession:
     """Apply the adaptive defaults to a session somebody else made."""
     for key, value in ADAPTIVE.items():
         spark.conf.set(key, value)
+    least = TASKS_PER_CORE * spark.sparkContext.defaultParallelism
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.minPartitionNum", str(least))
     return spark
 
 

@@ -1,3 +1,6 @@
+import random
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -52,6 +55,13 @@ def test_text_keys_and_labels(spark):
     assert folded == ["Àb"]
 
 
+def test_runs_become_one_space_as_by_the_plain_patterns(spark):
+    rng = random.Random(3)
+    inputs = ["", " ", "a b", *["".join(rng.choices(" \t\u3000\x1cab-é", k=rng.randrange(9))) for _ in range(300)]]
+    assert values(spark, inputs, text.squash) == [re.sub(f"[{text.SPACES}]+", " ", x).strip(" ") for x in inputs]
+    assert values(spark, inputs, text.text_key) == [re.sub("[^a-z0-9]+", " ", x).strip(" ") for x in inputs]
+
+
 def test_descriptions(spark):
     long = "A soft cotton shirt with a regular fit and long sleeves."
     check = lambda c: text.meaningful_description(c, F.lit(long + "!"))

@@ -161,3 +161,30 @@ def test_lines_unfolded_from_few_runs_are_not_broadcast(spark):
     assert re.search(r"SortMergeJoin\(?.*\[_rank", text) and not re.search(r"BroadcastHashJoin \[_rank", text)
     # the runs of a month stay in as many parts as there are shuffle partitions
     assert "REPARTITION_BY_NUM" in text
+
+
+def test_own_url_is_keyed_once(spark):
+    from stockweave.functions import urls
+    from stockweave.operators import feed as M
+    from stockweave.operators import feed_rules as R
+    from stockweave.schemas import IMAGE_EVIDENCE, PAGE_EVIDENCE
+
+    feed = spark.createDataFrame([(0, "{}")], "pos long, t string").select("pos", F.parse_json("t").alias("item"))
+    none = [spark.createDataFrame([], schema) for schema in (PAGE_EVIDENCE, IMAGE_EVIDENCE)]
+    rows = M.with_keys(R.validate_feed(R.key_feed(feed), *none))
+    text = rows._jdf.queryExecution().optimizedPlan().toString()
+    # own URL, first image, canonical, page and image evidence, two checks of hosts
+    assert text.count(urls.URI) <= 7
+    # the last three are keyed only where they are not the row's own URL
+    assert len(re.findall(r"= source_url#\d+\) THEN source_key#\d+", text)) == 3
+
+
+def test_image_evidence_broadcasts_no_growing_side(spark, tables):
+    from stockweave.plans import imports
+
+    assert "BroadcastHashJoin" not in plan(imports.image_evidence(spark, tables))
+
+
+def test_steps_keep_several_tasks_a_core(spark):
+    least = int(tune(spark).conf.get("spark.sql.adaptive.coalescePartitions.minPartitionNum"))
+    assert least > 2 * spark.sparkContext.defaultParallelism
