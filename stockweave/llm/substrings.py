@@ -94,21 +94,25 @@ class Prefixes:
 
     def __init__(self, data: np.ndarray) -> None:
         self.data = data
-        up, self.down = _Powers.get(len(data) + 1)
+        self.up, self.down = _Powers.get(len(data) + 1)
         self.sums = np.zeros(len(data) + 1, np.uint64)
-        np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[: len(data)], out=self.sums[1:])
+        np.cumsum((data.astype(np.uint64) + np.uint64(1)) * self.up[: len(data)], out=self.sums[1:])
 
     def of(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         return (self.sums[end] - self.sums[start]) * self.down[start]
 
     def common(self, a: np.ndarray, b: np.ndarray, most: int) -> np.ndarray:
         """Length of the common extension of the suffixes at `a` and `b`, up to `most`."""
-        low, high = np.zeros(len(a), np.int64), np.full(len(a), most, np.int64)
-        sums, from_a, from_b, down_a, down_b = self.sums, self.sums[a], self.sums[b], self.down[a], self.down[b]
-        for _ in range(int(most).bit_length()):
-            middle = (low + high + 1) >> 1
-            same = (sums[a + middle] - from_a) * down_a == (sums[b + middle] - from_b) * down_b
-            low, high = np.where(same, middle, low), np.where(same, high, middle - 1)
+        low = np.zeros(len(a), np.int64)
+        # equal where the difference of sums, one side times a power of the base, is the one before the suffixes
+        power = self.down[a] * self.up[b]
+        before = self.sums[a] * power - self.sums[b]
+        step = 1 << (int(most).bit_length() - 1)
+        while step:
+            middle = np.minimum(low + step, most)
+            same = self.sums.take(a + middle) * power - self.sums.take(b + middle) == before
+            low = np.where(same, middle, low)
+            step >>= 1
         return low
 
 
