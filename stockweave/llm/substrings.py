@@ -9,15 +9,17 @@ the string alone, so equal strings have equal anchors at equal offsets. The star
 strings that share an anchor form a stretch, and the bytes those strings cover are the
 anchor's context. That leaves one row per some thirty bytes instead of one per byte.
 
-1. Anchor hashes that occur once are dropped: counts per hash, and a filter of bounded size
-   (`FILTER_BITS`) that the tasks of the next pass look into. Where it is too small for
-   the corpus it lets more rows through and changes no result.
+1. Anchor hashes that occur once are dropped: every task hands on its hashes sorted, as one array
+   per bin of them, the arrays of a bin meet in one task, and a filter of bounded size
+   (`FILTER_BITS`) of those that repeat is what the tasks of the next pass look into. Where it is
+   too small for the corpus it lets more rows through and changes no result.
 2. Equal contexts are classes: all members but the earliest go, over the whole context.
    Members in the same chunk of a task are settled there, each compared byte by byte with the
    first, so that a passage in a third of all documents leaves one row per chunk; the others
    meet by a cryptographic digest of 128 bits in an aggregate for the earliest and a join for the rest.
 3. Different contexts of one anchor (where copies begin, end or differ) are compared as
-   suffixes. They are merge-sorted by comparisons that find the common extension of two
+   suffixes. Those that have a hash of their first `LENGTH` bytes in common with another one of
+   the anchor and offset are merge-sorted by comparisons that find the common extension of two
    suffixes by binary search over prefix polynomial hashes, a logarithmic number of probes,
    and then look at one byte. Neighbours in that order that share `LENGTH` bytes are compared
    byte by byte before the later one goes. Anchors with more than `PART` contexts are dealt
@@ -50,12 +52,17 @@ from stockweave.session import settle_table
 
 LENGTH = 100
 GRAM = 32
-# filters of repeated anchors: bits per key up to a fixed size of 16 MiB
+# filters of repeated anchors: bits per key up to a fixed size of 32 MiB
 BITS_PER_KEY = 12
-FILTER_BITS = 1 << 27
+FILTER_BITS = 1 << 28
+# hashes of anchors are counted in so many bins, a power of two; a task hands on its bins after so many hashes
+BINS = 2_048
+HELD_GRAMS = 1 << 20
 # most contexts of an anchor that one task compares
 PART = 2_048
 CHUNK_BYTES = 2 << 20
+# starts whose anchors are found in one go
+BLOCK = 1 << 15
 # contexts that are compared in one go
 SORT_ROWS = 8_192
 LAST = (1 << 63) - 1
@@ -64,6 +71,8 @@ _BASE = 0x9E3779B97F4A7C15
 _M64 = (1 << 64) - 1
 # the lower half of a rank is a place: enough for any text
 _PLACE = np.uint64((1 << 32) - 1)
+# a key's bin is in its upper bits
+_BIN = np.uint64(65 - BINS.bit_length())
 
 
 def _powers(base: int, n: int) -> np.ndarray:
@@ -89,6 +98,11 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
+def _key(grams: np.ndarray) -> np.ndarray:
+    """Hashes of anchors, one to one, with even upper bits: those of an anchor are small, as it is the smallest."""
+    return _mix(grams + np.uint64(_BASE))
+
+
 class Prefixes:
     """Prefix hashes of a byte array; the hash of any substring in constant time."""
 
@@ -103,47 +117,71 @@ class Prefixes:
 
     def common(self, a: np.ndarray, b: np.ndarray, most: int) -> np.ndarray:
         """Length of the common extension of the suffixes at `a` and `b`, up to `most`."""
-        low = np.zeros(len(a), np.int64)
         # equal where the difference of sums, one side times a power of the base, is the one before the suffixes
         power = self.down[a] * self.up[b]
         before = self.sums[a] * power - self.sums[b]
+        found = np.full(len(a), most, np.int64)
+        differ = np.flatnonzero(self.sums.take(a + most) * power - self.sums.take(b + most) != before)
+        a, b, power, before = a[differ], b[differ], power[differ], before[differ]
+        low = np.zeros(len(a), np.int64)
         step = 1 << (int(most).bit_length() - 1)
-        while step:
+        while step and len(a):
             middle = np.minimum(low + step, most)
             same = self.sums.take(a + middle) * power - self.sums.take(b + middle) == before
             low = np.where(same, middle, low)
             step >>= 1
-        return low
+        found[differ] = low
+        return found
 
 
 def _anchors(texts: list[bytes]) -> tuple[np.ndarray, ...]:
     """Per anchor of every text: text number, first start, stretch (starts - 1), offset of the anchor, hash; and the bytes' offsets."""
     sizes = np.array([len(t) for t in texts], np.int64)
     at = np.concatenate([[0], np.cumsum(sizes)])
-    data = np.frombuffer(b"".join(texts), np.uint8)
-    n, width = len(data), LENGTH - GRAM + 1
-    starts = n - LENGTH + 1
-    if starts <= 0:
+    heads = at[:-1][sizes >= LENGTH]
+    if not len(heads):
         return (*[np.zeros(0, np.int64)] * 4, np.zeros(0, np.uint64), at)
-    prefixes = Prefixes(data)
-    place = np.arange(n - GRAM + 1)
-    grams = _mix(prefixes.of(place, place + GRAM))
+    data = np.frombuffer(b"".join(texts), np.uint8)
+    blocks = [_block_anchors(data, a, heads) for a in range(0, len(data) - LENGTH + 1, BLOCK)]
+    low, held, grams = (np.concatenate(x) for x in zip(*blocks))
+    text = np.searchsorted(at, low, "right") - 1
+    last = at[text + 1] - LENGTH
+    # other strings would run on into the next text
+    whole = np.flatnonzero(low <= last)
+    text, low, held, grams, last = (x[whole] for x in (text, low, held, grams, last))
+    end = np.minimum(np.append(low[1:] - 1, len(data)), last)
+    return text, low - at[text], end - low, held - low, grams, at
+
+
+def _block_anchors(data: np.ndarray, begin: int, heads: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The starts from `begin` on, BLOCK of them, whose anchor is not that of the start before or that are in `heads`;
+    the places and hashes of their anchors. A block's arrays stay in a core's cache."""
+    before = min(begin, 1)
+    part = data[begin - before : begin + BLOCK + LENGTH - 1]
+    up, down = _Powers.get(BLOCK + LENGTH)
+    values = part.astype(np.uint64)
+    values += np.uint64(1)
+    values *= up[: len(part)]
+    sums = np.zeros(len(part) + 1, np.uint64)
+    np.cumsum(values, out=sums[1:])
+    grams = sums[GRAM:] - sums[:-GRAM]
+    grams *= down[: len(grams)]
+    grams = _mix(grams)
     # the upper bits of the hash, and the place so that the leftmost of equals is smallest
-    ranked = (grams & ~_PLACE) | (place.astype(np.uint64) & _PLACE)
-    padded = np.concatenate([ranked, np.full(-len(ranked) % width, _M64, np.uint64)]).reshape(-1, width)
-    ahead = np.minimum.accumulate(padded, axis=1).ravel()
-    behind = np.minimum.accumulate(padded[:, ::-1], axis=1)[:, ::-1].ravel()
-    least = np.minimum(behind[:starts], ahead[width - 1 : width - 1 + starts])
-    text = np.repeat(np.arange(len(texts)), sizes)
-    p = np.flatnonzero(text[:starts] == text[LENGTH - 1 :])
-    # the place of the minimum from its lower bits: it lies within the string that starts at p
-    anchor = p + ((least[p] - p.astype(np.uint64)) & _PLACE).astype(np.int64)
-    new = np.ones(len(p), bool)
-    new[1:] = (anchor[1:] != anchor[:-1]) | (p[1:] != p[:-1] + 1) | (text[p[1:]] != text[p[:-1]])
+    least = grams & ~_PLACE
+    least |= np.arange(len(grams), dtype=np.uint64)
+    # the smallest of two, four, eight ... places, then of all places of a string
+    places, width = LENGTH - GRAM + 1, 1
+    while 2 * width <= places:
+        least = np.minimum(least[:-width], least[width:])
+        width *= 2
+    least = np.minimum(least[: len(least) - places + width], least[places - width :])
+    new = np.zeros(len(least), bool)
+    np.not_equal(least[1:], least[:-1], out=new[1:])
+    new[heads[np.searchsorted(heads, begin) : np.searchsorted(heads, begin + BLOCK)] - begin + before] = True
     first = np.flatnonzero(new)
-    stretch = np.diff(np.append(first, len(p))) - 1
-    low, held = p[first], anchor[first]
-    return text[low], low - at[text[low]], stretch, held - low, grams[held], at
+    held = (least[first] & _PLACE).astype(np.int64)
+    return first + (begin - before), held + (begin - before), grams[held]
 
 
 def _chunks(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[pd.DataFrame, list[bytes]]]:
@@ -157,39 +195,90 @@ def _chunks(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[pd.DataFrame, lis
             yield rows.iloc[a:b], texts[a:b]
 
 
+def _binned(grams: list[np.ndarray]) -> pd.DataFrame:
+    """A row per bin of `grams`: their `_key`s, sorted, those that occur more than twice twice."""
+    keys = np.sort(_key(np.concatenate(grams)))
+    thrice = np.zeros(len(keys), bool)
+    thrice[2:] = (keys[2:] == keys[1:-1]) & (keys[2:] == keys[:-2])
+    keys = keys[~thrice]
+    bins, first = np.unique(keys >> _BIN, return_index=True)
+    return pd.DataFrame({"bin": bins.astype(np.int32), "grams": [x.tobytes() for x in np.split(keys, first[1:])] if len(keys) else []})
+
+
+def _in_bins(arrays: Iterator[np.ndarray]) -> Iterator[pd.DataFrame]:
+    """The bins of some million hashes at a time."""
+    held: list[np.ndarray] = []
+    for grams in arrays:
+        held.append(grams)
+        if sum(map(len, held)) >= HELD_GRAMS:
+            yield _binned(held)
+            held = []
+    if held:
+        yield _binned(held)
+
+
 def _count_grams(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for _, texts in _chunks(batches):
-        grams, n = np.unique(_anchors(texts)[4], return_counts=True)
-        yield pd.DataFrame({"gram": grams.view(np.int64), "n": n})
+    return _in_bins(_anchors(texts)[4] for _, texts in _chunks(batches))
 
 
-def _probe_bits(grams: np.ndarray, bits: int) -> list[np.ndarray]:
-    x = grams.view(np.uint64)
-    return [x % np.uint64(bits), _mix(x + np.uint64(_BASE)) % np.uint64(bits), _mix(x ^ np.uint64(_M64 >> 1)) % np.uint64(bits)]
+def _bin_grams(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    return _in_bins(rows["gram"].to_numpy(np.int64).view(np.uint64) for rows in batches)
 
 
-def _gram_filter(grams: DataFrame) -> np.ndarray:
-    """A filter of the hashes in `grams` (gram), of at most FILTER_BITS bits."""
-    words = max(1, min(FILTER_BITS, grams.count() * BITS_PER_KEY) // 64)
+def _each_bin(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[int, np.ndarray]]:
+    """Bins with all their keys, from rows sorted by bin."""
+    held: list[bytes] = []
+    now = None
+    for rows in batches:
+        for at, grams in zip(rows["bin"].tolist(), rows["grams"]):
+            if held and at != now:
+                yield now, np.frombuffer(b"".join(held), np.uint64)
+                held = []
+            now = at
+            held.append(grams)
+    if held:
+        yield now, np.frombuffer(b"".join(held), np.uint64)
+
+
+def _repeated_grams(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for at, keys in _each_bin(batches):
+        keys = np.sort(keys)
+        yield pd.DataFrame({"bin": [at], "grams": [np.unique(keys[1:][keys[1:] == keys[:-1]]).tobytes()]})
+
+
+def _met_per_bin(rows: DataFrame) -> DataFrame:
+    """All rows of a bin one after the other in one task; a bin holds a small even share of the hashes."""
+    return rows.repartition("bin").sortWithinPartitions("bin")
+
+
+def _probe_bits(keys: np.ndarray, bits: int) -> list[np.ndarray]:
+    """Places of a key's bits in its bin, which has so many."""
+    return [x % np.uint64(bits) for x in (keys, _mix(keys + np.uint64(_BASE)), _mix(keys ^ np.uint64(_M64 >> 1)))]
+
+
+def _gram_filter(binned: DataFrame) -> np.ndarray:
+    """A filter of the keys in `binned` (bin, grams; met per bin), of at most FILTER_BITS bits: a row of words per bin."""
+    n = binned.agg(F.sum(F.octet_length("grams"))).first()[0] or 0
+    words = max(1, min(FILTER_BITS, n // 8 * BITS_PER_KEY) // 64 // BINS)
 
     def own(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for rows in batches:
-            bits = np.unique(np.concatenate(_probe_bits(rows["gram"].to_numpy(), 64 * words)))
-            word, first = np.unique(bits >> np.uint64(6), return_index=True)
-            each = np.uint64(1) << (bits & np.uint64(63))
-            joined = np.bitwise_or.reduceat(each, first) if len(each) else each
-            yield pd.DataFrame({"word": word.astype(np.int64), "bits": joined.view(np.int64)})
-
-    got = grams.mapInPandas(own, "word long, bits long").groupBy("word").agg(F.bit_or("bits").alias("bits")).toPandas()
-    out = np.zeros(words, np.uint64)
-    out[got["word"].to_numpy(np.int64)] = got["bits"].to_numpy(np.int64).view(np.uint64)
+        for at, keys in _each_bin(batches):
+            bits = np.zeros(64 * words, np.uint8)
+            bits[np.concatenate(_probe_bits(keys, 64 * words)).astype(np.int64)] = 1
+            yield pd.DataFrame({"bin": [at], "bits": [np.packbits(bits, bitorder="little").tobytes()]})
+
+    out = np.zeros((BINS, words), np.uint64)
+    for at, bits in binned.mapInPandas(own, "bin int, bits binary").toPandas().itertuples(index=False):
+        out[at] |= np.frombuffer(bits, "<u8")
     return out
 
 
 def _in_filter(grams: np.ndarray, words: np.ndarray) -> np.ndarray:
-    found = np.ones(len(grams), bool)
-    for at in _probe_bits(grams, 64 * len(words)):
-        found &= (words[at >> np.uint64(6)] >> (at & np.uint64(63))) & np.uint64(1) == 1
+    keys = _key(grams)
+    first = (keys >> _BIN) * np.uint64(words.shape[1])
+    found = np.ones(len(keys), bool)
+    for at in _probe_bits(keys, 64 * words.shape[1]):
+        found &= (words.ravel()[first + (at >> np.uint64(6))] >> (at & np.uint64(63))) & np.uint64(1) == 1
     return found
 
 
@@ -278,12 +367,16 @@ def merge_sort(prefixes: Prefixes, where: np.ndarray, bucket: np.ndarray) -> np.
 
     Runs of all buckets double together. An element's place in a merged run is its place
     in its own run plus the number of smaller elements in the other, found by binary search.
+    A bucket that is in order, as each element is compared with the one before, is one run.
     """
     order = np.arange(len(where))
     first = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]])
     size = np.diff(np.r_[first, len(where)])
     at, n = np.repeat(first, size), np.repeat(size, size)
-    live = np.flatnonzero(n > 1)
+    inner = np.flatnonzero(bucket[1:] == bucket[:-1])
+    unsorted = np.zeros(len(where), bool)
+    unsorted[at[inner[_less(prefixes, where, inner + 1, inner)]]] = True
+    live = np.flatnonzero(unsorted[at])
     run = 1
     while len(live):
         local = live - at[live]
@@ -342,6 +435,20 @@ def _weighted(data: np.ndarray, start: np.ndarray) -> np.ndarray:
     return out.view(np.int64)
 
 
+def _classes(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the values that occur more than once, equal ones in a row and in order, and the class of each.
+
+    A class is told by the upper bits of a value only, so unlike ones may share it."""
+    bits = np.uint64(len(values).bit_length())
+    order = np.sort(values >> bits << bits | np.arange(len(values), dtype=np.uint64))
+    kind = order >> bits
+    same = np.zeros(len(values) + 1, bool)
+    np.equal(kind[1:], kind[:-1], out=same[1:-1])
+    met = np.flatnonzero(same[1:] | same[:-1])
+    kind = kind[met]
+    return (order[met] & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int64), kind
+
+
 def _compare_contexts(rows: pd.DataFrame) -> pd.DataFrame:
     """For the contexts of whole (gram, part) groups: spans of strings that start earlier (lost), and what
     is left of the strings of anchors in several parts, one by one."""
@@ -354,27 +461,27 @@ def _compare_contexts(rows: pd.DataFrame) -> pd.DataFrame:
     context = np.repeat(np.arange(len(rows)), n)
     step = np.arange(len(context)) - np.repeat(np.cumsum(n) - n, n)
     offset = rows["shape"].to_numpy(np.int64) % LENGTH
-    group = pd.factorize(pd.MultiIndex.from_frame(rows[["gram", "part"]]))[0]
-    # strings can only be equal where the anchor is at the same offset
-    bucket = group[context] * LENGTH + (offset[context] - step)
-    by_bucket = np.argsort(bucket, kind="stable")
-    where, bucket = (at[context] + step)[by_bucket], bucket[by_bucket]
+    # strings can only be equal where the anchor is at the same offset and their hashes are equal: one whose hash
+    # none of these has equals none and is left out of the sort
+    group = _mix(_mix(rows["gram"].to_numpy(np.int64).view(np.uint64)) + rows["part"].to_numpy(np.uint64)) + offset.astype(np.uint64)
+    place = np.repeat(at, n) + step
     prefixes = Prefixes(data)
+    hashes = _mix(prefixes.of(place, place + LENGTH) + _mix(np.repeat(group, n) - step.astype(np.uint64)))
+    meets, bucket = _classes(hashes)
+    where = place[meets]
     order = merge_sort(prefixes, where, bucket)
     later, earlier = order[1:], order[:-1]
     same = np.flatnonzero(bucket[later] == bucket[earlier])
     a, b = where[later[same]], where[earlier[same]]
     shared = prefixes.common(a, b, LENGTH) == LENGTH
     same, a, b = same[shared], a[shared], b[shared]
-    chained = np.lexsort((b - a, a))  # strings of one context one after the other
+    chained = np.argsort(a)  # strings of one context one after the other; each is in one pair as the later one
     sure = np.zeros(len(a), bool)
     sure[chained] = _equal_bytes(data, a[chained], b[chained])
     if not sure.all():
         raise ArithmeticError("two different strings have equal hashes; use another base")
-    lost = np.zeros(len(where), bool)
-    lost[later[same]] = True
-    back = np.zeros(len(where), bool)
-    back[by_bucket] = lost
+    lost = np.zeros(len(place), bool)
+    lost[meets[later[same]]] = True
     begin = rows["start"].to_numpy()[context] + step
 
     def picked(first: np.ndarray, last: np.ndarray, gone: bool) -> pd.DataFrame:
@@ -383,15 +490,15 @@ def _compare_contexts(rows: pd.DataFrame) -> pd.DataFrame:
         found = pd.DataFrame({**columns, "start": begin[first], "end": begin[last] + LENGTH, "lost": gone})
         if gone:
             return found.assign(string=0, check=0)
-        place = at[of] + step[first]
-        return found.assign(string=_mix(prefixes.of(place, place + LENGTH)).view(np.int64), check=_weighted(data, place))
+        string = place[first]
+        return found.assign(string=_mix(prefixes.of(string, string + LENGTH)).view(np.int64), check=_weighted(data, string))
 
-    gone = np.flatnonzero(back)
+    gone = np.flatnonzero(lost)
     new = np.ones(len(gone), bool)
     new[1:] = (gone[1:] != gone[:-1] + 1) | (context[gone[1:]] != context[gone[:-1]])
     first = np.flatnonzero(new)
     spans = picked(gone[first], gone[np.append(first[1:], len(gone)) - 1] if len(gone) else gone, True)
-    open_ = np.flatnonzero(~back & (rows["parts"].to_numpy()[context] > 1))
+    open_ = np.flatnonzero(~lost & (rows["parts"].to_numpy()[context] > 1))
     return pd.concat([spans, picked(open_, open_, False)])
 
 
@@ -432,9 +539,9 @@ def _merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
 
 def repeated_spans(docs: DataFrame) -> DataFrame:
     """doc, tie and s, e (a span to remove; spans may overlap) for `docs` (doc, tie, text)."""
-    counts = docs.select("text").mapInPandas(_count_grams, "gram long, n long")
-    repeated = counts.groupBy("gram").agg(F.sum("n").alias("n")).filter("n > 1").select("gram")
-    repeated = settle_table(repeated, "substring-grams")
+    binned = "bin int, grams binary"
+    counts = _met_per_bin(docs.select("text").mapInPandas(_count_grams, binned))
+    repeated = settle_table(counts.mapInPandas(_repeated_grams, binned), "substring-grams")
     members = settle_table(docs.mapInPandas(_members(_gram_filter(repeated), False), _MEMBER), "substring-members")
     settled, open_ = members.filter("gram IS NULL"), members.filter("gram IS NOT NULL").drop("end")
 
@@ -448,7 +555,8 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     # anchors with several contexts: compared as suffixes
     several = classes.groupBy("gram").agg(F.count("*").alias("n")).filter("n > 1")
     several = settle_table(several.select("gram", F.ceil(F.col("n") / PART).cast("int").alias("parts")), "substring-several")
-    contexts = docs.mapInPandas(_members(_gram_filter(several), True), _CONTEXT)
+    wanted = settle_table(_met_per_bin(several.select("gram").mapInPandas(_bin_grams, binned)), "substring-wanted")
+    contexts = docs.mapInPandas(_members(_gram_filter(wanted), True), _CONTEXT)
     dealt = contexts.join(several, "gram").withColumn("part", F.pmod(F.xxhash64("doc", "tie"), F.col("parts")).cast("int"))
     strings = dealt.repartition("gram", "part").sortWithinPartitions("gram", "part").mapInPandas(
         _sort_parts, "doc long, tie int, gram long, start int, end int, lost boolean, string long, check long"

@@ -3,6 +3,7 @@ import random
 from collections import Counter
 
 import numpy as np
+import pandas as pd
 import pytest
 
 from stockweave.llm import substrings
@@ -98,3 +99,92 @@ def test_common_extension(most):
     prefixes = substrings.Prefixes(np.frombuffer(data, np.uint8))
     found = prefixes.common(np.array([0, 9]), np.array([3, 10]), most)
     assert found.tolist() == [min(most, 5), most]
+
+
+def rows_of(texts, gram=7, parts=1):
+    """Contexts of one anchor, in the middle of 101 bytes."""
+    each = {"gram": gram, "part": 0, "parts": parts, "shape": 1 * substrings.LENGTH + 40, "tie": 0, "start": 0}
+    return pd.DataFrame([{**each, "doc": i, "bytes": t} for i, t in enumerate(texts)])
+
+
+def lost(found):
+    return sorted(zip(found[found["lost"]]["doc"], found[found["lost"]]["start"], found[found["lost"]]["end"]))
+
+
+def test_strings_that_meet_no_other_are_not_sorted(monkeypatch):
+    rnd = random.Random(2)
+    middle = bytes(rnd.choice(b"abc") for _ in range(40))
+    texts = [bytes(rnd.choice(b"xyz") for _ in range(30)) + middle + bytes(rnd.choice(b"xyz") for _ in range(31)) for _ in range(200)]
+    compared = []
+    common = substrings.Prefixes.common
+    monkeypatch.setattr(substrings.Prefixes, "common", lambda self, a, b, most: (compared.append(len(a)), common(self, a, b, most))[1])
+    assert lost(substrings._compare_contexts(rows_of(texts))) == []
+    assert sum(compared) == 0
+    # the first string of the last text is that of the first, its second is not
+    texts.append(texts[0][:100] + b"w")
+    assert lost(substrings._compare_contexts(rows_of(texts))) == [(200, 0, 100)]
+    assert 0 < sum(compared) < 10
+
+
+def test_unlike_strings_of_a_class_are_told_apart(monkeypatch):
+    rnd = random.Random(4)
+    base = [bytes(rnd.choice(b"ab") for _ in range(101)) for _ in range(3)]
+    texts = [rnd.choice(base)[:100] + rnd.choice([b"a", b"b"]) for _ in range(30)]
+    wanted = substrings._compare_contexts(rows_of(texts))
+    monkeypatch.setattr(substrings, "_classes", lambda values: (np.arange(len(values)), np.zeros(len(values), np.int64)))
+    found = substrings._compare_contexts(rows_of(texts))
+    assert lost(wanted) and lost(found) == lost(wanted)
+
+
+def test_classes_are_in_order():
+    values = np.array([9, 4, 9, 7, 4, 9, 1], np.uint64) << np.uint64(32)
+    places, kinds = substrings._classes(values)
+    assert places.tolist() == [1, 4, 0, 2, 5]
+    assert kinds[0] == kinds[1] != kinds[2] == kinds[3] == kinds[4]
+    assert [len(x) for x in substrings._classes(values[:0])] == [0, 0]
+
+
+@pytest.mark.parametrize("block", [1, 7, 100, 1 << 15])
+def test_anchors_do_not_depend_on_blocks(monkeypatch, block):
+    monkeypatch.setattr(substrings, "BLOCK", block)
+    rnd = random.Random(6)
+    sizes = [0, 99, 100, 101, 5, 350, 100]
+    texts = [bytes(rnd.choice(b"ab") for _ in range(n)) for n in sizes] + [b"a" * 150]
+    text, start, stretch, offset, grams, _ = substrings._anchors(texts)
+    place = np.arange(substrings.LENGTH - substrings.GRAM + 1)
+    wanted = []
+    for i, data in enumerate(texts):
+        for p in range(len(data) - substrings.LENGTH + 1):
+            string = substrings.Prefixes(np.frombuffer(data[p : p + substrings.LENGTH], np.uint8))
+            hashes = substrings._mix(string.of(place, place + substrings.GRAM))
+            at = int(np.argmin(hashes >> np.uint64(32)))
+            if p and wanted[-1][0] == i and wanted[-1][1] + wanted[-1][3] == p + at:
+                wanted[-1][2] += 1
+            else:
+                wanted.append([i, p, 0, at, hashes[at]])
+    assert [list(x) for x in zip(text, start, stretch, offset, grams)] == wanted
+
+
+def test_bins_count_over_tasks():
+    rnd = random.Random(8)
+    once = [rnd.randrange(1 << 64) for _ in range(3000)]
+    tasks = [np.array([*once[:1000], *[5] * 400], np.uint64), np.array([*once[900:2000], 6], np.uint64), np.array([*once[2000:], 6], np.uint64)]
+    rows = pd.concat([b for t in tasks for b in substrings._in_bins(iter([t]))])
+    assert rows["grams"].str.len().sum() // 8 == 3000 + 100 + 2 + 2  # a hash that a task has often is there twice
+    rows = rows.sort_values("bin", kind="stable")
+    # rows of a bin may come in several batches
+    found = pd.concat(substrings._repeated_grams(rows.iloc[i : i + 7] for i in range(0, len(rows), 7)))
+    assert found["bin"].is_unique
+    keys = np.frombuffer(b"".join(found["grams"]), np.uint64)
+    assert sorted(keys.tolist()) == sorted(substrings._key(np.array([*once[900:1000], 5, 6], np.uint64)).tolist())
+
+
+def test_filter_lets_all_repeated_anchors_through(spark):
+    rnd = np.random.default_rng(1)
+    grams = rnd.integers(0, 1 << 63, 5000).astype(np.uint64)
+    rows = pd.concat(substrings._in_bins(iter([grams[:2000]])))
+    words = substrings._gram_filter(substrings._met_per_bin(spark.createDataFrame(rows, "bin int, grams binary")))
+    found = substrings._in_filter(grams, words)
+    assert found[:2000].all() and found[2000:].mean() < 0.5
+    empty = substrings._gram_filter(spark.createDataFrame(rows.head(0), "bin int, grams binary"))
+    assert not substrings._in_filter(grams, empty).any()
