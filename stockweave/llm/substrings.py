@@ -16,7 +16,7 @@ anchor's context. That leaves one row per some thirty bytes instead of one per b
 2. Equal contexts are classes: all members but the earliest go, over the whole context.
    Members in the same chunk of a task are settled there, each compared byte by byte with the
    first, so that a passage in a third of all documents leaves one row per chunk; the others
-   meet by a cryptographic digest of 128 bits in an aggregate for the earliest and a join for the rest.
+   meet by a cryptographic digest of 128 bits, in one task per bin of the digests.
 3. Different contexts of one anchor (where copies begin, end or differ) are compared as
    suffixes. Those that have a hash of their first `LENGTH` bytes in common with another one of
    the anchor and offset are merge-sorted by comparisons that find the common extension of two
@@ -55,9 +55,9 @@ GRAM = 32
 # filters of repeated anchors: bits per key up to a fixed size of 32 MiB
 BITS_PER_KEY = 12
 FILTER_BITS = 1 << 28
-# hashes of anchors are counted in so many bins, a power of two; a task hands on its bins after so many hashes
+# hashes of anchors and equal contexts meet in so many bins, a power of two; a task hands on its bins after so many bytes
 BINS = 2_048
-HELD_GRAMS = 1 << 20
+HELD_BYTES = 8 << 20
 # most contexts of an anchor that one task compares
 PART = 2_048
 CHUNK_BYTES = 2 << 20
@@ -71,6 +71,7 @@ _BASE = 0x9E3779B97F4A7C15
 _M64 = (1 << 64) - 1
 # the lower half of a rank is a place: enough for any text
 _PLACE = np.uint64((1 << 32) - 1)
+_BINNED = "bin int, held binary"
 # a key's bin is in its upper bits
 _BIN = np.uint64(65 - BINS.bit_length())
 
@@ -94,8 +95,10 @@ class _Powers:
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
-    return x ^ (x >> np.uint64(32))
+    x = x ^ (x >> np.uint64(32))
+    x *= np.uint64(0xD6E8FEB86659FD93)
+    x ^= x >> np.uint64(32)
+    return x
 
 
 def _key(grams: np.ndarray) -> np.ndarray:
@@ -195,26 +198,34 @@ def _chunks(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[pd.DataFrame, lis
             yield rows.iloc[a:b], texts[a:b]
 
 
+def _per_bin(bins: np.ndarray, values: np.ndarray) -> pd.DataFrame:
+    """A row per bin of `values`, which are in the order of their `bins`."""
+    found, first = np.unique(bins, return_index=True)
+    return pd.DataFrame({"bin": found.astype(np.int32), "held": [x.tobytes() for x in np.split(values, first[1:])][: len(found)]})
+
+
 def _binned(grams: list[np.ndarray]) -> pd.DataFrame:
     """A row per bin of `grams`: their `_key`s, sorted, those that occur more than twice twice."""
     keys = np.sort(_key(np.concatenate(grams)))
     thrice = np.zeros(len(keys), bool)
     thrice[2:] = (keys[2:] == keys[1:-1]) & (keys[2:] == keys[:-2])
     keys = keys[~thrice]
-    bins, first = np.unique(keys >> _BIN, return_index=True)
-    return pd.DataFrame({"bin": bins.astype(np.int32), "grams": [x.tobytes() for x in np.split(keys, first[1:])] if len(keys) else []})
+    return _per_bin(keys >> _BIN, keys)
 
 
-def _in_bins(arrays: Iterator[np.ndarray]) -> Iterator[pd.DataFrame]:
-    """The bins of some million hashes at a time."""
+def _in_bins(found: Iterator[np.ndarray | pd.DataFrame], binned=_binned) -> Iterator[pd.DataFrame]:
+    """The bins of some arrays at a time; frames are handed on as they are."""
     held: list[np.ndarray] = []
-    for grams in arrays:
-        held.append(grams)
-        if sum(map(len, held)) >= HELD_GRAMS:
-            yield _binned(held)
+    for values in found:
+        if isinstance(values, pd.DataFrame):
+            yield values
+            continue
+        held.append(values)
+        if sum(x.nbytes for x in held) >= HELD_BYTES:
+            yield binned(held)
             held = []
     if held:
-        yield _binned(held)
+        yield binned(held)
 
 
 def _count_grams(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -225,25 +236,25 @@ def _bin_grams(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     return _in_bins(rows["gram"].to_numpy(np.int64).view(np.uint64) for rows in batches)
 
 
-def _each_bin(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[int, np.ndarray]]:
-    """Bins with all their keys, from rows sorted by bin."""
+def _each_bin(batches: Iterator[pd.DataFrame], kind) -> Iterator[tuple[int, np.ndarray]]:
+    """Bins with all their values, from rows sorted by bin."""
     held: list[bytes] = []
     now = None
     for rows in batches:
-        for at, grams in zip(rows["bin"].tolist(), rows["grams"]):
+        for at, values in zip(rows["bin"].tolist(), rows["held"]):
             if held and at != now:
-                yield now, np.frombuffer(b"".join(held), np.uint64)
+                yield now, np.frombuffer(b"".join(held), kind)
                 held = []
             now = at
-            held.append(grams)
+            held.append(values)
     if held:
-        yield now, np.frombuffer(b"".join(held), np.uint64)
+        yield now, np.frombuffer(b"".join(held), kind)
 
 
 def _repeated_grams(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for at, keys in _each_bin(batches):
+    for at, keys in _each_bin(batches, np.uint64):
         keys = np.sort(keys)
-        yield pd.DataFrame({"bin": [at], "grams": [np.unique(keys[1:][keys[1:] == keys[:-1]]).tobytes()]})
+        yield pd.DataFrame({"bin": [at], "held": [np.unique(keys[1:][keys[1:] == keys[:-1]]).tobytes()]})
 
 
 def _met_per_bin(rows: DataFrame) -> DataFrame:
@@ -257,12 +268,12 @@ def _probe_bits(keys: np.ndarray, bits: int) -> list[np.ndarray]:
 
 
 def _gram_filter(binned: DataFrame) -> np.ndarray:
-    """A filter of the keys in `binned` (bin, grams; met per bin), of at most FILTER_BITS bits: a row of words per bin."""
-    n = binned.agg(F.sum(F.octet_length("grams"))).first()[0] or 0
+    """A filter of the keys in `binned` (bin, held; met per bin), of at most FILTER_BITS bits: a row of words per bin."""
+    n = binned.agg(F.sum(F.octet_length("held"))).first()[0] or 0
     words = max(1, min(FILTER_BITS, n // 8 * BITS_PER_KEY) // 64 // BINS)
 
     def own(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for at, keys in _each_bin(batches):
+        for at, keys in _each_bin(batches, np.uint64):
             bits = np.zeros(64 * words, np.uint8)
             bits[np.concatenate(_probe_bits(keys, 64 * words)).astype(np.int64)] = 1
             yield pd.DataFrame({"bin": [at], "bits": [np.packbits(bits, bitorder="little").tobytes()]})
@@ -282,9 +293,12 @@ def _in_filter(grams: np.ndarray, words: np.ndarray) -> np.ndarray:
     return found
 
 
-# a context: its anchor's hash, the halves of a digest of its bytes, and stretch * LENGTH + offset of the
-# anchor, which follow from the bytes; or, without these, a span that goes
-_MEMBER = "gram long, context long, check long, shape int, doc long, tie int, start int, end int"
+# contexts in a bin: each its anchor's hash, the halves of a digest of its bytes, and stretch * LENGTH + offset of the
+# anchor, which follow from the bytes, and its place; or, without a bin, a span that goes
+_MEMBER = f"{_BINNED}, doc long, tie int, start int, end int"
+_MEMBER_KIND = np.dtype([("gram", "<i8"), ("context", "<i8"), ("check", "<i8"), ("doc", "<i8"), ("tie", "<i4"), ("start", "<i4"), ("shape", "<i4")])
+# the anchor of a class of equal contexts, or a span that goes
+_CLASS = "gram long, doc long, tie int, start int, end int"
 _CONTEXT = "gram long, shape int, doc long, tie int, start int, bytes binary"
 
 
@@ -294,10 +308,42 @@ def _digests(contexts: list[bytes]) -> np.ndarray:
     return np.frombuffer(whole, np.int64).reshape(-1, 2)
 
 
+def _earliest(found) -> tuple[np.ndarray, ...]:
+    """The order by context and place, and in it: whether a row's context is that of the row before,
+    the first row of the context, and whether that is another place, so that the row's goes."""
+    order = np.lexsort([found[c] for c in ("start", "tie", "doc", "check", "context")])
+    context, check, *place = (np.asarray(found[c])[order] for c in ("context", "check", "doc", "tie", "start"))
+    same = np.zeros(len(order), bool)
+    same[1:] = (context[1:] == context[:-1]) & (check[1:] == check[:-1])
+    first = np.maximum.accumulate(np.where(same, 0, np.arange(len(order))))
+    # of rows that give a document twice none is the earlier one
+    later = same & np.logical_or.reduce([x != x[first] for x in place])
+    return order, same, first, later
+
+
+def _binned_members(held: list[np.ndarray]) -> pd.DataFrame:
+    """A row per bin of contexts; a bin is a small even share of the digests."""
+    rows = np.concatenate(held)
+    bins = rows["context"].view(np.uint64) >> _BIN
+    order = np.argsort(bins, kind="stable")
+    return _per_bin(bins[order], rows[order]).assign(doc=None, tie=None, start=None, end=None)
+
+
+def _first_members(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Per class of equal contexts its anchor's hash, and the spans of all but the earliest."""
+    for _, rows in _each_bin(batches, _MEMBER_KIND):
+        order, same, _, later = _earliest(rows)
+        rows = rows[order]
+        yield pd.DataFrame({"gram": rows["gram"][~same]}).assign(doc=None, tie=None, start=None, end=None)
+        gone = rows[later]
+        end = gone["start"] + gone["shape"] // LENGTH + LENGTH
+        yield pd.DataFrame({"doc": gone["doc"], "tie": gone["tie"], "start": gone["start"], "end": end}).assign(gram=None)
+
+
 def _members(words: np.ndarray, with_bytes: bool):
     """Contexts whose anchor is in the filter; of equal ones in a chunk the earliest, and the spans of the others."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame | np.ndarray]:
         for rows, texts in _chunks(batches):
             text, start, stretch, offset, grams, _ = _anchors(texts)
             kept = np.flatnonzero(_in_filter(grams, words))
@@ -317,26 +363,18 @@ def _members(words: np.ndarray, with_bytes: bool):
                     "end": ends.astype(np.int32),
                 }
             )
-            order = np.lexsort([found[c].to_numpy() for c in ("start", "tie", "doc", "check", "context")])
+            order, same, first, later = _earliest(found)
             found = found.iloc[order]
-            same = np.zeros(len(found), bool)
-            if len(found) > 1:
-                key = found[["context", "check"]].to_numpy()
-                same[1:] = (key[1:] == key[:-1]).all(axis=1)
-            # of rows that give a document twice none is the earlier one
-            place = found[["doc", "tie", "start"]].to_numpy()
-            first = np.maximum.accumulate(np.where(same, 0, np.arange(len(found))))
-            later = same & (place != place[first]).any(axis=1)
             if any(contexts[i] != contexts[j] for i, j in zip(order[same].tolist(), order[first[same]].tolist())):
                 raise ArithmeticError("two different contexts have equal digests; use another digest")
             if with_bytes:
                 found["bytes"] = [contexts[i] for i in order]
                 yield found.drop(columns=["context", "check", "end"])[~same]
             else:
-                yield found[~same].assign(end=None)
                 yield _joined(found[later])
+                yield found[list(_MEMBER_KIND.names)][~same].to_records(index=False).astype(_MEMBER_KIND)
 
-    return run
+    return run if with_bytes else lambda batches: _in_bins(run(batches), _binned_members)
 
 
 def _joined(spans: pd.DataFrame) -> pd.DataFrame:
@@ -344,13 +382,13 @@ def _joined(spans: pd.DataFrame) -> pd.DataFrame:
     spans = spans.sort_values(["doc", "tie", "start"], kind="stable")
     doc, tie, start, end = (spans[c].to_numpy() for c in ("doc", "tie", "start", "end"))
     if not len(spans):
-        return spans.assign(gram=None, context=None, check=None, shape=None)
+        return spans[["doc", "tie", "start", "end"]].assign(bin=None, held=None)
     same = (doc[1:] == doc[:-1]) & (tie[1:] == tie[:-1])
     # contexts of a text end in the order they start
     first = np.flatnonzero(np.r_[True, ~(same & (start[1:] <= end[:-1]))])
     last = np.append(first[1:], len(spans)) - 1
     out = pd.DataFrame({"doc": doc[first], "tie": tie[first], "start": start[first], "end": end[last]})
-    return out.assign(gram=None, context=None, check=None, shape=None)
+    return out.assign(bin=None, held=None)
 
 
 def _less(prefixes: Prefixes, where: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -539,23 +577,19 @@ def _merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
 
 def repeated_spans(docs: DataFrame) -> DataFrame:
     """doc, tie and s, e (a span to remove; spans may overlap) for `docs` (doc, tie, text)."""
-    binned = "bin int, grams binary"
-    counts = _met_per_bin(docs.select("text").mapInPandas(_count_grams, binned))
-    repeated = settle_table(counts.mapInPandas(_repeated_grams, binned), "substring-grams")
+    counts = _met_per_bin(docs.select("text").mapInPandas(_count_grams, _BINNED))
+    repeated = settle_table(counts.mapInPandas(_repeated_grams, _BINNED), "substring-grams")
     members = settle_table(docs.mapInPandas(_members(_gram_filter(repeated), False), _MEMBER), "substring-members")
-    settled, open_ = members.filter("gram IS NULL"), members.filter("gram IS NOT NULL").drop("end")
+    settled, open_ = members.filter("bin IS NULL"), members.filter("bin IS NOT NULL").select("bin", "held")
 
     # classes of equal contexts: the earliest member stays
-    key = ["context", "check"]
-    classes = open_.groupBy(*key).agg(F.min(F.struct("doc", "tie", "start")).alias("first"), F.first("gram").alias("gram"))
-    classes = settle_table(classes, "substring-classes")
-    later = open_.drop("gram").join(classes.drop("gram"), key).filter(F.struct("doc", "tie", "start") != F.col("first"))
-    whole = _spans(F.col("start"), F.col("start") + F.floor(F.col("shape") / LENGTH) + LENGTH)
+    classes = settle_table(_met_per_bin(open_).mapInPandas(_first_members, _CLASS), "substring-classes")
+    later = classes.filter("gram IS NULL")
 
     # anchors with several contexts: compared as suffixes
-    several = classes.groupBy("gram").agg(F.count("*").alias("n")).filter("n > 1")
+    several = classes.filter("gram IS NOT NULL").groupBy("gram").agg(F.count("*").alias("n")).filter("n > 1")
     several = settle_table(several.select("gram", F.ceil(F.col("n") / PART).cast("int").alias("parts")), "substring-several")
-    wanted = settle_table(_met_per_bin(several.select("gram").mapInPandas(_bin_grams, binned)), "substring-wanted")
+    wanted = settle_table(_met_per_bin(several.select("gram").mapInPandas(_bin_grams, _BINNED)), "substring-wanted")
     contexts = docs.mapInPandas(_members(_gram_filter(wanted), True), _CONTEXT)
     dealt = contexts.join(several, "gram").withColumn("part", F.pmod(F.xxhash64("doc", "tie"), F.col("parts")).cast("int"))
     strings = dealt.repartition("gram", "part").sortWithinPartitions("gram", "part").mapInPandas(
@@ -570,7 +604,7 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     one = _spans(F.col("start"), F.col("end")).alias("span")
     return (
         settled.select("doc", "tie", one)
-        .unionByName(later.select("doc", "tie", whole.alias("span")))
+        .unionByName(later.select("doc", "tie", one))
         .unionByName(strings.filter("lost").select("doc", "tie", one))
         .unionByName(crossing.select("doc", "tie", one))
         .select("doc", "tie", "span.s", "span.e")

@@ -170,12 +170,12 @@ def test_bins_count_over_tasks():
     once = [rnd.randrange(1 << 64) for _ in range(3000)]
     tasks = [np.array([*once[:1000], *[5] * 400], np.uint64), np.array([*once[900:2000], 6], np.uint64), np.array([*once[2000:], 6], np.uint64)]
     rows = pd.concat([b for t in tasks for b in substrings._in_bins(iter([t]))])
-    assert rows["grams"].str.len().sum() // 8 == 3000 + 100 + 2 + 2  # a hash that a task has often is there twice
+    assert rows["held"].str.len().sum() // 8 == 3000 + 100 + 2 + 2  # a hash that a task has often is there twice
     rows = rows.sort_values("bin", kind="stable")
     # rows of a bin may come in several batches
     found = pd.concat(substrings._repeated_grams(rows.iloc[i : i + 7] for i in range(0, len(rows), 7)))
     assert found["bin"].is_unique
-    keys = np.frombuffer(b"".join(found["grams"]), np.uint64)
+    keys = np.frombuffer(b"".join(found["held"]), np.uint64)
     assert sorted(keys.tolist()) == sorted(substrings._key(np.array([*once[900:1000], 5, 6], np.uint64)).tolist())
 
 
@@ -183,8 +183,28 @@ def test_filter_lets_all_repeated_anchors_through(spark):
     rnd = np.random.default_rng(1)
     grams = rnd.integers(0, 1 << 63, 5000).astype(np.uint64)
     rows = pd.concat(substrings._in_bins(iter([grams[:2000]])))
-    words = substrings._gram_filter(substrings._met_per_bin(spark.createDataFrame(rows, "bin int, grams binary")))
+    words = substrings._gram_filter(substrings._met_per_bin(spark.createDataFrame(rows, substrings._BINNED)))
     found = substrings._in_filter(grams, words)
     assert found[:2000].all() and found[2000:].mean() < 0.5
-    empty = substrings._gram_filter(spark.createDataFrame(rows.head(0), "bin int, grams binary"))
+    empty = substrings._gram_filter(spark.createDataFrame(rows.head(0), substrings._BINNED))
     assert not substrings._in_filter(grams, empty).any()
+
+
+def test_equal_contexts_meet_over_chunks_and_bins(spark, monkeypatch):
+    monkeypatch.setattr(substrings, "HELD_BYTES", 256)
+    monkeypatch.setattr(substrings, "CHUNK_BYTES", 1 << 9)
+    compare(crossing(spark).repartition(3))
+
+
+def test_earliest_member_of_a_context_stays():
+    def member(context, check, doc, start):
+        return (11 * context, context, check, doc, 0, start, 3 * substrings.LENGTH + 5)
+
+    # the same place twice is one; equal halves of unequal digests are not the same context
+    rows = [member(1, 1, 9, 0), member(1, 1, 4, 70), member(1, 1, 4, 70), member(1, 2, 2, 0), member(2, 1, 8, 5), member(1, 1, 4, 80)]
+    held = [np.array(rows[:2], substrings._MEMBER_KIND), np.array(rows[2:], substrings._MEMBER_KIND)]
+    binned = pd.concat([substrings._binned_members([h]) for h in held]).sort_values("bin", kind="stable")
+    found = pd.concat(substrings._first_members(iter([binned])))
+    assert sorted(found["gram"].dropna()) == [11, 11, 22]
+    gone = found[found["gram"].isna()]
+    assert sorted(zip(gone["doc"], gone["start"], gone["end"])) == [(4, 80, 183), (9, 0, 103)]
