@@ -23,8 +23,8 @@ anchor's context. That leaves one row per some thirty bytes instead of one per b
    suffixes by binary search over prefix polynomial hashes, a logarithmic number of probes,
    and then look at one byte. Neighbours in that order that share `LENGTH` bytes are compared
    byte by byte before the later one goes. Anchors with more than `PART` contexts are dealt
-   out by document; the first string of each part then meets the others of its kind in an
-   aggregate, by anchor and two independent hashes of its bytes, so no anchor is gathered in one task.
+   out by document; the first string of each part then meets the others of its kind, by anchor and
+   two independent hashes of its bytes, in one task per bin of the hashes, so no anchor is gathered in one task.
 
 Hashes are H(i) = sum of (byte + 1) * B^j for j < i, modulo 2^64; a substring's is the
 difference of two, times a power of the inverse of B. All work is on the input texts; a text is
@@ -44,7 +44,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stockweave.llm.common import text_of
@@ -299,6 +299,8 @@ _MEMBER = f"{_BINNED}, doc long, tie int, start int, end int"
 _MEMBER_KIND = np.dtype([("gram", "<i8"), ("context", "<i8"), ("check", "<i8"), ("doc", "<i8"), ("tie", "<i4"), ("start", "<i4"), ("shape", "<i4")])
 # the anchor of a class of equal contexts, or a span that goes
 _CLASS = "gram long, doc long, tie int, start int, end int"
+# strings in a bin: each its anchor's hash, two hashes of its bytes, and its place
+_STRING_KIND = np.dtype([("gram", "<i8"), ("string", "<i8"), ("check", "<i8"), ("doc", "<i8"), ("tie", "<i4"), ("start", "<i4")])
 _CONTEXT = "gram long, shape int, doc long, tie int, start int, bytes binary"
 
 
@@ -308,23 +310,24 @@ def _digests(contexts: list[bytes]) -> np.ndarray:
     return np.frombuffer(whole, np.int64).reshape(-1, 2)
 
 
-def _earliest(found) -> tuple[np.ndarray, ...]:
-    """The order by context and place, and in it: whether a row's context is that of the row before,
-    the first row of the context, and whether that is another place, so that the row's goes."""
-    order = np.lexsort([found[c] for c in ("start", "tie", "doc", "check", "context")])
-    context, check, *place = (np.asarray(found[c])[order] for c in ("context", "check", "doc", "tie", "start"))
+def _earliest(found, kind: tuple[str, ...] = ("context", "check")) -> tuple[np.ndarray, ...]:
+    """The order by kind and place, and in it: whether a row's kind is that of the row before,
+    the first row of the kind, and whether that is another place, so that the row's goes."""
+    order = np.lexsort([found[c] for c in ("start", "tie", "doc", *kind)])
+    kinds = [np.asarray(found[c])[order] for c in kind]
+    place = [np.asarray(found[c])[order] for c in ("doc", "tie", "start")]
     same = np.zeros(len(order), bool)
-    same[1:] = (context[1:] == context[:-1]) & (check[1:] == check[:-1])
+    same[1:] = np.logical_and.reduce([x[1:] == x[:-1] for x in kinds])
     first = np.maximum.accumulate(np.where(same, 0, np.arange(len(order))))
     # of rows that give a document twice none is the earlier one
     later = same & np.logical_or.reduce([x != x[first] for x in place])
     return order, same, first, later
 
 
-def _binned_members(held: list[np.ndarray]) -> pd.DataFrame:
-    """A row per bin of contexts; a bin is a small even share of the digests."""
+def _binned_rows(held: list[np.ndarray]) -> pd.DataFrame:
+    """A row per bin of contexts or strings; a bin is a small even share of their digests or hashes, the second field."""
     rows = np.concatenate(held)
-    bins = rows["context"].view(np.uint64) >> _BIN
+    bins = rows[rows.dtype.names[1]].view(np.uint64) >> _BIN
     order = np.argsort(bins, kind="stable")
     return _per_bin(bins[order], rows[order]).assign(doc=None, tie=None, start=None, end=None)
 
@@ -374,7 +377,7 @@ def _members(words: np.ndarray, with_bytes: bool):
                 yield _joined(found[later])
                 yield found[list(_MEMBER_KIND.names)][~same].to_records(index=False).astype(_MEMBER_KIND)
 
-    return run if with_bytes else lambda batches: _in_bins(run(batches), _binned_members)
+    return run if with_bytes else lambda batches: _in_bins(run(batches), _binned_rows)
 
 
 def _joined(spans: pd.DataFrame) -> pd.DataFrame:
@@ -391,6 +394,14 @@ def _joined(spans: pd.DataFrame) -> pd.DataFrame:
     return out.assign(bin=None, held=None)
 
 
+def _later_strings(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The strings of anchors in several parts that another part has earlier."""
+    for _, rows in _each_bin(batches, _STRING_KIND):
+        order, _, _, later = _earliest(rows, ("gram", "string", "check"))
+        gone = rows[order][later]
+        yield pd.DataFrame({"doc": gone["doc"], "tie": gone["tie"], "start": gone["start"], "end": gone["start"] + LENGTH})
+
+
 def _less(prefixes: Prefixes, where: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Whether suffix a comes before suffix b; equal ones by number, which follows their order in the corpus."""
     shared = prefixes.common(where[a], where[b], LENGTH)
@@ -487,8 +498,8 @@ def _classes(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return (order[met] & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int64), kind
 
 
-def _compare_contexts(rows: pd.DataFrame) -> pd.DataFrame:
-    """For the contexts of whole (gram, part) groups: spans of strings that start earlier (lost), and what
+def _compare_contexts(rows: pd.DataFrame) -> tuple[pd.DataFrame, np.ndarray]:
+    """For the contexts of whole (gram, part) groups: spans of strings that start earlier, and what
     is left of the strings of anchors in several parts, one by one."""
     rows = rows.drop_duplicates(["gram", "doc", "tie", "start"])
     rows = rows.sort_values(["doc", "tie", "start"], kind="stable").reset_index(drop=True)
@@ -522,26 +533,29 @@ def _compare_contexts(rows: pd.DataFrame) -> pd.DataFrame:
     lost[meets[later[same]]] = True
     begin = rows["start"].to_numpy()[context] + step
 
-    def picked(first: np.ndarray, last: np.ndarray, gone: bool) -> pd.DataFrame:
-        of = context[first]
-        columns = {c: rows[c].to_numpy()[of] for c in ("doc", "tie", "gram")}
-        found = pd.DataFrame({**columns, "start": begin[first], "end": begin[last] + LENGTH, "lost": gone})
-        if gone:
-            return found.assign(string=0, check=0)
-        string = place[first]
-        return found.assign(string=_mix(prefixes.of(string, string + LENGTH)).view(np.int64), check=_weighted(data, string))
-
     gone = np.flatnonzero(lost)
     new = np.ones(len(gone), bool)
     new[1:] = (gone[1:] != gone[:-1] + 1) | (context[gone[1:]] != context[gone[:-1]])
     first = np.flatnonzero(new)
-    spans = picked(gone[first], gone[np.append(first[1:], len(gone)) - 1] if len(gone) else gone, True)
+    last = np.append(first[1:], len(gone)) - 1 if len(gone) else first
+    doc, tie = (rows[c].to_numpy()[context[gone[first]]] for c in ("doc", "tie"))
+    spans = pd.DataFrame({"doc": doc, "tie": tie, "start": begin[gone[first]], "end": begin[gone[last]] + LENGTH}).assign(bin=None, held=None)
     open_ = np.flatnonzero(~lost & (rows["parts"].to_numpy()[context] > 1))
-    return pd.concat([spans, picked(open_, open_, False)])
+    left = np.empty(len(open_), _STRING_KIND)
+    for c in ("gram", "doc", "tie"):
+        left[c] = rows[c].to_numpy()[context[open_]]
+    left["string"] = _mix(prefixes.of(place[open_], place[open_] + LENGTH)).view(np.int64)
+    left["check"], left["start"] = _weighted(data, place[open_]), begin[open_]
+    return spans, left
 
 
 def _sort_parts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Spans that go, and the first strings of the anchors in several parts; input sorted by gram and part."""
+    """Spans that go, and bins of the first strings of the anchors in several parts; input sorted by gram and part."""
+    return _in_bins((x for rows in _whole_groups(batches) for x in _compare_contexts(rows)), _binned_rows)
+
+
+def _whole_groups(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Rows of whole groups by gram and part, some thousand at a time."""
     held: list[pd.DataFrame] = []
 
     for rows in batches:
@@ -556,13 +570,9 @@ def _sort_parts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             open_ = (key == key[-1]).all(axis=1)
             held = [some[open_]]
             if not open_.all():
-                yield _compare_contexts(some[~open_])
+                yield some[~open_]
     if held:
-        yield _compare_contexts(pd.concat(held, ignore_index=True))
-
-
-def _spans(start: Column, end: Column) -> Column:
-    return F.struct(start.cast("int").alias("s"), end.cast("int").alias("e"))
+        yield pd.concat(held, ignore_index=True)
 
 
 def _merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -592,23 +602,14 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     wanted = settle_table(_met_per_bin(several.select("gram").mapInPandas(_bin_grams, _BINNED)), "substring-wanted")
     contexts = docs.mapInPandas(_members(_gram_filter(wanted), True), _CONTEXT)
     dealt = contexts.join(several, "gram").withColumn("part", F.pmod(F.xxhash64("doc", "tie"), F.col("parts")).cast("int"))
-    strings = dealt.repartition("gram", "part").sortWithinPartitions("gram", "part").mapInPandas(
-        _sort_parts, "doc long, tie int, gram long, start int, end int, lost boolean, string long, check long"
-    )
+    strings = dealt.repartition("gram", "part").sortWithinPartitions("gram", "part").mapInPandas(_sort_parts, _MEMBER)
     strings = settle_table(strings, "substring-strings")
     # firsts of the parts of one anchor meet per string
-    firsts = strings.filter("not lost")
-    same = ["gram", "string", "check"]
-    least = firsts.groupBy(*same).agg(F.min(F.struct("doc", "tie", "start")).alias("first"))
-    crossing = firsts.join(least, same).filter(F.struct("doc", "tie", "start") != F.col("first"))
-    one = _spans(F.col("start"), F.col("end")).alias("span")
-    return (
-        settled.select("doc", "tie", one)
-        .unionByName(later.select("doc", "tie", one))
-        .unionByName(strings.filter("lost").select("doc", "tie", one))
-        .unionByName(crossing.select("doc", "tie", one))
-        .select("doc", "tie", "span.s", "span.e")
-    )
+    firsts = _met_per_bin(strings.filter("bin IS NOT NULL").select("bin", "held"))
+    crossing = firsts.mapInPandas(_later_strings, "doc long, tie int, start int, end int")
+    place = ("doc", "tie", "start", "end")
+    spans = settled.select(*place).unionByName(later.select(*place)).unionByName(strings.filter("bin IS NULL").select(*place))
+    return spans.unionByName(crossing).select("doc", "tie", F.col("start").alias("s"), F.col("end").alias("e"))
 
 
 def remove_repeats(docs: DataFrame) -> DataFrame:

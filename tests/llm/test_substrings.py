@@ -107,8 +107,10 @@ def rows_of(texts, gram=7, parts=1):
     return pd.DataFrame([{**each, "doc": i, "bytes": t} for i, t in enumerate(texts)])
 
 
-def lost(found):
-    return sorted(zip(found[found["lost"]]["doc"], found[found["lost"]]["start"], found[found["lost"]]["end"]))
+def lost(rows):
+    spans, left = substrings._compare_contexts(rows)
+    assert not len(left)  # one part
+    return sorted(zip(spans["doc"], spans["start"], spans["end"]))
 
 
 def test_strings_that_meet_no_other_are_not_sorted(monkeypatch):
@@ -118,11 +120,11 @@ def test_strings_that_meet_no_other_are_not_sorted(monkeypatch):
     compared = []
     common = substrings.Prefixes.common
     monkeypatch.setattr(substrings.Prefixes, "common", lambda self, a, b, most: (compared.append(len(a)), common(self, a, b, most))[1])
-    assert lost(substrings._compare_contexts(rows_of(texts))) == []
+    assert lost(rows_of(texts)) == []
     assert sum(compared) == 0
     # the first string of the last text is that of the first, its second is not
     texts.append(texts[0][:100] + b"w")
-    assert lost(substrings._compare_contexts(rows_of(texts))) == [(200, 0, 100)]
+    assert lost(rows_of(texts)) == [(200, 0, 100)]
     assert 0 < sum(compared) < 10
 
 
@@ -130,10 +132,9 @@ def test_unlike_strings_of_a_class_are_told_apart(monkeypatch):
     rnd = random.Random(4)
     base = [bytes(rnd.choice(b"ab") for _ in range(101)) for _ in range(3)]
     texts = [rnd.choice(base)[:100] + rnd.choice([b"a", b"b"]) for _ in range(30)]
-    wanted = substrings._compare_contexts(rows_of(texts))
+    wanted = lost(rows_of(texts))
     monkeypatch.setattr(substrings, "_classes", lambda values: (np.arange(len(values)), np.zeros(len(values), np.int64)))
-    found = substrings._compare_contexts(rows_of(texts))
-    assert lost(wanted) and lost(found) == lost(wanted)
+    assert wanted and lost(rows_of(texts)) == wanted
 
 
 def test_classes_are_in_order():
@@ -203,8 +204,18 @@ def test_earliest_member_of_a_context_stays():
     # the same place twice is one; equal halves of unequal digests are not the same context
     rows = [member(1, 1, 9, 0), member(1, 1, 4, 70), member(1, 1, 4, 70), member(1, 2, 2, 0), member(2, 1, 8, 5), member(1, 1, 4, 80)]
     held = [np.array(rows[:2], substrings._MEMBER_KIND), np.array(rows[2:], substrings._MEMBER_KIND)]
-    binned = pd.concat([substrings._binned_members([h]) for h in held]).sort_values("bin", kind="stable")
+    binned = pd.concat([substrings._binned_rows([h]) for h in held]).sort_values("bin", kind="stable")
     found = pd.concat(substrings._first_members(iter([binned])))
     assert sorted(found["gram"].dropna()) == [11, 11, 22]
     gone = found[found["gram"].isna()]
     assert sorted(zip(gone["doc"], gone["start"], gone["end"])) == [(4, 80, 183), (9, 0, 103)]
+
+
+def test_first_strings_of_parts_meet():
+    texts = [b"u" * 40 + b"v" * 61, b"u" * 40 + b"v" * 60 + b"w", b"x" * 40 + b"v" * 61]
+    left = np.concatenate([substrings._compare_contexts(rows_of([t], parts=3).assign(doc=i))[1] for i, t in enumerate(texts)])
+    assert len(left) == 6 and sorted(set(left["doc"])) == [0, 1, 2]
+    binned = substrings._binned_rows([left]).sort_values("bin")
+    found = pd.concat(substrings._later_strings(iter([binned])))
+    # the first 100 bytes of the second are those of the first, the last 100 of the third differ in the byte before "v"
+    assert list(zip(found["doc"], found["start"], found["end"])) == [(1, 0, 100)]
